@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
-from itertools import combinations
+from itertools import combinations, combinations_with_replacement
 
 import pandas as pd
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from metricloom.functions.distributions import t_two_sided
@@ -24,33 +27,53 @@ def pearson(x: Column, y: Column) -> Column:
     return F.try_divide(F.covar_pop(x, y), F.nullif(spread, F.lit(0.0)))
 
 
-def _long_matrix(df: DataFrame, cols: Sequence[str], digits: int | None) -> DataFrame:
-    """All pairs from one aggregate, laid out as (x, y, r) over the full square."""
-    pairs = list(combinations(cols, 2))
-    entries = [
-        F.struct(F.lit(a).alias("x"), F.lit(b).alias("y"), pearson(F.col(a), F.col(b)).alias("r"))
-        for a, b in pairs
-    ] + [
-        F.struct(
-            F.lit(c).alias("x"), F.lit(c).alias("y"),
-            F.when(F.stddev_pop(c) > 0, F.lit(1.0)).alias("r"),
-        )
-        for c in cols
-    ]
-    half = df.agg(F.array(*entries).alias("m")).select(F.inline("m"))
-    mirrored = half.select(
-        F.explode(
-            F.when(F.col("x") == F.col("y"), F.array(F.struct("x", "y"))).otherwise(
-                F.array(
-                    F.struct("x", "y"),
-                    F.struct(F.col("y").alias("x"), F.col("x").alias("y")),
-                )
-            )
-        ).alias("p"),
-        "r",
-    )
-    r = F.col("r") if digits is None else half_even(F.col("r"), digits)
-    return mirrored.select("p.x", "p.y", r.alias("r"))
+def _table(df: DataFrame, cells: dict[tuple[str, str], float | None], digits: int | None) -> DataFrame:
+    """The full square, both halves, as (x, y, r) rows."""
+    rows = [(x, y, v) for (a, b), v in cells.items() for x, y in dict.fromkeys([(a, b), (b, a)])]
+    table = df.sparkSession.createDataFrame(rows, "x string, y string, r double")
+    return table if digits is None else table.withColumn("r", half_even(F.col("r"), digits))
+
+
+def _complete_cells(data: DataFrame, cols: Sequence[str]) -> dict[tuple[str, str], float | None]:
+    """Correlations of columns without missing values: one distributed covariance pass
+    that returns a matrix of (columns x columns) numbers."""
+    vectors = VectorAssembler(inputCols=list(cols), outputCol="v").transform(data).select("v")
+    matrix = Correlation.corr(vectors, "v", "pearson").first()[0].toArray()
+    cells = {}
+    for i, a in enumerate(cols):
+        for j in range(i, len(cols)):
+            r = float(matrix[i, j])
+            cells[a, cols[j]] = None if math.isnan(r) else min(1.0, max(-1.0, r))
+    return cells
+
+
+def _matrix(data: DataFrame, cols: Sequence[str], digits: int | None) -> DataFrame:
+    """Pairwise-complete correlations.
+
+    Columns without missing values share one pass. A column with missing values takes one
+    more pass with them over its own rows, and pairs of such columns share an aggregate.
+    """
+    sizes = data.agg(F.count(F.lit(1)).alias("__n"), *[F.count(c).alias(c) for c in cols]).first()
+    cells: dict[tuple[str, str], float | None] = {}
+    whole = [c for c in cols if sizes[c] == sizes["__n"]]
+    holed = [c for c in cols if c not in whole]
+
+    def fill(rows: DataFrame, n: int, names: Sequence[str]) -> None:
+        found = _complete_cells(rows, names) if n > 1 else {}
+        for a, b in combinations_with_replacement(names, 2):
+            cells.setdefault((a, b), found.get((a, b)))
+
+    if len(whole) > 0:
+        fill(data.select(*whole), sizes["__n"], whole)
+    for c in holed:
+        fill(data.where(F.col(c).isNotNull()).select(c, *whole), sizes[c], [c, *whole])
+    pairs = list(combinations(holed, 2))
+    if pairs:
+        row = data.agg(
+            *[pearson(F.col(a), F.col(b)).alias(f"r{i}") for i, (a, b) in enumerate(pairs)]
+        ).first()
+        cells |= {pair: row[f"r{i}"] for i, pair in enumerate(pairs)}
+    return _table(data, cells, digits)
 
 
 def _doubles(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -63,7 +86,7 @@ def pearson_matrix(
     """``pairwise`` uses for each pair the rows where both are present, ``listwise`` only
     rows where all are."""
     data = _doubles(df, cols)
-    return _long_matrix(data.dropna() if complete == "listwise" else data, cols, digits)
+    return _matrix(data.dropna() if complete == "listwise" else data, cols, digits)
 
 
 def average_ranks(
@@ -90,7 +113,7 @@ def average_ranks(
 
 def _spearman_listwise(data: DataFrame, cols, digits, rows_per_task) -> DataFrame:
     ranked = average_ranks(data.dropna(subset=list(cols)).select(*cols), cols, "__rank", rows_per_task)
-    return _long_matrix(ranked.select(*[F.col(f"{c}__rank").alias(c) for c in cols]), cols, digits)
+    return _matrix(ranked.select(*[F.col(f"{c}__rank").alias(c) for c in cols]), cols, digits)
 
 
 def spearman_matrix(
@@ -117,7 +140,7 @@ def spearman_matrix(
             parts.append(pair.where("x <> y"))
     partial = [c for c in cols if c not in whole]
     if partial:
-        parts.append(_long_matrix(data, partial, digits).where("x = y"))
+        parts.append(_matrix(data, partial, digits).where("x = y"))
     return union_all(parts)
 
 

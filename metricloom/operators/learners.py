@@ -11,6 +11,7 @@ import math
 import random
 from collections.abc import Mapping, Sequence
 
+from pyspark import StorageLevel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.functions import vector_to_array
@@ -19,7 +20,6 @@ from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from metricloom.functions.scalars import half_even
-from metricloom.operators.features import standardize
 from metricloom.operators.linear_models import assemble
 from metricloom.operators.splits import SEED, stratified_folds
 
@@ -127,6 +127,37 @@ def weight_for(kind: str, neg: int, pos: int) -> Column:
     return balanced_weight(neg, pos) if kind == "forest" else positive_weight(neg, pos)
 
 
+class Scaler:
+    """Population z-scores; the moments (two numbers per column) come from the rows of ``fit``."""
+
+    def __init__(self, cols: Sequence[str]):
+        self.cols = list(cols)
+        self.scaled = [f"{c}_std" for c in self.cols]
+
+    def fit(self, train: DataFrame) -> "Scaler":
+        row = train.agg(
+            *[F.avg(c).alias(f"m_{c}") for c in self.cols],
+            *[F.stddev_pop(c).alias(f"s_{c}") for c in self.cols],
+        ).first()
+        self.moments = {c: (row[f"m_{c}"], row[f"s_{c}"] or 1.0) for c in self.cols}
+        return self
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        return df.withColumns(
+            {f"{c}_std": (F.col(c) - F.lit(m)) / F.lit(sd) for c, (m, sd) in self.moments.items()}
+        )
+
+
+def _fit_cached(estimator, ready: DataFrame):
+    """Training reads its matrix many times: keep it (spilling to disk) while it runs."""
+    matrix = ready.select("features", "label", *[c for c in ("weight",) if c in ready.columns])
+    matrix = matrix.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return estimator.fit(matrix)
+    finally:
+        matrix.unpersist()
+
+
 class LogisticBaseline:
     """L2-penalised logistic regression on population z-scores with balanced weights.
 
@@ -136,22 +167,23 @@ class LogisticBaseline:
     """
 
     def __init__(self, features: Sequence[str], label: str = "label"):
-        self.features, self.label = list(features), label
-        self.scaled = [f"{f}_std" for f in self.features]
+        self.label, self.scaler = label, Scaler(features)
 
     def fit(self, train: DataFrame) -> "LogisticBaseline":
-        self.train = train
         neg, pos = class_counts(train, self.label)
-        scaled = standardize(train, train, self.features)
-        ready = _ready(scaled, self.scaled, self.label, balanced_weight(neg, pos, self.label))
-        self.model = LogisticRegression(
-            maxIter=1000, tol=1e-9, regParam=1.0 / (INVERSE_PENALTY * (neg + pos)),
-            elasticNetParam=0.0, standardization=False, weightCol="weight",
-        ).fit(ready)
+        scaled = self.scaler.fit(train).transform(train)
+        ready = _ready(scaled, self.scaler.scaled, self.label, balanced_weight(neg, pos, self.label))
+        self.model = _fit_cached(
+            LogisticRegression(
+                maxIter=1000, tol=1e-8, regParam=1.0 / (INVERSE_PENALTY * (neg + pos)),
+                elasticNetParam=0.0, standardization=False, weightCol="weight",
+            ),
+            ready,
+        )
         return self
 
     def transform(self, df: DataFrame) -> DataFrame:
-        return self.model.transform(_ready(standardize(self.train, df, self.features), self.scaled, self.label))
+        return self.model.transform(_ready(self.scaler.transform(df), self.scaler.scaled, self.label))
 
 
 class TreeClassifier:
@@ -163,7 +195,7 @@ class TreeClassifier:
     def fit(self, train: DataFrame) -> "TreeClassifier":
         neg, pos = class_counts(train, self.label)
         ready = _ready(train, self.features, self.label, weight_for(self.kind, neg, pos))
-        self.model = BUILDERS[self.kind](**self.settings).fit(ready)
+        self.model = _fit_cached(BUILDERS[self.kind](**self.settings), ready)
         return self
 
     def transform(self, df: DataFrame) -> DataFrame:
@@ -192,21 +224,22 @@ class RidgeRegression:
     """
 
     def __init__(self, features: Sequence[str], target: str, alpha: float = RIDGE_ALPHA):
-        self.features, self.target, self.alpha = list(features), target, alpha
-        self.scaled = [f"{f}_std" for f in self.features]
+        self.target, self.alpha, self.scaler = target, alpha, Scaler(features)
 
     def fit(self, train: DataFrame) -> "RidgeRegression":
-        self.train = train
         row = train.agg(F.stddev_pop(self.target).alias("s"), F.count(self.target).alias("n")).first()
-        ready = _ready(standardize(train, train, self.features), self.scaled, self.target)
-        self.model = LinearRegression(
-            solver="normal", standardization=False, elasticNetParam=0.0,
-            regParam=self.alpha * row["s"] / row["n"],
-        ).fit(ready)
+        ready = _ready(self.scaler.fit(train).transform(train), self.scaler.scaled, self.target)
+        self.model = _fit_cached(
+            LinearRegression(
+                solver="normal", standardization=False, elasticNetParam=0.0,
+                regParam=self.alpha * row["s"] / row["n"],
+            ),
+            ready,
+        )
         return self
 
     def transform(self, df: DataFrame) -> DataFrame:
-        return self.model.transform(_ready(standardize(self.train, df, self.features), self.scaled, self.target))
+        return self.model.transform(_ready(self.scaler.transform(df), self.scaler.scaled, self.target))
 
 
 class ForestRegression:
@@ -224,7 +257,7 @@ class ForestRegression:
         )
 
     def fit(self, train: DataFrame) -> "ForestRegression":
-        self.model = self.estimator.fit(_ready(train, self.features, self.target))
+        self.model = _fit_cached(self.estimator, _ready(train, self.features, self.target))
         return self
 
     def transform(self, df: DataFrame) -> DataFrame:
@@ -289,8 +322,9 @@ def random_search(
     """
     picks = draw_settings(kind, draws, seed, space)
     neg, pos = class_counts(train, label)
-    ready = _ready(stratified_folds(train, key, label, folds, seed), features, label,
-                   weight_for(kind, neg, pos))
+    ready = _ready(
+        stratified_folds(train, key, label, folds, seed), features, label, weight_for(kind, neg, pos)
+    ).select("features", "label", "weight", "fold").persist(StorageLevel.MEMORY_AND_DISK)
     estimator = BUILDERS[kind]()
     by_name = {p.name: p for p in estimator.params}
     maps = []
@@ -303,6 +337,7 @@ def random_search(
         evaluator=BinaryClassificationEvaluator(metricName="areaUnderROC", numBins=0),
         numFolds=folds, foldCol="fold", parallelism=parallelism, seed=seed,
     ).fit(ready)
+    ready.unpersist()
     means = [float(m) for m in search.avgMetrics]
     best = max(range(len(picks)), key=means.__getitem__)
     table = train.sparkSession.createDataFrame(

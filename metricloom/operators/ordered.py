@@ -18,7 +18,7 @@ from dataclasses import dataclass, field
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from metricloom.session import scratch_path
+from metricloom.session import written_once
 
 ROWS_PER_TASK = 4_000_000
 MAX_HOT_GROUPS = 1_000
@@ -86,17 +86,6 @@ def _with_blocks(df: DataFrame, keys: Sequence[str], order: str, hot: HotGroups)
     ).drop("__order")
 
 
-def _written(df: DataFrame) -> DataFrame:
-    """Write the input once: the cut, the block totals and the rows all read it.
-
-    Only used when a group is too large for a task, so never for small tables.
-    """
-    spark = df.sparkSession
-    path = scratch_path(spark, "ordered")
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def running_before(
     df: DataFrame,
     keys: Sequence[str],
@@ -118,7 +107,8 @@ def running_before(
     keys = list(keys)
     if hot is None:
         hot = find_hot_groups(df, {"k": keys}, rows_per_task)["k"]
-    work = _written(df) if hot.hashes else df
+    # Read by the cut, the block totals and the rows themselves.
+    work = written_once(df, "ordered") if hot.hashes else df
     for name, value in {**sums, **latest}.items():
         work = work.withColumn(f"__in_{name}", value)
     split = bool(hot.hashes)

@@ -26,7 +26,7 @@ from metricloom.operators.ordered import running_before
 from metricloom.plans import roles
 from metricloom.plans.roles import METRICS, TEXT_FEATURES
 from metricloom.plans.risk import build_dataset, compare_models, risk_table
-from metricloom.session import scratch_path
+from metricloom.session import scratch_path, written_once
 from metricloom.sources import delimited
 from metricloom.sources.ledger import KeyLedger
 from metricloom.streaming import history as stream_history
@@ -337,13 +337,18 @@ def _(spark, d):
 _change_query("kamei_diffusion", history.diffusion)
 _change_query("kamei_size", history.size)
 _change_query("kamei_purpose", history.purpose)
-_change_query("kamei_history", history.history)
-_change_query("kamei_experience", lambda c: history.experience(c, AS_OF))
+QUERIES["kamei_history"] = lambda spark, d: history.history(_stored_changes(spark, d))
+QUERIES["kamei_experience"] = lambda spark, d: history.experience(_stored_changes(spark, d), AS_OF)
+
+
+def _stored_changes(spark, d) -> DataFrame:
+    """The change log as a table: several branches read it, each only its columns."""
+    return written_once(roles.change_log(spark, d), "changes")
 
 
 @query("change_features")
 def change_features(spark, d):
-    table = history.change_features(roles.change_log(spark, d), AS_OF)
+    table = history.change_features(_stored_changes(spark, d), AS_OF)
     return table.drop("commit_seq").withColumn("committer_date", F.unix_seconds("committer_date"))
 
 
@@ -351,7 +356,7 @@ def change_features(spark, d):
 
 
 def _changes_and_lines(spark, d):
-    changes = roles.change_log(spark, d)
+    changes = _stored_changes(spark, d)
     return changes, roles.line_log(changes)
 
 

@@ -5,13 +5,14 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from datetime import datetime
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, functions as F
 
 from metricloom.operators import cleaning, evaluation, features, history, labels, learners, splits
 from metricloom.operators.features import MODEL_FEATURES
 from metricloom.operators.history import CHANGE_FEATURES
 from metricloom.operators.relational import tagged_union
-from metricloom.session import scratch_path
+from metricloom.session import written_once
 
 LABEL = "is_buggy"
 
@@ -34,7 +35,12 @@ def compare_models(
     settings: Mapping[str, Mapping],
     label: str = "label",
 ) -> DataFrame:
-    """The logistic baseline and the given tree models on one split, one row each."""
+    """The logistic baseline and the given tree models on one split, one row each.
+
+    Train, test and scores are each read many times, so they stay cached (spilling to disk)
+    until the six numbers of a model are known.
+    """
+    train, test = (t.persist(StorageLevel.MEMORY_AND_DISK) for t in (train, test))
     neg, pos = learners.class_counts(train, label)
     if pos == 0 or neg == 0:
         raise ValueError("the training rows hold only one class")
@@ -43,8 +49,12 @@ def compare_models(
         models[kind] = learners.TreeClassifier(kind, columns, label, **chosen)
     rows = {}
     for name, model in models.items():
-        scored = learners.scores(model.fit(train), test, [], label)
-        rows[name] = evaluation.classifier_metrics(scored, "score", "label", "prediction")
+        scored = learners.scores(model.fit(train), test, [], label).persist(StorageLevel.MEMORY_AND_DISK)
+        table = evaluation.classifier_metrics(scored, "score", "label", "prediction")
+        rows[name] = train.sparkSession.createDataFrame(table.collect(), table.schema)
+        scored.unpersist()
+    train.unpersist()
+    test.unpersist()
     return evaluation.model_comparison(rows)
 
 
@@ -55,10 +65,7 @@ def risk_table(
 
     The dataset feeds many training passes, so it is written once to the shared folder.
     """
-    spark = changes.sparkSession
-    path = scratch_path(spark, "dataset")
-    build_dataset(changes, lines, as_of).write.partitionBy("repo").parquet(path)
-    data = spark.read.parquet(path)
+    data = written_once(build_dataset(changes, lines, as_of), "dataset")
     columns = [c for c in MODEL_FEATURES if c in data.columns]
     train, test = splits.temporal_split(data, "commit_seq", "hash")
     temporal = compare_models(train, test, columns, settings, LABEL)
