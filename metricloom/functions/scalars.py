@@ -69,7 +69,9 @@ def subsystem(path: Column) -> Column:
 
 def directory(path: Column) -> Column:
     """Everything before the last slash; empty for a file at the root."""
-    return F.regexp_replace(slashed(path), r"/?[^/]*$", "")
+    clean = slashed(path)
+    name = F.substring_index(clean, "/", -1)
+    return F.rtrim(F.left(clean, F.length(clean) - F.length(name)), F.lit("/"))
 
 
 def is_python(path: Column) -> Column:

@@ -119,7 +119,7 @@ def score_groups(
     return running_before(
         grouped, group, "__down",
         {"tp_above": F.col("pos"), "fp_above": F.col("neg")},
-        unique_order=True, rows_per_task=rows_per_task,
+        unique_order=True, at_most=df.count(), rows_per_task=rows_per_task,
     ).drop("__down")
 
 

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from metricloom.functions.scalars import (
     days_between,
@@ -19,7 +19,6 @@ from metricloom.functions.scalars import (
     half_even,
     is_corrective,
     message_head,
-    ratio_or_zero,
     safe_ratio,
     subsystem,
 )
@@ -92,24 +91,15 @@ def size(changes: DataFrame) -> DataFrame:
 
 def purpose(changes: DataFrame) -> DataFrame:
     """Is the change a correction?"""
-    return _per_commit(changes, {"FIX": F.max(is_corrective(F.col("msg")).cast("int"))})
-
-
-def _touches(changes: DataFrame) -> DataFrame:
-    """One row per change and path; ``n`` counts repeats of the path within the change."""
-    return (
-        commit_filter(changes)
-        .groupBy("repo", "path", "commit_seq", "hash", "author", "committer_date")
-        .agg(F.count(F.lit(1)).alias("n"))
+    return _per_commit(changes, {"msg": F.min("msg")}).select(
+        *COMMIT, is_corrective(F.col("msg")).cast("int").alias("FIX")
     )
 
 
-def _commits(changes: DataFrame) -> DataFrame:
-    """One row per change."""
-    return commit_filter(changes).groupBy(*COMMIT).agg(
-        F.min("commit_seq").alias("commit_seq"),
-        F.min("author").alias("author"),
-        F.min("committer_date").alias("committer_date"),
+def _touches(changes: DataFrame) -> DataFrame:
+    """One row per change and touched file; a path may repeat within a change."""
+    return commit_filter(changes).select(
+        "repo", "path", "commit_seq", "hash", "author", "committer_date"
     )
 
 
@@ -122,108 +112,114 @@ def _author_areas(changes: DataFrame) -> DataFrame:
     )
 
 
-def _file_history(touches: DataFrame, hot: HotGroups | None, rows_per_task: int) -> DataFrame:
+def _hot(changes: DataFrame, rows_per_task: int) -> dict[str, HotGroups]:
+    """Large files, authors and (author, area) groups, found together."""
+    return find_hot_groups(
+        commit_filter(changes).withColumn("area", subsystem(F.col("path"))),
+        {
+            "path": ["repo", "path"],
+            "author": ["repo", "author"],
+            "area": ["repo", "author", "area"],
+        },
+        rows_per_task,
+        at_most=changes.count(),
+    )
+
+
+def _file_history(touches: DataFrame, hot: HotGroups) -> DataFrame:
     """Earlier touches, earlier distinct authors and previous date per touched file.
 
-    An author counts from the first touch on. Those first touches are a plain minimum
-    per (path, author), added as marker rows, so no set of authors is ever collected.
+    An author counts from the first touch on, so no set of authors is ever collected.
     """
+    one = F.lit(1).cast("long")
+    sums = {"authors_before": F.col("new_author"), "touches_before": F.col("n")}
+    latest = {"last_date": F.col("committer_date")}
+    if not hot.hashes:
+        # Both windows run on one shuffle: the files of a task include all their authors.
+        by_author = Window.partitionBy("repo", "path", "author").orderBy("commit_seq")
+        marked = touches.repartition("repo", "path").withColumns(
+            {"n": one, "new_author": (F.row_number().over(by_author) == 1).cast("long")}
+        )
+        return running_before(marked, ["repo", "path"], "commit_seq", sums, latest, hot=hot)
+    # First touches as marker rows from a plain minimum, which combines before the shuffle
+    # and lets the rows of a large file be cut into blocks.
     first = touches.groupBy("repo", "path", "author").agg(F.min("commit_seq").alias("commit_seq"))
+    zero = F.lit(0).cast("long")
     marks = first.select(
-        "repo", "path", "commit_seq",
-        F.lit(1).cast("long").alias("new_author"),
-        F.lit(0).cast("long").alias("n"),
-    )
-    rows = touches.select(
-        "repo", "path", "commit_seq", "hash", "committer_date", "n",
-        F.lit(0).cast("long").alias("new_author"),
+        "repo", "path", "commit_seq", one.alias("new_author"), zero.alias("n")
     )
+    rows = touches.withColumns({"n": one, "new_author": zero}).drop("author")
     both = rows.unionByName(marks, allowMissingColumns=True)
-    return running_before(
-        both, ["repo", "path"], "commit_seq",
-        sums={"authors_before": F.col("new_author"), "touches_before": F.col("n")},
-        latest={"last_date": F.col("committer_date")},
-        hot=hot, rows_per_task=rows_per_task,
-    ).where(F.col("n") > 0)
+    return running_before(both, ["repo", "path"], "commit_seq", sums, latest, hot=hot).where("n > 0")
 
 
 def _history_from(file_history: DataFrame) -> DataFrame:
-    n = F.col("n")
-    seen = F.when(F.col("last_date").isNotNull(), n)
     age = days_between(F.col("last_date"), F.col("committer_date"))
     return file_history.groupBy(*COMMIT).agg(
-        (F.sum(F.col("authors_before") * n) / F.sum(n)).alias("NDEV"),
-        ratio_or_zero(F.sum(age * seen), F.sum(seen)).alias("AGE"),
-        (F.sum(F.col("touches_before") * n) / F.sum(n)).alias("NUC"),
+        F.avg("authors_before").alias("NDEV"),
+        F.coalesce(F.avg(F.when(F.col("last_date").isNotNull(), age)), F.lit(0.0)).alias("AGE"),
+        F.avg("touches_before").alias("NUC"),
     )
 
 
-def history(changes: DataFrame, rows_per_task: int = ROWS_PER_TASK, hot: HotGroups | None = None) -> DataFrame:
+def history(changes: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     """Mean earlier authors, mean days since the previous change, mean earlier changes."""
-    raw = _history_from(_file_history(_touches(changes), hot, rows_per_task))
+    hot = _hot(changes, rows_per_task)["path"]
+    raw = _history_from(_file_history(_touches(changes), hot))
     return raw.select(*COMMIT, *[half_even(F.col(c), 2).alias(c) for c in ("NDEV", "AGE", "NUC")])
 
 
-def _experience_raw(changes, as_of, rows_per_task, hot_author, hot_area) -> DataFrame:
+def _commit_aggregates() -> dict[str, Column]:
+    return {c: F.min(c) for c in ("commit_seq", "author", "committer_date")}
+
+
+def _add_experience(
+    commits: DataFrame, changes: DataFrame, as_of: datetime, hot: dict[str, HotGroups]
+) -> DataFrame:
+    """Join the author's past onto one row per change."""
     years = days_between(F.col("committer_date"), F.lit(as_of).cast("timestamp")) / DAYS_PER_YEAR
     by_author = running_before(
-        _commits(changes), ["repo", "author"], "commit_seq",
+        commits, ["repo", "author"], "commit_seq",
         sums={"EXP": F.lit(1).cast("long"), "REXP": F.lit(1.0) / (years + 1.0)},
-        hot=hot_author, rows_per_task=rows_per_task,
+        hot=hot["author"],
     )
     by_area = (
         running_before(
             _author_areas(changes), ["repo", "author", "area"], "commit_seq",
-            sums={"before": F.lit(1).cast("long")},
-            hot=hot_area, rows_per_task=rows_per_task,
+            sums={"before": F.lit(1).cast("long")}, hot=hot["area"],
         )
         .groupBy(*COMMIT)
-        .agg(F.sum("before").alias("SEXP"))
-    )
-    return by_author.select(*COMMIT, "author", "committer_date", "commit_seq", "EXP", "REXP").join(
-        by_area, COMMIT
+        .agg(F.sum("before").alias("SEXP"), F.count(F.lit(1)).alias("NS"))
     )
+    return by_author.join(by_area, COMMIT)
 
 
-def experience(
-    changes: DataFrame,
-    as_of: datetime,
-    rows_per_task: int = ROWS_PER_TASK,
-    hot_author: HotGroups | None = None,
-    hot_area: HotGroups | None = None,
-) -> DataFrame:
+def experience(changes: DataFrame, as_of: datetime, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     """Earlier changes of the author: count, recency-weighted sum, count in the same areas.
 
     Recency is measured back from ``as_of``, an argument, so that a rerun gives the same.
     """
-    raw = _experience_raw(changes, as_of, rows_per_task, hot_author, hot_area)
+    commits = _per_commit(changes, _commit_aggregates())
+    raw = _add_experience(commits, changes, as_of, _hot(changes, rows_per_task))
     return raw.select(*COMMIT, "EXP", half_even(F.col("REXP"), 4).alias("REXP"), "SEXP")
 
 
 def change_features(
     changes: DataFrame, as_of: datetime, rows_per_task: int = ROWS_PER_TASK
 ) -> DataFrame:
-    """All fourteen features per change with its identifying columns."""
-    probe = commit_filter(changes).withColumn("area", subsystem(F.col("path")))
-    hot = find_hot_groups(
-        probe,
-        {
-            "path": ["repo", "path"],
-            "author": ["repo", "author"],
-            "area": ["repo", "author", "area"],
-        },
-        rows_per_task,
+    """All fourteen features per change with its identifying columns.
+
+    The change's own aggregate also carries what the author window needs, and the number of
+    subsystems falls out of the author-area rows, so the log is read three times in all.
+    """
+    hot = _hot(changes, rows_per_task)
+    own_spread = {k: v for k, v in _spread_aggregates().items() if k != "NS"}
+    own = _per_commit(
+        changes, {"msg": F.min("msg"), **_commit_aggregates(), **own_spread, **_size_aggregates()}
     )
-    aggregates = {
-        "msg": F.min("msg"),
-        **_spread_aggregates(),
-        **_size_aggregates(),
-        "FIX": F.max(is_corrective(F.col("msg")).cast("int")),
-    }
-    own = _per_commit(changes, aggregates)
-    past = _history_from(_file_history(_touches(changes), hot["path"], rows_per_task))
-    author = _experience_raw(changes, as_of, rows_per_task, hot["author"], hot["area"])
-    joined = own.join(past, COMMIT).join(author, COMMIT)
+    past = _history_from(_file_history(_touches(changes), hot["path"]))
+    joined = _add_experience(own, changes, as_of, hot).join(past, COMMIT)
+    joined = joined.withColumn("FIX", is_corrective(F.col("msg")).cast("int"))
     digits = {"Entropy": 6, "LT": 2, "NDEV": 2, "AGE": 2, "NUC": 2, "REXP": 4}
     return joined.select(
         *COMMIT, "author", "committer_date", "commit_seq",

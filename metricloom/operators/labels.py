@@ -53,7 +53,10 @@ def line_origins(
     both = writes.select(*columns).unionByName(deletes.select(*columns))
     written = F.when(F.col("op") == "write", F.col("hash"))
     return (
-        running_before(both, LINE, "commit_seq", latest={"origin": written}, rows_per_task=rows_per_task)
+        running_before(
+            both, LINE, "commit_seq", latest={"origin": written},
+            at_most=lines.count(), rows_per_task=rows_per_task,
+        )
         .where((F.col("op") == "delete") & F.col("origin").isNotNull())
         .select("repo", F.col("hash").alias("fix_hash"), "path", "line_id", "origin")
     )

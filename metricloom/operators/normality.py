@@ -72,7 +72,7 @@ def ks_statistic(df: DataFrame, cols: Sequence[str], rows_per_task: int = ROWS_P
     )
     ranked = running_before(
         value_counts(df, cols), ["variable"], "value", {"start": F.col("n")},
-        unique_order=True, rows_per_task=rows_per_task,
+        unique_order=True, at_most=df.count(), rows_per_task=rows_per_task,
     ).join(stats, "variable")
     z = F.when(
         F.col("std") > 0, (F.col("value") - F.col("mean")) / F.nullif(F.col("std"), F.lit(0.0))
@@ -136,7 +136,7 @@ def qq_points(
     sized = F.broadcast(summarize_columns(df, cols, {"size": F.count}))
     ranked = running_before(
         value_counts(df, cols), ["variable"], "value", {"start": F.col("n")},
-        unique_order=True, rows_per_task=rows_per_task,
+        unique_order=True, at_most=df.count(), rows_per_task=rows_per_task,
     ).join(sized, "variable")
     one_each = _number_ties(ranked)
     p = plotting_position(F.col("i"), F.col("size"), plotting)

@@ -43,12 +43,18 @@ def find_hot_groups(
     df: DataFrame,
     keysets: Mapping[str, Sequence[str]],
     rows_per_task: int = ROWS_PER_TASK,
+    at_most: int | None = None,
 ) -> dict[str, HotGroups]:
     """Find the groups above ``rows_per_task`` rows for several key sets in one pass.
 
+    ``at_most`` is a known bound on the rows, usually the row count of the base table. If
+    it already fits a task, no group can be too large and the pass is skipped.
+
     The sketch tracks 10,000 items, so it cannot miss a group that holds a
     thousandth of the rows; smaller groups stay below ``rows / 1000`` each.
     """
+    if at_most is not None and at_most <= rows_per_task:
+        return {name: HotGroups() for name in keysets}
     aggregates = [F.count(F.lit(1)).alias("__rows")]
     for name, keys in keysets.items():
         hashed = F.xxhash64(F.lit(0), *[F.col(k) for k in keys])
@@ -95,6 +101,7 @@ def running_before(
     *,
     unique_order: bool = False,
     hot: HotGroups | None = None,
+    at_most: int | None = None,
     rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Add totals (and latest non-missing values) over strictly earlier rows of the group.
@@ -106,7 +113,7 @@ def running_before(
     sums, latest = dict(sums or {}), dict(latest or {})
     keys = list(keys)
     if hot is None:
-        hot = find_hot_groups(df, {"k": keys}, rows_per_task)["k"]
+        hot = find_hot_groups(df, {"k": keys}, rows_per_task, at_most)["k"]
     # Read by the cut, the block totals and the rows themselves.
     work = written_once(df, "ordered") if hot.hashes else df
     for name, value in {**sums, **latest}.items():
@@ -183,13 +190,17 @@ class Cut:
 
 
 def value_at(
-    df: DataFrame, order: str, position: int, rows_per_task: int = ROWS_PER_TASK
+    df: DataFrame,
+    order: str,
+    position: int,
+    at_most: int | None = None,
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> tuple[object, int] | None:
     """The value at a 0-based position of the sorted column and how many rows precede it."""
     counts = df.groupBy(order).agg(F.count(F.lit(1)).alias("__n"))
     ranked = running_before(
         counts, [], order, {"__start": F.col("__n")},
-        unique_order=True, rows_per_task=rows_per_task,
+        unique_order=True, at_most=at_most, rows_per_task=rows_per_task,
     )
     row = ranked.where(
         (F.col("__start") <= position) & (F.col("__start") + F.col("__n") > position)
@@ -198,15 +209,20 @@ def value_at(
 
 
 def find_cut(
-    df: DataFrame, order: str, tie: str, position: int, rows_per_task: int = ROWS_PER_TASK
+    df: DataFrame,
+    order: str,
+    tie: str,
+    position: int,
+    at_most: int | None = None,
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> Cut:
     """Locate a position under (order, tie) without sorting rows across the table."""
-    at = value_at(df, order, position, rows_per_task)
+    at = value_at(df, order, position, at_most, rows_per_task)
     if at is None:
         return Cut(everything=True)
     value, start = at
     ties = df.where(F.col(order) == F.lit(value)).select(tie)
-    tie_at = value_at(ties, tie, position - start, rows_per_task)
+    tie_at = value_at(ties, tie, position - start, at_most, rows_per_task)
     return Cut(value, tie_at[0])
 
 

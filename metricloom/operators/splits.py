@@ -33,7 +33,7 @@ def temporal_split(
 
 def temporal_cut(df, date, tie, train_share=0.75, rows_per_task=ROWS_PER_TASK) -> Cut:
     n = df.count()
-    return find_cut(df, date, tie, int(n * train_share), rows_per_task)
+    return find_cut(df, date, tie, int(n * train_share), n, rows_per_task)
 
 
 def hash_order(key: Column, seed: int = SEED) -> Column:

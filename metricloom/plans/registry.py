@@ -437,7 +437,8 @@ def _(spark, d):
     orders = roles.table(spark, d, "orders").select(
         "o_orderkey", (day * F.lit(roles.DAY_SPAN) + F.col("o_orderkey")).alias("seq")
     )
-    placed = running_before(orders, [], "seq", {"position": F.lit(1).cast("long")}, unique_order=True)
+    placed = running_before(orders, [], "seq", {"position": F.lit(1).cast("long")}, unique_order=True,
+                            at_most=orders.count())
     return relational.chronological(placed, "seq", ["o_orderkey"]).select("o_orderkey", "position")
 
 
