@@ -64,14 +64,14 @@ def slashed(path: Column) -> Column:
 
 def subsystem(path: Column) -> Column:
     """First path segment; a file at the root is its own subsystem."""
-    return F.split_part(slashed(path), F.lit("/"), F.lit(1))
+    return F.substring_index(slashed(path), "/", 1)
 
 
 def directory(path: Column) -> Column:
     """Everything before the last slash; empty for a file at the root."""
     clean = slashed(path)
-    name = F.substring_index(clean, "/", -1)
-    return F.rtrim(F.left(clean, F.length(clean) - F.length(name)), F.lit("/"))
+    inside = F.substring_index(clean, "/", -1)
+    return F.rtrim(F.left(clean, F.length(clean) - F.length(inside)), F.lit("/"))
 
 
 def is_python(path: Column) -> Column:

@@ -1,6 +1,7 @@
 """The fourteen change features: diffusion, size, purpose, history and experience.
 
-Input is a change log with one row per change and touched file: ``repo, hash,
+Input is a change log with one row per change and touched file (author, date and message
+are those of the change): ``repo, hash,
 commit_seq, author, committer_date, msg, path, added, deleted, nloc, merge``.
 ``commit_seq`` is a whole number that orders the changes of a repository.
 
@@ -26,6 +27,9 @@ from metricloom.operators.cleaning import commit_filter
 from metricloom.operators.ordered import ROWS_PER_TASK, HotGroups, find_hot_groups, running_before
 
 COMMIT = ["repo", "hash"]
+# What a change has one of. Grouping by all of it, instead of taking a minimum of each,
+# keeps the aggregation hash-based: text minima would force sorting.
+IDENTITY = [*COMMIT, "commit_seq", "author", "committer_date", "msg"]
 DAYS_PER_YEAR = 365.25
 
 # The feature names, by dimension.
@@ -72,8 +76,8 @@ def _size_aggregates() -> dict[str, Column]:
     }
 
 
-def _per_commit(changes: DataFrame, aggregates: dict[str, Column]) -> DataFrame:
-    grouped = commit_filter(changes).groupBy(*COMMIT)
+def _per_commit(changes: DataFrame, aggregates: dict[str, Column], by=COMMIT) -> DataFrame:
+    grouped = commit_filter(changes).groupBy(*by)
     return grouped.agg(*[value.alias(name) for name, value in aggregates.items()])
 
 
@@ -91,9 +95,8 @@ def size(changes: DataFrame) -> DataFrame:
 
 def purpose(changes: DataFrame) -> DataFrame:
     """Is the change a correction?"""
-    return _per_commit(changes, {"msg": F.min("msg")}).select(
-        *COMMIT, is_corrective(F.col("msg")).cast("int").alias("FIX")
-    )
+    messages = commit_filter(changes).select(*COMMIT, "msg").distinct()
+    return messages.select(*COMMIT, is_corrective(F.col("msg")).cast("int").alias("FIX"))
 
 
 def _touches(changes: DataFrame) -> DataFrame:
@@ -169,10 +172,6 @@ def history(changes: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataFrame
     return raw.select(*COMMIT, *[half_even(F.col(c), 2).alias(c) for c in ("NDEV", "AGE", "NUC")])
 
 
-def _commit_aggregates() -> dict[str, Column]:
-    return {c: F.min(c) for c in ("commit_seq", "author", "committer_date")}
-
-
 def _add_experience(
     commits: DataFrame, changes: DataFrame, as_of: datetime, hot: dict[str, HotGroups]
 ) -> DataFrame:
@@ -199,7 +198,7 @@ def experience(changes: DataFrame, as_of: datetime, rows_per_task: int = ROWS_PE
 
     Recency is measured back from ``as_of``, an argument, so that a rerun gives the same.
     """
-    commits = _per_commit(changes, _commit_aggregates())
+    commits = commit_filter(changes).select(*IDENTITY).distinct()
     raw = _add_experience(commits, changes, as_of, _hot(changes, rows_per_task))
     return raw.select(*COMMIT, "EXP", half_even(F.col("REXP"), 4).alias("REXP"), "SEXP")
 
@@ -214,9 +213,7 @@ def change_features(
     """
     hot = _hot(changes, rows_per_task)
     own_spread = {k: v for k, v in _spread_aggregates().items() if k != "NS"}
-    own = _per_commit(
-        changes, {"msg": F.min("msg"), **_commit_aggregates(), **own_spread, **_size_aggregates()}
-    )
+    own = _per_commit(changes, {**own_spread, **_size_aggregates()}, by=IDENTITY)
     past = _history_from(_file_history(_touches(changes), hot["path"]))
     joined = _add_experience(own, changes, as_of, hot).join(past, COMMIT)
     joined = joined.withColumn("FIX", is_corrective(F.col("msg")).cast("int"))
