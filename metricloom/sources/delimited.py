@@ -22,11 +22,13 @@ def read_metric_csv(spark: SparkSession, path: str, text_cols: Sequence[str]) ->
 
 
 def read_lenient_csv(
-    spark: SparkSession, path: str, columns: Sequence[str], header: bool = True
+    spark: SparkSession, path: str, columns: Sequence[str], header: bool = True,
+    quoted_breaks: bool = True,
 ) -> DataFrame:
     """CSV with ragged rows: too long ones are dropped, short ones padded.
 
-    Quoted line breaks are supported, so a file is not split; write many files.
+    With ``quoted_breaks`` a field may contain line breaks, and a file is then read by one
+    task; without, large files are split.
     """
     schema = T.StructType([T.StructField(c, T.StringType()) for c in [*columns, _BROKEN]])
     raw = (
@@ -34,7 +36,7 @@ def read_lenient_csv(
         .option("header", header)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", _BROKEN)
-        .option("multiLine", True)
+        .option("multiLine", quoted_breaks)
         .option("escape", '"')
         .csv(path)
     )
