@@ -2,13 +2,10 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 from itertools import combinations, combinations_with_replacement
 
 import pandas as pd
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from metricloom.functions.distributions import t_two_sided
@@ -17,6 +14,9 @@ from metricloom.operators.ordered import ROWS_PER_TASK, HotGroups, running_befor
 from metricloom.operators.profile import union_all
 
 
+_NOISE = 1e-12
+
+
 def pearson(x: Column, y: Column) -> Column:
     """Correlation over the rows where both are present; missing for a constant column.
 
@@ -27,53 +27,49 @@ def pearson(x: Column, y: Column) -> Column:
     return F.try_divide(F.covar_pop(x, y), F.nullif(spread, F.lit(0.0)))
 
 
-def _table(df: DataFrame, cells: dict[tuple[str, str], float | None], digits: int | None) -> DataFrame:
-    """The full square, both halves, as (x, y, r) rows."""
-    rows = [(x, y, v) for (a, b), v in cells.items() for x, y in dict.fromkeys([(a, b), (b, a)])]
-    table = df.sparkSession.createDataFrame(rows, "x string, y string, r double")
-    return table if digits is None else table.withColumn("r", half_even(F.col("r"), digits))
-
-
-def _complete_cells(data: DataFrame, cols: Sequence[str]) -> dict[tuple[str, str], float | None]:
-    """Correlations of columns without missing values: one distributed covariance pass
-    that returns a matrix of (columns x columns) numbers."""
-    vectors = VectorAssembler(inputCols=list(cols), outputCol="v").transform(data).select("v")
-    matrix = Correlation.corr(vectors, "v", "pearson").first()[0].toArray()
-    cells = {}
-    for i, a in enumerate(cols):
-        for j in range(i, len(cols)):
-            r = float(matrix[i, j])
-            cells[a, cols[j]] = None if math.isnan(r) else min(1.0, max(-1.0, r))
-    return cells
-
-
 def _matrix(data: DataFrame, cols: Sequence[str], digits: int | None) -> DataFrame:
-    """Pairwise-complete correlations.
+    """Pairwise-complete correlations from two scans.
 
-    Columns without missing values share one pass. A column with missing values takes one
-    more pass with them over its own rows, and pairs of such columns share an aggregate.
+    The first finds the centres. The second sums powers and products of the centred
+    values, which keeps the sums accurate, and equal sums are computed once: for columns
+    without missing values that is one per column and one per pair.
     """
-    sizes = data.agg(F.count(F.lit(1)).alias("__n"), *[F.count(c).alias(c) for c in cols]).first()
-    cells: dict[tuple[str, str], float | None] = {}
-    whole = [c for c in cols if sizes[c] == sizes["__n"]]
-    holed = [c for c in cols if c not in whole]
-
-    def fill(rows: DataFrame, n: int, names: Sequence[str]) -> None:
-        found = _complete_cells(rows, names) if n > 1 else {}
-        for a, b in combinations_with_replacement(names, 2):
-            cells.setdefault((a, b), found.get((a, b)))
-
-    if len(whole) > 0:
-        fill(data.select(*whole), sizes["__n"], whole)
-    for c in holed:
-        fill(data.where(F.col(c).isNotNull()).select(c, *whole), sizes[c], [c, *whole])
-    pairs = list(combinations(holed, 2))
-    if pairs:
-        row = data.agg(
-            *[pearson(F.col(a), F.col(b)).alias(f"r{i}") for i, (a, b) in enumerate(pairs)]
-        ).first()
-        cells |= {pair: row[f"r{i}"] for i, pair in enumerate(pairs)}
-    return _table(data, cells, digits)
+    first = data.agg(
+        F.count(F.lit(1)).alias("n"),
+        *[F.count(c).alias(f"n_{i}") for i, c in enumerate(cols)],
+        *[F.avg(c).alias(f"m_{i}") for i, c in enumerate(cols)],
+    ).first()
+    centred = {c: F.col(c) - F.lit(first[f"m_{i}"] or 0.0) for i, c in enumerate(cols)}
+    whole = {c for i, c in enumerate(cols) if first[f"n_{i}"] == first["n"]}
+
+    def where_present(value: Column, other: str) -> Column:
+        return value if other in whole else F.when(F.col(other).isNotNull(), value)
+
+    sums = []
+    for a, b in combinations_with_replacement(cols, 2):
+        x, y = where_present(centred[a], b), where_present(centred[b], a)
+        sums.append(
+            F.struct(
+                F.lit(a).alias("a"), F.lit(b).alias("b"),
+                F.count(x if a not in whole else y).cast("double").alias("n"),
+                F.sum(x).alias("sx"), F.sum(y).alias("sy"),
+                F.sum(x * x).alias("sxx"), F.sum(y * y).alias("syy"), F.sum(x * y).alias("sxy"),
+            )
+        )
+    moments = data.agg(F.array(*sums).alias("m")).select(F.inline("m"))
+    n = F.nullif(F.col("n"), F.lit(0.0))
+    vx = F.col("sxx") - F.col("sx") * F.col("sx") / n
+    vy = F.col("syy") - F.col("sy") * F.col("sy") / n
+    vxy = F.col("sxy") - F.col("sx") * F.col("sy") / n
+    # What is left of a constant column is rounding noise of its squares.
+    varied = (vx > F.col("sxx") * _NOISE) & (vy > F.col("syy") * _NOISE)
+    r = F.when(varied, F.try_divide(vxy, F.sqrt(vx) * F.sqrt(vy)))
+    bounded = F.when(r.isNotNull(), F.greatest(F.least(r, F.lit(1.0)), F.lit(-1.0)))
+    cell = bounded if digits is None else half_even(bounded, digits)
+    one = F.struct(F.col("a").alias("x"), F.col("b").alias("y"))
+    other = F.struct(F.col("b").alias("x"), F.col("a").alias("y"))
+    both = F.when(F.col("a") == F.col("b"), F.array(one)).otherwise(F.array(one, other))
+    return moments.select(F.explode(both).alias("p"), cell.alias("r")).select("p.x", "p.y", "r")
 
 
 def _doubles(df: DataFrame, cols: Sequence[str]) -> DataFrame:

@@ -189,6 +189,28 @@ def average_precision(df: DataFrame, score: str, label: str, digits: int = 6, ro
     return areas.select(half_even(F.col("pr_auc"), digits).alias("average_precision"))
 
 
+def _threshold_ratios() -> dict[str, Column]:
+    tn, fp, fn, tp = (F.col(c) for c in ("tn", "fp", "fn", "tp"))
+    return {
+        "accuracy": ratio_or_zero(tp + tn, tn + fp + fn + tp),
+        "precision": ratio_or_zero(tp, tp + fp),
+        "recall": ratio_or_zero(tp, tp + fn),
+        "f1": _f1(tp, fp, fn),
+    }
+
+
+def threshold_metrics(
+    df: DataFrame, label: str, prediction: str, group: Sequence[str] = (), digits: int = 4
+) -> DataFrame:
+    """Accuracy, precision, recall and F1 alone: one aggregate, no ordering of scores."""
+    cells = df.groupBy(*group).agg(
+        *[c.alias(n) for n, c in _cells(F.col(label), F.col(prediction)).items()]
+    )
+    return cells.select(
+        *group, *[half_even(v, digits).alias(n) for n, v in _threshold_ratios().items()]
+    )
+
+
 def classifier_metrics(
     df: DataFrame,
     score: str,
@@ -204,20 +226,12 @@ def classifier_metrics(
         *[c.alias(n) for n, c in _cells(F.col(label), F.col(prediction)).items()]
     )
     areas = _areas(score_groups(df, score, label, group, rows_per_task), group)
-    tn, fp, fn, tp = (F.col(c) for c in ("tn", "fp", "fn", "tp"))
     if group:
         both = cells.join(areas, group)
     else:
         pair = areas.select(F.struct("roc_auc", "pr_auc").alias("a")).scalar()
         both = cells.withColumns({"roc_auc": pair["roc_auc"], "pr_auc": pair["pr_auc"]})
-    metrics = {
-        "accuracy": ratio_or_zero(tp + tn, tn + fp + fn + tp),
-        "precision": ratio_or_zero(tp, tp + fp),
-        "recall": ratio_or_zero(tp, tp + fn),
-        "f1": _f1(tp, fp, fn),
-        "roc_auc": F.col("roc_auc"),
-        "pr_auc": F.col("pr_auc"),
-    }
+    metrics = {**_threshold_ratios(), "roc_auc": F.col("roc_auc"), "pr_auc": F.col("pr_auc")}
     return both.select(*group, *[half_even(v, digits).alias(n) for n, v in metrics.items()])
 
 

@@ -5,12 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from metricloom.functions.scalars import half_even, safe_ratio
-from metricloom.operators.ordered import ROWS_PER_TASK, HotGroups, running_before
+from metricloom.operators.ordered import ROWS_PER_TASK, running_before
 
-SMALL_COLUMN = 100_000
+SMALL_COLUMN = 1_000_000
 _BRACKET = 5e-4
 _ACCURACY = 10_000
 
@@ -65,24 +65,27 @@ def per_variable(cols: Sequence[str], pick: Callable[[str], Column]) -> Column:
 # --- exact quantiles --------------------------------------------------------------------
 
 
+def _sizes(df: DataFrame, cols: Sequence[str]) -> dict[str, int]:
+    row = df.agg(*[F.count(c).alias(f"n_{i}") for i, c in enumerate(cols)]).first()
+    return {c: row[f"n_{i}"] for i, c in enumerate(cols)}
+
+
 def _brackets(df: DataFrame, cols: Sequence[str], probs: Sequence[float]):
-    """Row counts and, for long columns, value ranges sure to hold the asked quantiles.
+    """Value ranges of long columns that are sure to hold the asked quantiles.
 
     One scan with mergeable sketches; the answer is a fixed number of scalars.
     """
+    if not cols:
+        return {}
     asked = sorted({q for p in probs for q in (max(p - _BRACKET, 0.0), min(p + _BRACKET, 1.0))})
     row = df.agg(
-        *[F.count(c).alias(f"n_{i}") for i, c in enumerate(cols)],
         *[
             F.percentile_approx(F.col(c).cast("double"), asked, _ACCURACY).alias(f"q_{i}")
             for i, c in enumerate(cols)
-        ],
+        ]
     ).first()
-    sizes = {c: row[f"n_{i}"] for i, c in enumerate(cols)}
     ranges = {}
     for i, c in enumerate(cols):
-        if sizes[c] <= SMALL_COLUMN:
-            continue
         at = dict(zip(asked, row[f"q_{i}"]))
         found = sorted(
             (
@@ -98,7 +101,7 @@ def _brackets(df: DataFrame, cols: Sequence[str], probs: Sequence[float]):
             else:
                 merged.append((low, high))
         ranges[c] = merged
-    return sizes, ranges
+    return ranges
 
 
 def _snap(value: Column, ranges: Sequence[tuple[float, float]]) -> Column:
@@ -125,7 +128,8 @@ def quantile_table(
     rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Exact quantiles by linear interpolation: ``variable, n, <one column per prob>``."""
-    sizes, ranges = _brackets(df, cols, list(probs.values()))
+    sizes = _sizes(df, cols)
+    ranges = _brackets(df, [c for c in cols if sizes[c] > SMALL_COLUMN], list(probs.values()))
     snapped = df.select(
         *[
             _snap(F.col(c).cast("double"), ranges[c]).alias(c)
@@ -135,10 +139,9 @@ def quantile_table(
         ]
     )
     counts = value_counts(snapped, cols)
-    small = HotGroups() if max(sizes.values(), default=0) <= rows_per_task else None
     ranked = running_before(
         counts, ["variable"], "value", {"start": F.col("n")},
-        unique_order=True, hot=small, rows_per_task=rows_per_task,
+        unique_order=True, at_most=max(sizes.values()), rows_per_task=rows_per_task,
     )
     total = per_variable(cols, lambda c: F.lit(sizes[c]).cast("long"))
     picks = []

@@ -343,7 +343,7 @@ QUERIES["kamei_experience"] = lambda spark, d: history.experience(_stored_change
 
 def _stored_changes(spark, d) -> DataFrame:
     """The change log as a table: several branches read it, each only its columns."""
-    return written_once(roles.change_log(spark, d), "changes")
+    return written_once(roles.change_log(spark, d).drop("file_order", "line_id"), "changes")
 
 
 @query("change_features")
@@ -356,7 +356,7 @@ def change_features(spark, d):
 
 
 def _changes_and_lines(spark, d):
-    changes = _stored_changes(spark, d)
+    changes = written_once(roles.change_log(spark, d), "changes")
     return changes, roles.line_log(changes)
 
 
@@ -752,7 +752,11 @@ def _(spark, d):
     scored = _with_micros(roles.scored(spark, d))
     _, late = splits.temporal_split(scored, "at", "id")
     mixed = splits.random_split(scored, "id").where("is_test").drop("is_test")
-    return evaluation.leakage_gap(_by_model(late), _by_model(mixed))
+    late, mixed = (
+        evaluation.threshold_metrics(_threshold_models(t), "label", "prediction", ["model"])
+        for t in (late, mixed)
+    )
+    return evaluation.leakage_gap(late, mixed)
 
 
 @query("model_comparison")
