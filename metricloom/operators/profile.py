@@ -54,14 +54,6 @@ def value_counts(df: DataFrame, cols: Sequence[str], order: str | None = None) -
     )
 
 
-def per_variable(cols: Sequence[str], pick: Callable[[str], Column]) -> Column:
-    """A value that depends on the variable name of a long row."""
-    chain = F.when(F.col("variable") == cols[0], pick(cols[0]))
-    for c in cols[1:]:
-        chain = chain.when(F.col("variable") == c, pick(c))
-    return chain
-
-
 # --- exact quantiles --------------------------------------------------------------------
 
 
@@ -143,14 +135,15 @@ def quantile_table(
         counts, ["variable"], "value", {"start": F.col("n")},
         unique_order=True, at_most=max(sizes.values()), rows_per_task=rows_per_task,
     )
-    total = per_variable(cols, lambda c: F.lit(sizes[c]).cast("long"))
+    totals = df.sparkSession.createDataFrame(list(sizes.items()), "variable string, __n long")
+    ranked = ranked.join(F.broadcast(totals), "variable")
     picks = []
     for name, p in probs.items():
-        position = (total - 1) * F.lit(float(p))
+        position = (F.col("__n") - 1) * F.lit(float(p))
         for side, rank in (("lo", F.floor(position)), ("hi", F.ceil(position))):
             here = (F.col("start") <= rank) & (F.col("start") + F.col("n") > rank)
             picks.append(F.max(F.when(here, F.col("value"))).alias(f"{name}__{side}"))
-    picked = ranked.groupBy("variable").agg(F.max(total).alias("__n"), *picks)
+    picked = ranked.groupBy("variable").agg(F.max("__n").alias("__n"), *picks)
 
     def interpolate(name: str, p: float) -> Column:
         position = (F.col("__n") - 1) * F.lit(float(p))
