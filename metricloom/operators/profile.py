@@ -371,7 +371,7 @@ def describe_with_skew(df: DataFrame, cols: Sequence[str], digits: int = 4) -> D
 
     def adjusted_skew(c: Column) -> Column:
         n = F.count(c)
-        g1 = F.when(F.stddev_pop(c) > 0, F.skewness(c)).when(n > 0, F.lit(0.0))
+        g1 = F.coalesce(F.skewness(c), F.when(n > 0, F.lit(0.0)))  # missing without spread
         return F.when(n > 2, g1 * F.sqrt(n * (n - 1.0)) / F.nullif(n - 2, F.lit(0)))
 
     moments = summarize_columns(
