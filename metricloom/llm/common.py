@@ -83,21 +83,28 @@ class Ranges:
     its inverse are odd numbers modulo 2**64.
     """
 
-    BASE = 0x9E3779B97F4A7C15
-    INVERSE = pow(BASE, -1, 1 << 64)
-
-    def __init__(self) -> None:
+    def __init__(self, base: int = 0x9E3779B97F4A7C15) -> None:
+        self.base, self.inverse = base, pow(base, -1, 1 << 64)
         self._up = np.ones(1, np.uint64)
         self._down = np.ones(1, np.uint64)
 
     def _grow(self, n: int) -> None:
         if n > self._up.size:
             n = max(n, 2 * self._up.size)
-            self._up = np.cumprod(np.r_[1, np.full(n - 1, self.BASE, np.uint64)].astype(np.uint64))
+            self._up = np.cumprod(np.r_[1, np.full(n - 1, self.base, np.uint64)].astype(np.uint64))
             self._down = np.cumprod(
-                np.r_[1, np.full(n - 1, self.INVERSE, np.uint64)].astype(np.uint64)
+                np.r_[1, np.full(n - 1, self.inverse, np.uint64)].astype(np.uint64)
             )
 
+    def without_one(self, units: np.ndarray) -> np.ndarray:
+        """Hashes of the whole sequence with each of its units left out in turn."""
+        n = units.size
+        self._grow(n + 1)
+        run = np.zeros(n + 1, np.uint64)
+        np.cumsum(mixed(units.astype(np.uint64) + np.uint64(1)) * self._up[:n], out=run[1:])
+        rest = (run[n] - run[1:]) * np.uint64(self.inverse)
+        return mixed(run[:-1] + rest + np.uint64(n - 1))
+
     def hashes(self, units: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         n = units.size
         self._grow(n + 1)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from metricloom.llm import quality, secrets, token_counts
+from metricloom.llm import line_dedup, quality, secrets, token_counts
 from metricloom.llm.common import documents, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,3 +38,8 @@ def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
     docs = documents(spark, folder).select("doc_id", "text")
     model = quality.train_quality_model(docs, table(spark, folder, "labels"))
     return quality.score_quality(docs, model).drop("text")
+
+
+@query
+def op1_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return line_dedup.dedup_lines(documents(spark, folder).select("doc_id", "text"))

@@ -1,3 +1,40 @@
 """SQL for the queries of this subpackage that SQL can express."""
 
 SQL: dict[str, str] = {}
+
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+_WORD = r"[^\x20\x09-\x0D]+"
+
+SQL["op1_line_dedup"] = rf"""
+WITH parts AS (
+  SELECT doc_id, text, string_split(text, chr(10)) AS p FROM documents
+), lines AS (
+  SELECT doc_id, i, p[i + 1] AS raw,
+    regexp_extract_all(translate(p[i + 1], '{_UPPER}', '{_LOWER}'), '{_WORD}') AS w
+  FROM (SELECT doc_id, p, unnest(range(len(p))) AS i FROM parts)
+), dist AS (
+  SELECT w, array_to_string(w, ' ') AS norm, min({{'d': doc_id, 'i': i}}) AS f
+  FROM lines WHERE len(w) > 0 GROUP BY w
+), vars AS (
+  SELECT norm, f, k, array_to_string(list_concat(w[:k], w[k + 2:]), ' ') AS v
+  FROM (SELECT *, unnest(range(len(w))) AS k FROM dist WHERE len(w) >= 8)
+), near AS (
+  SELECT norm FROM (SELECT norm, f, min(f) OVER (PARTITION BY v, k) AS m FROM vars) WHERE m < f
+  UNION
+  SELECT a.norm FROM vars a JOIN dist b ON a.v = b.norm WHERE len(b.w) >= 8 AND b.f < a.f
+  UNION
+  SELECT b.norm FROM dist b JOIN vars a ON a.v = b.norm WHERE len(b.w) >= 8 AND a.f < b.f
+), marked AS (
+  SELECT l.doc_id, l.i, l.raw,
+    len(l.w) > 0 AND ({{'d': l.doc_id, 'i': l.i}} > d.f OR n.norm IS NOT NULL) AS gone
+  FROM lines l LEFT JOIN dist d ON array_to_string(l.w, ' ') = d.norm
+  LEFT JOIN near n ON d.norm = n.norm
+)
+SELECT p.doc_id,
+  CASE WHEN p.text IS NULL THEN NULL
+    ELSE coalesce(string_agg(m.raw, chr(10) ORDER BY m.i) FILTER (NOT coalesce(m.gone, false)), '')
+  END AS text,
+  CAST(count(m.i) AS BIGINT) AS n_lines,
+  CAST(count(*) FILTER (coalesce(m.gone, false)) AS BIGINT) AS n_dropped
+FROM parts p LEFT JOIN marked m ON p.doc_id = m.doc_id GROUP BY p.doc_id, p.text
+"""
