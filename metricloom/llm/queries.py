@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from metricloom.llm import line_dedup, quality, secrets, token_counts
+from metricloom.llm import line_dedup, near_dedup, quality, secrets, token_counts
 from metricloom.llm.common import documents, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -43,3 +43,8 @@ def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op1_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return line_dedup.dedup_lines(documents(spark, folder).select("doc_id", "text"))
+
+
+@query
+def op4_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return near_dedup.near_components(documents(spark, folder).select("doc_id", "text"))
