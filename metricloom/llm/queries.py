@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from metricloom.llm import line_dedup, near_dedup, quality, secrets, token_counts
+from metricloom.llm import line_dedup, mixing, near_dedup, quality, secret_scan, token_counts
 from metricloom.llm.common import documents, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,7 +30,7 @@ def op2_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def op7_secrets(spark: SparkSession, folder: str) -> DataFrame:
-    return secrets.scan_secrets(documents(spark, folder), ["doc_id"])
+    return secret_scan.scan_secrets(documents(spark, folder), ["doc_id"])
 
 
 @query
@@ -48,3 +48,9 @@ def op1_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op4_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_dedup.near_components(documents(spark, folder).select("doc_id", "text"))
+
+
+@query
+def op3_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder).select("doc_id", "text", "source")
+    return mixing.mix_documents(docs)
