@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from metricloom.llm import line_dedup, mixing, near_dedup, quality, secret_scan, token_counts
+from metricloom.llm import line_dedup, mixing, near_dedup, pieces, quality, secret_scan, token_counts
 from metricloom.llm.common import documents, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -54,3 +54,15 @@ def op4_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
 def op3_mixing(spark: SparkSession, folder: str) -> DataFrame:
     docs = documents(spark, folder).select("doc_id", "text", "source")
     return mixing.mix_documents(docs)
+
+
+@query
+def op9_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder).select("doc_id", "text")
+    coded = pieces.encode(docs, ["doc_id"], public_tokenizers.path("piece_bpe_32k.model"))
+    return coded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_pieces"),
+        F.xxhash64("ids").alias("ids_hash"),
+        "same",
+    )
