@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from metricloom.llm.common import Ranges, mixed, small_batches, stored, text_of, word_bounds
+from metricloom.llm.common import Ranges, fresh, mixed, small_batches, stored, text_of, word_bounds
 
 #: Shorter lines must be equal: with few words, one word is most of what a line says.
 MIN_WORDS_NEAR = 8
@@ -232,7 +232,11 @@ def dropped_lines(docs: DataFrame, min_words_near: int = MIN_WORDS_NEAR) -> Data
 
 
 def dedup_lines(
-    docs: DataFrame, min_words_near: int = MIN_WORDS_NEAR, *, drop_emptied: bool = False
+    docs: DataFrame,
+    min_words_near: int = MIN_WORDS_NEAR,
+    *,
+    drop_emptied: bool = False,
+    counts: tuple[str, str] = ("n_lines", "n_dropped"),
 ) -> DataFrame:
     """The rows of ``docs`` with the repeated lines taken out of ``text``.
 
@@ -241,18 +245,20 @@ def dedup_lines(
     line, then by a hash of the text. Lines without a word stay. Missing and empty texts
     stay as they are. Rows that agree in id and text count as one document and are
     treated alike. ``drop_emptied`` leaves out documents that lost their last word.
-    Adds ``n_lines`` and ``n_dropped``; input columns of these names are replaced.
+    Adds the numbers of lines and of dropped lines, named by ``counts``; input columns of
+    these names are replaced.
     """
     small_batches(docs)
-    docs = docs.select(*[c for c in docs.columns if c.lower() not in ("n_lines", "n_dropped")])
+    docs = docs.select(*[c for c in docs.columns if c not in counts])
+    name = fresh(docs.columns, "line_tag")
     tag = F.xxhash64(text_of())
     body = text_of().cast("binary")
     found = dropped_lines(
         docs.select(F.col("doc_id").cast("long").alias("doc"), tag.alias("tag"), body.alias("body")),
         min_words_near,
     ).alias("f")
-    same = F.col("d.doc_id").eqNullSafe(F.col("f.doc")) & (F.col("d.__tag") == F.col("f.tag"))
-    joined = docs.withColumn("__tag", tag).alias("d").join(found, same, "left")
+    same = F.col("d.doc_id").eqNullSafe(F.col("f.doc")) & (F.col(f"d.{name}") == F.col("f.tag"))
+    joined = docs.withColumn(name, tag).alias("d").join(found, same, "left")
     parts = F.split(F.col("d.text"), "\n", -1)
     every = F.sequence(F.lit(0).cast("long"), (F.size(parts) - 1).cast("long"))
     left = F.array_except(every, F.col("f.lines"))
@@ -262,10 +268,10 @@ def dedup_lines(
     )
     out = joined.select(
         *[text.alias("text") if c == "text" else F.col(f"d.`{c}`") for c in docs.columns],
-        F.when(F.col("d.text").isNull(), F.lit(0)).otherwise(F.size(parts)).cast("long").alias("n_lines"),
-        F.coalesce(F.size("f.lines"), F.lit(0)).cast("long").alias("n_dropped"),
+        F.when(F.col("d.text").isNull(), F.lit(0)).otherwise(F.size(parts)).cast("long").alias(counts[0]),
+        F.coalesce(F.size("f.lines"), F.lit(0)).cast("long").alias(counts[1]),
     )
     if drop_emptied:
         words = F.col("text").rlike(r"[^\x20\x09-\x0D]")
-        out = out.where((F.col("n_dropped") == 0) | words)
+        out = out.where((F.col(counts[1]) == 0) | words)
     return out

@@ -17,7 +17,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from metricloom.llm.common import WORD, numbered, fresh, stored, text_of
+from metricloom.llm.common import WORD, fresh, numbered, stored, text_of
 
 WEIGHTS = (3, 1, 2)
 SHARE_PERCENT = 150

@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from metricloom.llm.common import Ranges, mixed, small_batches, stored, text_of, word_bounds
+from metricloom.llm.common import Ranges, fresh, mixed, small_batches, stored, text_of, word_bounds
 from metricloom.llm.components import components
 
 SHINGLE = 5
@@ -320,10 +320,11 @@ def keep_one_of_each(docs: DataFrame, percent: int = 80) -> DataFrame:
     best = found.groupBy("root").agg(
         F.min_by(F.struct("doc_id", "tag"), order).alias("k")
     ).select("k.*").alias("k")
-    tagged = docs.withColumn("__tag", F.xxhash64(text_of())).alias("d")
-    same = F.col("d.doc_id").eqNullSafe(F.col("k.doc_id")) & (F.col("d.__tag") == F.col("k.tag"))
+    name = fresh(docs.columns, "near_tag")
+    tagged = docs.withColumn(name, F.xxhash64(text_of())).alias("d")
+    same = F.col("d.doc_id").eqNullSafe(F.col("k.doc_id")) & (F.col(f"d.{name}") == F.col("k.tag"))
     columns = [F.col(f"d.`{c}`") for c in docs.columns]
     worded = text_of().rlike(r"[^\x20\x09-\x0D]")
     kept = tagged.where(worded).join(best, same, "left_semi")
-    kept = kept.dropDuplicates(["doc_id", "__tag"]).select(*columns)
+    kept = kept.dropDuplicates(["doc_id", name]).select(*columns)
     return kept.unionByName(docs.where(~worded))

@@ -210,9 +210,9 @@ def train_quality_model(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_
     )
 
 
-def _score(model, position: int, names: list[str], schema: pa.Schema | None, broadcasted):
+def _score(shared, position: int, names: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        learned = broadcasted.value if broadcasted is not None else model
+        learned = Model(*shared.value) if shared is not None else None
         reader = Reader()
         for batch in batches:
             out = []
@@ -245,8 +245,9 @@ def score_quality(docs: DataFrame, model: Model | None, prefix: str = "") -> Dat
     kinds = [T.StructField(prefix + x, T.LongType()) for x in results[:5]]
     kinds.append(T.StructField(prefix + "probability", T.DoubleType()))
     schema = T.StructType([*docs.schema.fields, *kinds])
-    shared = spark.sparkContext.broadcast(model) if model is not None else None
-    run = _score(None, docs.columns.index("text"), schema.names, None, shared)
+    parts = model and (model.weights, model.bias, model.slope, model.offset)
+    shared = spark.sparkContext.broadcast(parts) if parts else None  # of fixed size
+    run = _score(shared, docs.columns.index("text"), schema.names)
     scored = docs.mapInArrow(run, schema)
     words, again = F.col(f"{prefix}n_words"), F.col(f"{prefix}n_repeat_words")
     failed = (words < MIN_WORDS) | (100 * again > 50 * words)
