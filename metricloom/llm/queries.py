@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from metricloom.llm import line_dedup, mixing, near_dedup, pieces, quality, secret_scan, token_counts
+from metricloom.llm import line_dedup, mixing, near_dedup, personal_data, pieces, quality, secret_scan, token_counts
 from metricloom.llm.common import documents, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -66,3 +66,8 @@ def op9_pieces(spark: SparkSession, folder: str) -> DataFrame:
         F.xxhash64("ids").alias("ids_hash"),
         "same",
     )
+
+
+@query
+def op6_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    return personal_data.find_personal_data(documents(spark, folder).select("doc_id", "text"))
