@@ -10,13 +10,15 @@ Steps, each over all rows:
    agreement, drop pairs that are far apart; the rest is confirmed on the full sets.
 3. Classes that are linked already need no further comparison. In buckets that still hold
    more than one component, all classes outside the largest component are compared with
-   all of the bucket, in blocks of a bounded number of signatures, again with
-   confirmation. So no link is lost to the star.
+   all of the bucket, in blocks of a bounded number of signatures and on longer
+   signatures, again with confirmation. So no link is lost to the star. A pair that
+   shares several buckets is compared in the first of them only.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,19 +32,21 @@ SHINGLE = 5
 BANDS, ROWS = 30, 5
 #: Low bits kept of each minimum.
 BITS = 4
+#: Minima of the longer signatures, made for classes in unresolved buckets only.
+LONG = 1024
 #: Standard deviations of the estimate by which a pair may miss the threshold and still
 #: be confirmed on the full sets.
 MARGIN = 5.0
 #: Classes in a block of signatures.
-BLOCK = 2_000
+BLOCK = 512
 _K = BANDS * ROWS
 _PART = 1 << 16
 
 
-def _permutations() -> tuple[np.ndarray, np.ndarray]:
-    steps = mixed(np.arange(1, 2 * _K + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+def _permutations(k: int) -> tuple[np.ndarray, np.ndarray]:
+    steps = mixed(np.arange(1, 2 * k + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
     steps = (steps >> np.uint64(32)).astype(np.uint32)
-    return steps[:_K] | np.uint32(1), steps[_K:]
+    return steps[:k] | np.uint32(1), steps[k:]
 
 
 def shingle_hashes(raw: bytes, ranges: Ranges) -> np.ndarray:
@@ -66,17 +70,25 @@ def shingle_hashes(raw: bytes, ranges: Ranges) -> np.ndarray:
 
 def minima(hashes: np.ndarray, mult: np.ndarray, add: np.ndarray) -> np.ndarray:
     """The least value of each permutation over a set of shingles."""
-    least = np.full(_K, np.iinfo(np.uint32).max, np.uint32)
+    least = np.full(mult.size, np.iinfo(np.uint32).max, np.uint32)
     short = (hashes >> np.uint64(32)).astype(np.uint32)
-    for at in range(0, short.size, 512):  # a part that stays in the processor's cache
-        values = short[at : at + 512, None] * mult
+    part = max(1, 65_536 // mult.size)
+    for at in range(0, short.size, part):  # a part that stays in the processor's cache
+        values = short[at : at + part, None] * mult
         values += add
         np.minimum(least, values.min(axis=0), out=least)
     return least.astype(np.uint64)
 
 
+def _packed(least: np.ndarray) -> bytes:
+    """The low bits of the (mixed) minima, one plane of bits after another."""
+    low = mixed(least) & np.uint64((1 << BITS) - 1)
+    planes = [np.packbits((low >> np.uint64(k)) & np.uint64(1) == 1) for k in range(BITS)]
+    return np.concatenate(planes).tobytes()
+
+
 def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    ranges, (mult, add) = Ranges(), _permutations()
+    ranges, (mult, add) = Ranges(), _permutations(_K)
     band_salt = mixed(np.arange(1, BANDS + 1, dtype=np.uint64))
     for batch in batches:
         classes, sizes, signs, bands, known = [], [], [], [], {}
@@ -86,12 +98,10 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 hashes = shingle_hashes(raw, ranges)
                 if hashes.size:
                     least = minima(hashes, mult, add)
-                    low = (mixed(least) & np.uint64((1 << BITS) - 1)).astype(np.uint8)
-                    packed = np.packbits(np.unpackbits(low[:, None], axis=1)[:, -BITS:].T)
                     keys = np.zeros(BANDS, np.uint64)
                     for row in least.reshape(BANDS, ROWS).T:
                         keys = mixed(keys * np.uint64(31) + row)
-                    known[key] = (hashes.size, packed.tobytes(), (keys + band_salt).view(np.int64))
+                    known[key] = (hashes.size, _packed(least), (keys + band_salt).view(np.int64))
                 else:
                     known[key] = (0, None, None)
             size, sign, band = known[key]
@@ -114,33 +124,30 @@ _SIGNATURES = (
 )
 
 
-def _agreement(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Minima whose kept bits agree, from packed planes of bits (one plane per kept bit)."""
+def _agreement(a: np.ndarray, b: np.ndarray, k: int) -> np.ndarray:
+    """How many of ``k`` minima agree in all their kept bits."""
     plane = a.shape[-1] // BITS
     differ = np.zeros(np.broadcast_shapes(a.shape, b.shape)[:-1] + (plane,), np.uint8)
-    for k in range(BITS):
-        differ |= a[..., k * plane : (k + 1) * plane] ^ b[..., k * plane : (k + 1) * plane]
-    return _K - np.bitwise_count(differ).sum(-1, dtype=np.int64)
+    for at in range(0, BITS * plane, plane):
+        differ |= a[..., at : at + plane] ^ b[..., at : at + plane]
+    return k - np.bitwise_count(differ).sum(-1, dtype=np.int64)
 
 
-def estimate(agree: np.ndarray) -> np.ndarray:
+def estimate(agree: np.ndarray, k: int) -> np.ndarray:
     """Similarity from agreements: unequal minima agree in their low bits by chance."""
     chance = 0.5**BITS
-    return (agree / _K - chance) / (1 - chance)
+    return (agree / k - chance) / (1 - chance)
 
 
-def _least_agreement(percent: int) -> float:
-    """Agreements below this are more than ``MARGIN`` deviations under the threshold."""
+def least_estimate(percent: int, k: int) -> float:
+    """Estimates below this are more than ``MARGIN`` deviations under the threshold."""
     chance = 0.5**BITS
     p = percent / 100 * (1 - chance) + chance
-    return _K * p - MARGIN * np.sqrt(_K * p * (1 - p))
+    return percent / 100 - MARGIN * math.sqrt(p * (1 - p) / k) / (1 - chance)
 
 
 def _planes(signs: list[bytes]) -> np.ndarray:
-    # Each plane has _K bits; they are packed one after another, so pad to whole bytes.
-    bits = np.unpackbits(np.frombuffer(b"".join(signs), np.uint8).reshape(len(signs), -1), axis=1)
-    bits = bits[:, : _K * BITS].reshape(len(signs), BITS, _K)
-    return np.packbits(bits, axis=2).reshape(len(signs), -1)
+    return np.frombuffer(b"".join(signs), np.uint8).reshape(len(signs), -1)
 
 
 def _estimated(least: float):
@@ -150,22 +157,32 @@ def _estimated(least: float):
         for batch in batches:
             if batch.num_rows:
                 a, b = (_planes(batch.column(i).to_pylist()) for i in (2, 3))
-                near = pa.array(_agreement(a, b) >= least)
+                near = pa.array(estimate(_agreement(a, b, _K), _K) >= least)
                 yield batch.select([0, 1]).filter(near)
 
     return run
 
 
 def _block_pairs(least: float):
-    """Two blocks of a bucket to the pairs between them that may be links."""
+    """A band key and two blocks of its bucket to the pairs between them that may be links.
+
+    Each block has nodes, roots, long signatures and all band keys of its members.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                a, a_root, b, b_root = (batch.column(k)[i].values.to_numpy() for k in (0, 1, 3, 4))
-                a_sign, b_sign = (_planes(batch.column(k)[i].as_py()) for k in (2, 5))
-                for node, root, sign in zip(a, a_root, a_sign, strict=True):
-                    other = b[(_agreement(b_sign, sign) >= least) & (b_root != root)]
+                band = batch.column(0)[i].as_py()
+                a, a_root, b, b_root = (batch.column(k)[i].values.to_numpy() for k in (1, 2, 5, 6))
+                a_sign, b_sign = (_planes(batch.column(k)[i].as_py()) for k in (3, 7))
+                a_keys, b_keys = (
+                    batch.column(k)[i].values.flatten().to_numpy().reshape(-1, BANDS) for k in (4, 8)
+                )
+                for node, root, sign, keys in zip(a, a_root, a_sign, a_keys, strict=True):
+                    shared = b_keys == keys
+                    here = (keys[shared.argmax(1)] == band) & shared.any(1) & (b_root != root)
+                    other, others = b[here], b_sign[here]
+                    other = other[estimate(_agreement(others, sign, LONG), LONG) >= least]
                     if other.size:
                         ends = np.minimum(other, node), np.maximum(other, node)
                         yield pa.RecordBatch.from_arrays([pa.array(x) for x in ends], ["a", "b"])
@@ -173,13 +190,20 @@ def _block_pairs(least: float):
     return run
 
 
-def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    ranges = Ranges()
-    for batch in batches:
-        found = [shingle_hashes(x, ranges).tobytes() for x in batch.column(1).to_pylist()]
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(found, pa.binary())], ["node", "shingles"]
-        )
+def _sets(long: bool):
+    """(node, text) to its shingle set, with the long signature if asked for."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ranges, (mult, add) = Ranges(), _permutations(LONG)
+        for batch in batches:
+            found = [shingle_hashes(x, ranges) for x in batch.column(1).to_pylist()]
+            signs = [_packed(minima(x, mult, add)) if long else None for x in found]
+            arrays = [pa.array([x.tobytes() for x in found], pa.binary()), pa.array(signs, pa.binary())]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), *arrays], ["node", "shingles", "long"]
+            )
+
+    return run
 
 
 def _confirmed(percent: int):
@@ -201,25 +225,23 @@ def _confirmed(percent: int):
     return run
 
 
-class _Confirmer:
-    """Confirms pairs of classes on the full sets of their first rows."""
+def _fetched(docs: DataFrame, classes: DataFrame, nodes: DataFrame, long: bool) -> DataFrame:
+    """(node, shingles, long): the full sets of some classes, from the texts of their first rows."""
+    wanted = classes.join(nodes, "node", "left_semi").select("node", "at").alias("w")
+    at = F.col("w.at")
+    same = F.col("d.doc_id").eqNullSafe(at["doc_id"]) & (F.col("d.tag") == at["tag"])
+    texts = docs.alias("d").join(wanted, same).select("w.node", "d.body")
+    sets = texts.mapInArrow(_sets(long), "node bigint, shingles binary, long binary")
+    # Repeated rows of one id and text give equal sets: one of them is enough.
+    return stored(sets, "sets").dropDuplicates(["node"])
 
-    def __init__(self, docs: DataFrame, classes: DataFrame, percent: int) -> None:
-        self.docs, self.classes, self.percent = docs, classes, percent
 
-    def links(self, pairs: DataFrame) -> DataFrame:
-        nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-        wanted = self.classes.join(nodes, "node", "left_semi").select("node", "at").alias("w")
-        at = F.col("w.at")
-        same = F.col("d.doc_id").eqNullSafe(at["doc_id"]) & (F.col("d.tag") == at["tag"])
-        texts = self.docs.alias("d").join(wanted, same).select("w.node", "d.body")
-        # Repeated rows of one id and text give equal sets: one of them is enough.
-        sets = stored(texts.mapInArrow(_sets, "node bigint, shingles binary"), "sets")
-        sets = sets.dropDuplicates(["node"])
-        a = sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))
-        b = sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
-        both = pairs.join(a, "a").join(b, "b").select("a", "b", "sa", "sb")
-        return stored(both.mapInArrow(_confirmed(self.percent), "a bigint, b bigint"), "confirmed")
+def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs that are links on their full sets."""
+    a = sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))
+    b = sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
+    both = pairs.join(a, "a").join(b, "b").select("a", "b", "sa", "sb")
+    return stored(both.mapInArrow(_confirmed(percent), "a bigint, b bigint"), "confirmed")
 
 
 def near_groups(docs: DataFrame, percent: int = 85) -> DataFrame:
@@ -228,7 +250,6 @@ def near_groups(docs: DataFrame, percent: int = 85) -> DataFrame:
     ``root`` is the smallest class that the row's class reaches over links of similarity
     ``percent`` or more; it is missing for rows without a word.
     """
-    least = float(_least_agreement(percent))
     rows = docs.mapInArrow(_signatures, _SIGNATURES)
     rows = stored(rows.withColumn("row", F.monotonically_increasing_id()), "signatures")
     classes = (
@@ -250,9 +271,9 @@ def near_groups(docs: DataFrame, percent: int = 85) -> DataFrame:
     sa = signs.select(F.col("node").alias("a"), F.col("sign").alias("sa"))
     sb = signs.select(F.col("node").alias("b"), F.col("sign").alias("sb"))
     paired = star.distinct().join(sa, "a").join(sb, "b").select("a", "b", "sa", "sb")
-    pairs = stored(paired.mapInArrow(_estimated(least), "a bigint, b bigint"), "pairs")
-    confirm = _Confirmer(docs, classes, percent)
-    links = confirm.links(pairs)
+    pairs = stored(paired.mapInArrow(_estimated(least_estimate(percent, _K)), "a bigint, b bigint"), "pairs")
+    ends = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    links = _links(pairs, _fetched(docs, classes, ends, False), percent)
     label = components(links)
 
     rooted = met.join(label, "node", "left").select(
@@ -262,19 +283,24 @@ def near_groups(docs: DataFrame, percent: int = 85) -> DataFrame:
     open_ = parts.groupBy("band").agg(
         F.max_by("root", F.struct("size", "root")).alias("main"), F.count(F.lit(1)).alias("parts")
     ).where("parts > 1").drop("parts")
-    rest = stored(rooted.join(open_, "band").join(signs, "node"), "open")
+    rest = stored(rooted.join(open_, "band"), "open")
+    sets = _fetched(docs, classes, rest.select("node").distinct(), True)
+    known = sets.select("node", "long").join(classes.select("node", "bands"), "node")
+    rest = rest.join(known, "node")
     block = F.pmod(F.xxhash64("node"), F.ceil(F.col("c") / BLOCK)).alias("block")
-    gathered = F.sort_array(F.collect_list(F.struct("node", "root", "sign"))).alias("m")
-    columns = ["m.node", "m.root", "m.sign"]
+    gathered = F.sort_array(F.collect_list(F.struct("node", "root", "long", "bands"))).alias("m")
+    columns = ["m.node", "m.root", "m.long", "m.bands"]
     whole = rest.groupBy("band", block).agg(gathered)
     whole = whole.select("band", *[F.col(c).alias(f"b{i}") for i, c in enumerate(columns)])
     outside = rest.where("root != main").groupBy("band", block).agg(gathered)
     outside = outside.select("band", *[F.col(c).alias(f"a{i}") for i, c in enumerate(columns)])
-    tested = outside.join(whole, "band").select("a0", "a1", "a2", "b0", "b1", "b2")
-    more = tested.mapInArrow(_block_pairs(least), "a bigint, b bigint").distinct()
-    more = stored(more.join(pairs, ["a", "b"], "left_anti"), "more")
+    tested = outside.join(whole, "band").select(
+        "band", *[f"{side}{i}" for side in "ab" for i in range(4)]
+    )
+    more = tested.mapInArrow(_block_pairs(least_estimate(percent, LONG)), "a bigint, b bigint")
+    more = stored(more.distinct().join(pairs, ["a", "b"], "left_anti"), "more")
     if not more.isEmpty():
-        links = links.union(confirm.links(more))
+        links = links.union(_links(more, sets, percent))
         label = components(links)
     named = classes.join(label, "node", "left").select(
         "class", "node", F.coalesce("root", "node").alias("root")
