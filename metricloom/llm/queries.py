@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from metricloom.llm import line_dedup, mixing, near_dedup, neighbours, personal_data, pieces, quality, secret_scan, token_counts
+from metricloom.llm import chat, line_dedup, mixing, near_dedup, neighbours, personal_data, pieces, quality, secret_scan, token_counts
 from metricloom.llm.common import documents, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -76,3 +76,8 @@ def op6_personal_data(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op8_neighbours(spark: SparkSession, folder: str) -> DataFrame:
     return neighbours.nearest(table(spark, folder, "embeddings"))
+
+
+@query
+def op5_chat_format(spark: SparkSession, folder: str) -> DataFrame:
+    return chat.format_chats(table(spark, folder, "conversations"))
