@@ -25,7 +25,8 @@ ROLES = ("system", "user", "assistant")
 #: States: the role of the open turn, or the beginning.
 START = 3
 LEGAL = {START: (0, 1), 0: (1,), 1: (2,), 2: (1,)}
-MERGE, RELABEL, UNNAMED, INSERT = 1.0, 2.0, 1.0, 3.0
+#: A new label costs more than an empty turn; nothing but a system turn becomes one.
+MERGE, RELABEL, UNNAMED, INSERT = 1.0, 4.0, 1.0, 3.0
 ACTIONS = ("open", "merge")
 _STATES = range(4)
 
@@ -38,7 +39,9 @@ def role_of(name: str | None) -> int:
 
 
 def _label(role: int, new: int) -> float:
-    return 0.0 if role == new else UNNAMED if role < 0 else RELABEL
+    if role == new:
+        return 0.0
+    return math.inf if new == 0 else UNNAMED if role < 0 else RELABEL
 
 
 def _moves(role: int) -> dict[tuple[int, int], Choice]:
@@ -49,7 +52,7 @@ def _moves(role: int) -> dict[tuple[int, int], Choice]:
     out: dict[tuple[int, int], Choice] = {}
 
     def offer(a: int, b: int, choice: Choice) -> None:
-        if (a, b) not in out or choice[0] < out[a, b][0]:
+        if choice[0] < out.get((a, b), (math.inf,))[0]:
             out[a, b] = choice
 
     for state in _STATES:
