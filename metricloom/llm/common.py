@@ -56,13 +56,6 @@ def numbered(df: DataFrame, name: str, label: str) -> DataFrame:
     return stored(df.withColumn(name, F.monotonically_increasing_id()), label)
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    files = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return files.exists(target)
-
-
 def text_of(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 

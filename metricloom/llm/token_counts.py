@@ -9,8 +9,8 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from metricloom.llm.common import path_exists, small_batches, stored, text_of
-from metricloom.session import scratch_path
+from metricloom.llm.common import small_batches, stored, text_of
+from metricloom.session import path_exists, scratch_path
 
 CACHE = T.StructType(
     [
