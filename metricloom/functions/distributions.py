@@ -310,3 +310,45 @@ def shapiro(values: np.ndarray) -> tuple[float | None, float | None]:
     w = float(shapiro_weights(n) @ x) ** 2 / spread
     w = min(w, 1.0)
     return w, shapiro_p(w, n)
+
+
+def shapiro_w(n, spread, square, product, x1, x2, y2, y1) -> Column:
+    """W from sums over all ranks: of squared scores and of score times centred value, and
+    the two smallest and the two largest centred values. Missing below three values."""
+    u = F.lit(1.0) / F.sqrt(n)
+    last = normal_ppf((n - 0.375) / (n + 0.25))
+    second = normal_ppf((n - 1.375) / (n + 0.25))
+    a1 = horner(SW_LAST[::-1], u) + last / F.sqrt(square)
+    a2 = horner(SW_LAST_BUT_ONE[::-1], u) + second / F.sqrt(square)
+    outer, inner = y1 - x1, y2 - x2
+    long = a1 * outer + a2 * inner + (product - last * outer - second * inner) / F.sqrt(
+        (square - 2 * last * last - 2 * second * second) / (1 - 2 * a1 * a1 - 2 * a2 * a2)
+    )
+    short = a1 * outer + (product - last * outer) / F.sqrt(
+        (square - 2 * last * last) / (1 - 2 * a1 * a1)
+    )
+    three = F.lit(math.sqrt(0.5)) * outer
+    sum_ = F.when(n == 3, three).when(n <= 5, short).otherwise(long)
+    w = F.least(sum_ * sum_ / F.nullif(spread, F.lit(0.0)), F.lit(1.0))
+    return F.when(n < 3, None).when(outer == 0, 1.0).otherwise(w)
+
+
+def shapiro_p_column(w: Column, n: Column) -> Column:
+    """The p-value of W as a column expression."""
+    three = F.lit(6.0 / math.pi) * (F.asin(F.sqrt(w)) - math.asin(math.sqrt(0.75)))
+    size = n.cast("double")
+    y = F.ln(1 - w)
+    gamma = horner(SW_GAMMA[::-1], size)
+    small = (-F.ln(gamma - y) - horner(SW_MEAN_SMALL[::-1], size)) / F.exp(
+        horner(SW_SD_SMALL[::-1], size)
+    )
+    x = F.ln(size)
+    large = (y - horner(SW_MEAN_LARGE[::-1], x)) / F.exp(horner(SW_SD_LARGE[::-1], x))
+    return (
+        F.when(w.isNull(), None)
+        .when(n == 3, F.least(F.greatest(three, F.lit(0.0)), F.lit(1.0)))
+        .when(w >= 1, 1.0)
+        .when((n <= 11) & (y >= gamma), 1e-99)
+        .when(n <= 11, normal_cdf(-small))
+        .otherwise(normal_cdf(-large))
+    )

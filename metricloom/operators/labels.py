@@ -14,24 +14,25 @@ from metricloom.functions.scalars import (
 from metricloom.operators.cleaning import commit_filter
 from metricloom.operators.ordered import ROWS_PER_TASK, running_before
 
-MAX_FILES_PER_FIX = 8
 LINE = ["repo", "path", "line_id"]
 
 
-def fix_candidates(changes: DataFrame, lines: DataFrame, max_files: int = MAX_FILES_PER_FIX) -> DataFrame:
+def fix_candidates(changes: DataFrame, lines: DataFrame, max_files: int | None = None) -> DataFrame:
     """Files of corrections whose deletions are traced back.
 
-    Source files with deletions, the first ``max_files`` per change in file order, and of
-    those the ones with at least one deleted line that is neither blank nor a comment.
+    Source files with deletions and at least one deleted line that is neither blank nor a
+    comment. ``max_files`` keeps only the first files of a change in file order; by default
+    all of them are traced.
     """
     files = commit_filter(changes).where(
         is_corrective(F.col("msg")) & is_python(F.col("path")) & (F.col("deleted") > 0)
     )
-    position = F.row_number().over(Window.partitionBy("repo", "hash").orderBy("file_order"))
-    first = files.withColumn("__pos", position).where(F.col("__pos") <= max_files)
+    if max_files is not None:
+        position = F.row_number().over(Window.partitionBy("repo", "hash").orderBy("file_order"))
+        files = files.withColumn("__pos", position).where(F.col("__pos") <= max_files)
     real = lines.where((F.col("op") == "delete") & is_meaningful_line(F.col("content")))
     return (
-        first.join(real.select("repo", "hash", "path").distinct(), ["repo", "hash", "path"], "left_semi")
+        files.join(real.select("repo", "hash", "path").distinct(), ["repo", "hash", "path"], "left_semi")
         .select("repo", "hash", "commit_seq", "path")
         .distinct()
     )

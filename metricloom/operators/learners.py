@@ -92,9 +92,18 @@ def _leaf_depth(leaves: int) -> int:
     return max(1, math.ceil(math.log2(leaves)))
 
 
+def _depth(depth: int | None) -> int:
+    """``None`` is the deepest that Spark grows; other depths are taken as they are."""
+    if depth is None:
+        return DEEPEST
+    if not 0 <= depth <= DEEPEST:
+        raise ValueError(f"trees can be 0 to {DEEPEST} levels deep, not {depth}")
+    return depth
+
+
 def forest_classifier(trees=FOREST_TREES, depth=None, min_leaf=1, columns="sqrt", seed=SEED):
     return RandomForestClassifier(
-        numTrees=trees, maxDepth=min(depth or DEEPEST, DEEPEST), minInstancesPerNode=min_leaf,
+        numTrees=trees, maxDepth=_depth(depth), minInstancesPerNode=min_leaf,
         featureSubsetStrategy=columns, weightCol="weight", seed=seed,
         cacheNodeIds=True, checkpointInterval=10,
     )
@@ -252,7 +261,7 @@ class ForestRegression:
     ):
         self.features, self.target = list(features), target
         self.estimator = RandomForestRegressor(
-            numTrees=trees, maxDepth=min(depth or DEEPEST, DEEPEST), seed=seed,
+            numTrees=trees, maxDepth=_depth(depth), seed=seed,
             featureSubsetStrategy=columns, minInstancesPerNode=min_leaf, cacheNodeIds=True, checkpointInterval=10,
         )
 

@@ -72,7 +72,8 @@ def ols_fit_quality(df: DataFrame, y: str, xs: Sequence[str], name: str = "model
 
 
 def nested_models(df: DataFrame, y: str, base: Sequence[str], added: Sequence[str]) -> DataFrame:
-    """Fit without and with the added predictors, on the rows complete for the smaller model."""
+    """Fit without and with the added predictors, both on the rows complete for all of them."""
+    df = drop_incomplete(df, [y, *base, *added])
     return union_all(
         [
             ols_fit_quality(df, y, base, "base").select("model", "n", "r2", "r2_adj"),
@@ -81,11 +82,27 @@ def nested_models(df: DataFrame, y: str, base: Sequence[str], added: Sequence[st
     )
 
 
+def _inflation(r: np.ndarray) -> list[float]:
+    """Diagonal of the inverse, infinite for the rows that depend on others."""
+    if not np.isfinite(r).all():
+        return [float("nan")] * len(r)
+    if np.linalg.matrix_rank(r) == len(r):
+        return [float(v) for v in np.diag(np.linalg.inv(r))]
+    values = []
+    for i in range(len(r)):
+        others = np.delete(np.arange(len(r)), i)
+        fit, *_ = np.linalg.lstsq(r[np.ix_(others, others)], r[others, i], rcond=None)
+        left = 1.0 - float(r[others, i] @ fit)
+        values.append(1.0 / left if left > 1e-10 else float("inf"))
+    return values
+
+
 def vif(df: DataFrame, xs: Sequence[str], constant: bool = False) -> DataFrame:
     """Variance inflation: the diagonal of the inverse correlation matrix.
 
     Only the matrix of the predictors reaches the driver. With ``constant`` the intercept
-    is listed too: n / SSR of the constant regressed on the predictors.
+    is listed too: n / SSR of the constant regressed on the predictors. A predictor that
+    the others determine has infinite inflation.
     """
     rows = drop_incomplete(df, xs)
     matrix = pearson_matrix(rows, xs, "listwise", digits=None).collect()
@@ -94,8 +111,7 @@ def vif(df: DataFrame, xs: Sequence[str], constant: bool = False) -> DataFrame:
     for cell in matrix:
         value = cell["r"]
         r[place[cell["x"]], place[cell["y"]]] = np.nan if value is None else value
-    inverse = np.linalg.inv(r)
-    values = [float(v) for v in np.diag(inverse)]
+    values = _inflation(r)
     names = list(xs)
     if constant:
         moments = rows.agg(
@@ -104,7 +120,8 @@ def vif(df: DataFrame, xs: Sequence[str], constant: bool = False) -> DataFrame:
         ).first()
         z = np.array([moments["mean"][x] / moments["std"][x] for x in xs])
         names.append("const")
-        values.append(1.0 + float(z @ inverse @ z))
+        regular = np.isfinite(r).all() and np.linalg.matrix_rank(r) == len(xs)
+        values.append(1.0 + float(z @ np.linalg.solve(r, z)) if regular else float("inf"))
     return df.sparkSession.createDataFrame(list(zip(names, values)), "variable string, vif double")
 
 

@@ -12,55 +12,66 @@ from metricloom.functions.distributions import (
     lilliefors_p,
     normal_cdf,
     normal_ppf,
-    shapiro,
+    shapiro_p_column,
+    shapiro_w,
 )
 from metricloom.functions.scalars import half_even
 from metricloom.operators.ordered import ROWS_PER_TASK, running_before
-from metricloom.operators.profile import long_values, summarize_columns, value_counts
+from metricloom.operators.profile import summarize_columns, value_counts
 
-SHAPIRO_ROWS = 5_000
-_SALTS = 256
 _CHUNK = 100_000
 _ALPHA = 0.05
 
 
-def _first_rows(long: DataFrame, order: Sequence[Column], k: int) -> DataFrame:
-    """The first k rows per variable.
-
-    Each salt keeps its own first k before the variables are brought together, so no
-    task sees more than salts x k rows of one variable.
-    """
-    marks = [c.alias(f"__o{i}") for i, c in enumerate(order)]
-    names = [f"__o{i}" for i in range(len(order))]
-    ready = long.select("variable", "value", *marks).withColumn(
-        "__salt", F.pmod(F.xxhash64(*names), F.lit(_SALTS))
-    )
-    local = F.row_number().over(Window.partitionBy("variable", "__salt").orderBy(*names))
-    kept = ready.withColumn("__rn", local).where(F.col("__rn") <= k)
-    overall = F.row_number().over(Window.partitionBy("variable").orderBy(*names))
-    return kept.withColumn("__rn", overall).where(F.col("__rn") <= k).select("variable", "value")
-
-
-def _shapiro_group(pdf: pd.DataFrame) -> pd.DataFrame:
-    w, p = shapiro(pdf["value"].to_numpy())
-    return pd.DataFrame(
-        {"variable": [pdf["variable"].iloc[0]], "n": [len(pdf)], "w": [w], "p": [p]}
-    )
+def _ranked_counts(df: DataFrame, cols: Sequence[str], rows_per_task: int) -> DataFrame:
+    """(variable, value, n, start, size, mean, spread) of each distinct value."""
+    stats = summarize_columns(
+        df, cols,
+        {
+            "size": F.count, "mean": F.avg,
+            "spread": lambda c: F.var_pop(c) * F.count(c),
+        },
+    )
+    return running_before(
+        value_counts(df, cols), ["variable"], "value", {"start": F.col("n")},
+        unique_order=True, at_most=df.count(), rows_per_task=rows_per_task,
+    ).join(stats, "variable")
 
 
 def shapiro_wilk(
-    df: DataFrame, cols: Sequence[str], order: Sequence[str], log: bool = False
+    df: DataFrame, cols: Sequence[str], log: bool = False, rows_per_task: int = ROWS_PER_TASK
 ) -> DataFrame:
-    """W and p per column on its first 5,000 present values in the given order."""
+    """W and p per column, on all present values.
+
+    The weights are closed in rank and number of values, so W needs sums over ranks only:
+    ties are numbered from (value, count) pairs, nothing is sorted globally or gathered.
+    ``p_valid`` says whether the number of values is in the range that the p-value was
+    fitted for (3 to 5,000); W itself has no such range.
+    """
     data = df
     if log:
         data = df.withColumns({c: F.log1p(F.col(c).cast("double")) for c in cols})
-    data = data.withColumn("__order", F.struct(*order))
-    long = long_values(data, cols, ["__order"]).where(F.col("value").isNotNull())
-    sample = _first_rows(long, [F.col("__order")], SHAPIRO_ROWS)
-    return sample.groupBy("variable").applyInPandas(
-        _shapiro_group, "variable string, n long, w double, p double"
-    )
+    ranked = _ranked_counts(data, cols, rows_per_task)
+    points = _number_ties(ranked, ["mean", "spread"])
+    score = normal_ppf((F.col("i") - 0.375) / (F.col("size") + 0.25))
+    centred = F.col("value") - F.col("mean")
+    n, i = F.col("size"), F.col("i")
+    at = {
+        "x1": i == 1, "x2": i == 2, "y2": i == n - 1, "y1": i == n,
+    }
+    sums = points.groupBy("variable").agg(
+        F.any_value("size").alias("n"), F.any_value("spread").alias("spread"),
+        F.sum(score * score).alias("square"), F.sum(score * centred).alias("product"),
+        *[F.max(F.when(test, centred)).alias(name) for name, test in at.items()],
+    )
+    w = shapiro_w(*[F.col(c) for c in ("n", "spread", "square", "product", "x1", "x2", "y2", "y1")])
+    names = df.sparkSession.createDataFrame([(c,) for c in cols], "variable string")
+    out = names.join(sums.withColumn("w", w), "variable", "left")
+    return out.select(
+        "variable", F.coalesce("n", F.lit(0)).alias("n"), "w",
+        shapiro_p_column(F.col("w"), F.col("n")).alias("p"),
+        F.coalesce(F.col("n").between(3, 5_000), F.lit(False)).alias("p_valid"),
+    )
 
 
 def ks_statistic(df: DataFrame, cols: Sequence[str], rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
@@ -100,11 +111,9 @@ def lilliefors(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return ks_statistic(df, cols).withColumn("p", lilliefors_p(F.col("d"), F.col("n")))
 
 
-def normality_table(
-    df: DataFrame, cols: Sequence[str], order: Sequence[str], corrected: bool = False
-) -> DataFrame:
+def normality_table(df: DataFrame, cols: Sequence[str], corrected: bool = False) -> DataFrame:
     """Both tests side by side; normal only if both p exceed 0.05."""
-    sw = shapiro_wilk(df, cols, order).select("variable", "w", F.col("p").alias("sw_p"))
+    sw = shapiro_wilk(df, cols).select("variable", "w", F.col("p").alias("sw_p"))
     ks = (lilliefors if corrected else ks_normal)(df, cols)
     ks = ks.select("variable", "d", F.col("p").alias("ks_p"))
     return sw.join(ks, "variable").select(
@@ -115,10 +124,10 @@ def normality_table(
     )
 
 
-def log1p_effect(df: DataFrame, cols: Sequence[str], order: Sequence[str]) -> DataFrame:
+def log1p_effect(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Does log(1 + x) raise the Shapiro-Wilk p-value?"""
-    before = shapiro_wilk(df, cols, order).select("variable", F.col("p").alias("p_before"))
-    after = shapiro_wilk(df, cols, order, log=True).select("variable", F.col("p").alias("p_after"))
+    before = shapiro_wilk(df, cols).select("variable", F.col("p").alias("p_before"))
+    after = shapiro_wilk(df, cols, log=True).select("variable", F.col("p").alias("p_after"))
     return before.join(after, "variable").withColumn("improved", F.col("p_after") > F.col("p_before"))
 
 
@@ -145,11 +154,11 @@ def qq_points(
     )
 
 
-def _number_ties(ranked: DataFrame) -> DataFrame:
+def _number_ties(ranked: DataFrame, carried: Sequence[str] = ()) -> DataFrame:
     """One row per data row. A very frequent value is first cut into ranges of positions
     that are spread over the tasks, so no task writes out all its copies."""
     last = F.col("start") + F.col("n")
-    columns = ["variable", "value", "size"]
+    columns = ["variable", "value", "size", *carried]
     rare = ranked.where(F.col("n") <= _CHUNK).select(
         *columns, F.explode(F.sequence(F.col("start") + 1, last)).alias("i")
     )

@@ -173,6 +173,11 @@ def approximate_quantiles(df, cols, probs: Mapping[str, float], accuracy: int =
     return table.select("variable", *[F.col("q")[i].alias(n) for i, n in enumerate(names)])
 
 
+def named(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """One row per column name."""
+    return df.sparkSession.createDataFrame([(c,) for c in cols], "variable string")
+
+
 # --- centre and spread ------------------------------------------------------------------
 
 
@@ -185,11 +190,12 @@ def central_tendency(df: DataFrame, cols: Sequence[str], first_seen_by: str | No
     counts = value_counts(df, cols, first_seen_by)
     tie = F.col("first_seen") if first_seen_by else F.col("value")
     modes = counts.groupBy("variable").agg(
-        F.max_by("value", F.struct(F.col("n"), -tie)).alias("mode"),
+        F.min_by("value", F.struct(-F.col("n"), tie)).alias("mode"),
         (F.sum(F.col("value") * F.col("n")) / F.sum("n")).alias("mean"),
     )
     medians = quantile_table(df, cols, {"median": 0.5}).drop("n")
-    return modes.join(medians, "variable").select(
+    # A column without values stays, with missing results.
+    return named(df, cols).join(modes, "variable", "left").join(medians, "variable", "left").select(
         "variable",
         *[half_even(F.col(c), 3).alias(c) for c in ("mean", "median", "mode")],
     )
@@ -203,11 +209,12 @@ def skew_class(df: DataFrame, cols: Sequence[str]) -> DataFrame:
         safe_ratio(F.col("mean"), F.col("median"))
     )
     label = (
-        F.when(ratio > 1.5, "strong right skew")
+        F.when(ratio.isNull(), None)
+        .when(ratio > 1.5, "strong right skew")
         .when(ratio > 1.1, "mild right skew")
         .otherwise("symmetric")
     )
-    return means.join(medians, "variable").select(
+    return means.join(medians, "variable", "left").select(
         "variable", half_even(ratio, 4).alias("ratio"), label.alias("skew_class")
     )
 
@@ -257,7 +264,8 @@ def percentiles(df: DataFrame, cols: Sequence[str], *, exact: bool = True) -> Da
         quantile_table(df, cols, PERCENTILES) if exact
         else approximate_quantiles(df, cols, PERCENTILES)
     )
-    return table.select(
+    # A column without values stays, with missing results.
+    return named(df, cols).join(table, "variable", "left").select(
         "variable",
         *[half_even(F.col(c), 3).alias(c) for c in PERCENTILES],
         half_even(F.col("q3") - F.col("q1"), 3).alias("iqr"),

@@ -25,15 +25,19 @@ def temporal_split(
     """The first ``int(share * n)`` rows by (date, tie) train, the rest test.
 
     Both sides are plain filters against one located row, so they reach the scan.
-    ``tie`` is a numeric row id.
+    ``tie`` is a numeric row id. Rows without a date or id count as the earliest: they
+    train, and the two sides always add up to the input.
     """
-    before = is_before(temporal_cut(df, date, tie, train_share, rows_per_task), date, tie)
+    cut = temporal_cut(df, date, tie, train_share, rows_per_task)
+    before = F.coalesce(is_before(cut, date, tie), F.lit(True))
     return df.where(before), df.where(~before)
 
 
 def temporal_cut(df, date, tie, train_share=0.75, rows_per_task=ROWS_PER_TASK) -> Cut:
-    n = df.count()
-    return find_cut(df, date, tie, int(n * train_share), n, rows_per_task)
+    placed = F.col(date).isNotNull() & F.col(tie).isNotNull()
+    sizes = df.agg(F.count(F.lit(1)).alias("n"), F.count(F.when(placed, 1)).alias("dated")).first()
+    first = max(0, int(sizes["n"] * train_share) - (sizes["n"] - sizes["dated"]))
+    return find_cut(df.where(placed), date, tie, first, sizes["dated"], rows_per_task)
 
 
 def hash_order(key: Column, seed: int = SEED) -> Column:

@@ -5,15 +5,57 @@ Plain statements of what each operator means, written without regard to speed.
 
 from __future__ import annotations
 
-from metricloom.functions.distributions import (
-    AS241_CENTRE,
-    AS241_MIDDLE,
-    AS241_TAIL,
-    HART_DENOMINATOR,
-    HART_NUMERATOR,
-    HART_SWITCH,
+# Fixed values, written out here so that a slip in the package's own shows up.
+HART_NUMERATOR = [
+    0.0352624965998911, 0.700383064443688, 6.37396220353165, 33.912866078383,
+    112.079291497871, 221.213596169931, 220.206867912376,
+]
+HART_DENOMINATOR = [
+    0.0883883476483184, 1.75566716318264, 16.064177579207, 86.7807322029461,
+    296.564248779674, 637.333633378831, 793.826512519948, 440.413735824752,
+]
+HART_SWITCH = 7.07106781186547
+AS241_CENTRE = (
+    [
+    2509.0809287301227, 33430.57558358813, 67265.7709270087, 45921.95393154987,
+    13731.69376550946, 1971.5909503065513, 133.14166789178438, 3.3871328727963665,
+],
+    [
+    5226.495278852854, 28729.085735721943, 39307.89580009271, 21213.794301586597,
+    5394.196021424751, 687.1870074920579, 42.31333070160091, 1.0,
+],
+)
+AS241_MIDDLE = (
+    [
+    0.0007745450142783414, 0.022723844989269184, 0.2417807251774506, 1.2704582524523684,
+    3.6478483247632045, 5.769497221460691, 4.630337846156546, 1.4234371107496835,
+],
+    [
+    1.0507500716444169e-09, 0.0005475938084995345, 0.015198666563616457, 0.14810397642748008,
+    0.6897673349851, 1.6763848301838038, 2.053191626637759, 1.0,
+],
+)
+AS241_TAIL = (
+    [
+    2.0103343992922881e-07, 2.7115555687434876e-05, 0.0012426609473880784, 0.026532189526576124,
+    0.29656057182850487, 1.7848265399172913, 5.463784911164114, 6.657904643501103,
+],
+    [
+    2.0442631033899397e-15, 1.421511758316446e-07, 1.8463183175100548e-05, 0.0007868691311456133,
+    0.014875361290850615, 0.1369298809227358, 0.599832206555888, 1.0,
+],
+)
+SW_LAST = [0.0, 0.221157, -0.147981, -2.07119, 4.434685, -2.706056]
+SW_LAST_BUT_ONE = [0.0, 0.042981, -0.293762, -1.752461, 5.682633, -3.582633]
+SW_MEAN_LARGE = [-1.5861, -0.31082, -0.083751, 0.0038915]
+SW_SD_LARGE = [-0.4803, -0.082676, 0.0030302]
+CORRECTIVE_MESSAGE = (
+    r"\b(fix(e[ds])?|fixup|bugfix|hotfix|bug(s)?|defect|patch|"
+    r"error|fault|fail(ure|ed|s)?|issue|resolve[ds]?|resolving|"
+    r"correct(ed|ion|s)?|repair(ed|s)?|workaround|revert)\b"
+    r"|"
+    r"\b(close[sd]?|fix(e[sd])?|resolve[sd]?)\s*#\d+"
 )
-from metricloom.functions.scalars import CORRECTIVE_MESSAGE
 
 METRICS = [
     "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_linenumber", "p_size",
@@ -336,13 +378,9 @@ FROM commits JOIN diffusion USING (repo, hash) JOIN size USING (repo, hash)
 # --- labelling --------------------------------------------------------------------------
 
 CANDIDATES = """candidates AS (
-  SELECT DISTINCT repo, hash, path FROM (
-    SELECT *, row_number() OVER (PARTITION BY repo, hash ORDER BY l_orderkey, l_partkey, l_suppkey,
-      l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus,
-      l_shipdate) AS pos
-    FROM valid WHERE (msg LIKE 'Fix crash%' OR msg LIKE 'closes #%') AND path LIKE '%.py'
-      AND deleted > 0) f
-  WHERE pos <= 8 AND EXISTS (SELECT 1 FROM lines l WHERE l.repo = f.repo AND l.hash = f.hash
+  SELECT DISTINCT repo, hash, path FROM valid f
+  WHERE (msg LIKE 'Fix crash%' OR msg LIKE 'closes #%') AND path LIKE '%.py' AND deleted > 0
+    AND EXISTS (SELECT 1 FROM lines l WHERE l.repo = f.repo AND l.hash = f.hash
     AND l.path = f.path AND l.op = 'delete' AND l.content = 'x = 1'))"""
 ORIGINS = """dels AS (
   SELECT l.*, row_number() OVER () AS rid FROM lines l JOIN candidates c USING (repo, hash, path)
@@ -543,6 +581,45 @@ ECDF = """d AS (
   SELECT variable, max(n) AS n, max(greatest(i::DOUBLE / n - p, p - (i - 1)::DOUBLE / n)) AS d
   FROM (SELECT *, PHI AS p FROM d) GROUP BY variable)""".replace("PHI", phi("z"))
 
+def shapiro_sql(source: str, name: str) -> str:
+    """CTEs that end in ``name`` (variable, n, w, p), on all present values of ``source``."""
+    u = "(1.0::DOUBLE / sqrt(n))"
+    last, second = probit("((n - 0.375::DOUBLE) / (n + 0.25::DOUBLE))"), probit(
+        "((n - 1.375::DOUBLE) / (n + 0.25::DOUBLE))"
+    )
+    x = "ln(n::DOUBLE)"
+    z = f"(ln(1 - w) - {horner(SW_MEAN_LARGE[::-1], x)}) / exp({horner(SW_SD_LARGE[::-1], x)})"
+    return f"""{name}_o AS (
+  SELECT variable, value, row_number() OVER (PARTITION BY variable ORDER BY value) AS i,
+    count(*) OVER (PARTITION BY variable) AS n FROM {source} WHERE value IS NOT NULL
+), {name}_m AS (
+  SELECT *, {probit("((i - 0.375::DOUBLE) / (n + 0.25::DOUBLE))")} AS m FROM {name}_o
+), {name}_s AS (
+  SELECT variable, max(n) AS n, sum(m * m) AS sq, var_pop(value) * count(*) AS spread,
+    sum(m * value) - avg(value) * sum(m) AS prod,
+    max(value) FILTER (i = n) - max(value) FILTER (i = 1) AS outer_,
+    max(value) FILTER (i = n - 1) - max(value) FILTER (i = 2) AS inner_
+  FROM {name}_m GROUP BY variable
+), {name}_a AS (
+  SELECT *, {last} AS m1, {second} AS m2, {horner(SW_LAST[::-1], u)} + {last} / sqrt(sq) AS a1,
+    {horner(SW_LAST_BUT_ONE[::-1], u)} + {second} / sqrt(sq) AS a2 FROM {name}_s
+), {name}_w AS (
+  SELECT variable, n, least(1.0, pow(a1 * outer_ + a2 * inner_ + (prod - m1 * outer_ - m2 * inner_)
+    / sqrt((sq - 2 * m1 * m1 - 2 * m2 * m2) / (1 - 2 * a1 * a1 - 2 * a2 * a2)), 2) / spread) AS w
+  FROM {name}_a
+), {name} AS (SELECT variable, n, w, {phi(f"(-({z}))")} AS p FROM {name}_w)"""
+
+
+SQL["shapiro_wilk"] = with_(METRIC, long(), shapiro_sql("long", "sw")) + f"""
+SELECT variable, n, {rounded("w", 7)} AS w, {rounded("p", 7)} AS p, n BETWEEN 3 AND 5000 AS p_valid FROM sw"""
+
+SQL["log1p_effect"] = with_(
+    METRIC, long(), "lg AS (SELECT variable, ln(1 + value) AS value FROM long)",
+    shapiro_sql("long", "sw"), shapiro_sql("lg", "sl"),
+) + f"""
+SELECT variable, {rounded("sw.p", 6)} AS p_before, {rounded("sl.p", 6)} AS p_after, sl.p > sw.p AS improved
+FROM sw JOIN sl USING (variable)"""
+
 SQL["ks_statistic"] = with_(METRIC, long(), ECDF) + f"SELECT variable, n, {rounded('d', 8)} AS d FROM ks"
 
 SQL["lilliefors"] = with_(METRIC, LOG, _long_both, ECDF) + f""", k AS (

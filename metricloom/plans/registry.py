@@ -452,7 +452,7 @@ def _(spark, d):
 
 _metric_query("central_tendency", lambda t: profile.central_tendency(t, METRICS))
 _metric_query("central_tendency_first_seen", lambda t: profile.central_tendency(
-    t.withColumn("place", F.col("id") * 1_000_000_000 + F.col("l_partkey") * 1_000 + F.col("l_suppkey") % 1000),
+    t.withColumn("place", F.struct("id", "l_partkey", F.col("l_suppkey") % 1000)),
     ["l_quantity", "p_size", "l_tax"], "place"))
 _metric_query("skew_class", lambda t: profile.skew_class(t, METRICS))
 _metric_query("dispersion", lambda t: profile.dispersion(t, METRICS))
@@ -487,9 +487,9 @@ _metric_query("profile_all", lambda t: profile.profile_all(t, [*METRICS, "empty"
 
 # --- tests and correlation --------------------------------------------------------------
 
-ROW_ORDER = ["id", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_shipdate"]
 
-_metric_query("shapiro_wilk", lambda t: normality.shapiro_wilk(t, METRICS, ROW_ORDER))
+_metric_query("shapiro_wilk", lambda t: _round(
+    normality.shapiro_wilk(t, METRICS), 7, "w", "p"))
 _metric_query("ks_normal", lambda t: normality.ks_normal(t, METRICS))
 _metric_query("ks_statistic", lambda t: normality.ks_statistic(t, METRICS).withColumn(
     "d", s.half_even(F.col("d"), 8)))
@@ -503,7 +503,8 @@ def _(spark, d):
     return table.select("variable", "n", *[s.half_even(F.col(c), 8).alias(c) for c in ("d", "p")])
 
 
-_metric_query("normality_table", lambda t: normality.normality_table(t, METRICS, ROW_ORDER))
+_metric_query("normality_table", lambda t: _round(
+    normality.normality_table(t, METRICS), 6, "sw_p", "ks_p"))
 
 
 @query("qq_points")
@@ -522,7 +523,8 @@ def _(spark, d):
     )
 
 
-_metric_query("log1p_effect", lambda t: normality.log1p_effect(t, METRICS, ROW_ORDER))
+_metric_query("log1p_effect", lambda t: _round(
+    normality.log1p_effect(t, METRICS), 6, "p_before", "p_after"))
 _metric_query("pearson_matrix", lambda t: correlation.pearson_matrix(t, METRICS))
 _metric_query("pearson_matrix_listwise", lambda t: correlation.pearson_matrix(t, METRICS, "listwise"))
 _metric_query("spearman_matrix", lambda t: correlation.spearman_matrix(t, METRICS))
@@ -788,14 +790,16 @@ def _(spark, d):
 @query("stream_ingest")
 def _(spark, d):
     schema = roles.table(spark, d, "events").schema
-    stream = stream_ingest.read_stream(spark, d, schema, "events.parquet")
-    pairs = stream.withColumn("hash", F.floor(F.col("event_id") / 2))
     root = scratch_path(spark, "ingest")
-    stream_ingest.run_to_table(
-        stream_ingest.deduplicate(pairs, "hash", "ts", "1 day").select("hash"),
-        f"{root}/rows", f"{root}/checkpoint",
-    )
-    return spark.read.schema("hash long").parquet(f"{root}/rows")
+    # Later events first: every second arrival is older than what is stored already.
+    cuts = roles.table(spark, d, "events").agg(F.max("event_id").alias("m")).first()["m"]
+    for low, high in ((0.6, 1.1), (0.0, 0.3), (0.2, 0.7)):
+        here = (F.col("event_id") >= low * cuts) & (F.col("event_id") <= high * cuts)
+        roles.table(spark, d, "events").where(here).write.mode("append").parquet(f"{root}/in")
+        arriving = stream_ingest.read_stream(spark, f"{root}/in", schema)
+        arriving = arriving.withColumn("hash", F.floor(F.col("event_id") / 2)).select("hash")
+        stream_ingest.run_deduplicated(arriving, "hash", f"{root}/rows", f"{root}/checkpoint")
+    return spark.read.schema("hash long").parquet(f"{root}/rows").select("hash")
 
 
 @query("stream_history")
@@ -806,8 +810,8 @@ def _(spark, d):
     step = last // 3 + 1
     for i in range(3):
         part = log.where((F.col("hash") >= i * step) & (F.col("hash") < (i + 1) * step))
-        part.coalesce(1).write.mode("append").parquet(f"{root}/in")
-    stream = stream_ingest.read_stream(spark, f"{root}/in", log.schema, files_per_batch=1)
-    out = stream_history.running_counts(stream, ["repo", "author"], "hash", root)
+        part.write.mode("append").parquet(f"{root}/in")
+        stream = stream_ingest.read_stream(spark, f"{root}/in", log.schema)
+        out = stream_history.running_counts(stream, ["repo", "author"], "hash", root)
     schema = T.StructType([*log.schema.fields, T.StructField("EXP", T.LongType())])
     return spark.read.schema(schema).parquet(f"{out}/*").select("repo", "author", "hash", "EXP")

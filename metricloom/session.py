@@ -56,6 +56,14 @@ def scratch_root(spark: SparkSession) -> str:
     return root
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, in whatever store the path names."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    files = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return files.exists(target)
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path for one run below the shared folder."""
     return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.errors import AnalysisException
+
+from metricloom.session import path_exists
 
 
 class KeyLedger:
@@ -18,10 +19,8 @@ class KeyLedger:
         self.rows_path, self.keys_path = f"{root}/rows", f"{root}/keys"
 
     def _read(self, path: str) -> DataFrame | None:
-        try:
-            return self.spark.read.parquet(path)
-        except AnalysisException:
-            return None
+        # Only an absent folder is an absent table; any other fault is the caller's to see.
+        return self.spark.read.parquet(path) if path_exists(self.spark, path) else None
 
     def rows(self) -> DataFrame | None:
         table = self._read(self.rows_path)

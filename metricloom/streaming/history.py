@@ -9,6 +9,7 @@ counts twice.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -35,8 +36,13 @@ def running_counts(
         added = batch.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
         if batch_id:
             prior = spark.read.parquet(f"{totals_root}/batch={batch_id - 1}")
-            earlier = prior.withColumnRenamed("__n", "__earlier")
-            numbered = numbered.join(earlier, keys, "left")
+            earlier = prior.select(
+                *[F.col(k).alias(f"__k_{k}") for k in keys], F.col("__n").alias("__earlier")
+            )
+            same = reduce(
+                lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__k_{k}")) for k in keys]
+            )  # a missing key goes on as well
+            numbered = numbered.join(earlier, same, "left").drop(*[f"__k_{k}" for k in keys])
             totals = prior.unionByName(added).groupBy(*keys).agg(F.sum("__n").alias("__n"))
         else:
             numbered = numbered.withColumn("__earlier", F.lit(0).cast("long"))

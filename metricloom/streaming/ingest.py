@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from metricloom.session import path_exists
+
 
 def read_stream(
     spark: SparkSession, folder: str, schema: T.StructType, glob: str = "*.parquet",
@@ -18,17 +20,32 @@ def read_stream(
     )
 
 
-def deduplicate(stream: DataFrame, key: str, event_time: str, delay: str = "1 hour") -> DataFrame:
-    """Drop repeats of a key that arrive within ``delay`` of event time.
+def run_deduplicated(stream: DataFrame, key: str, path: str, checkpoint: str) -> None:
+    """Append the rows of new keys, one row per key, and stop; a later call goes on from here.
 
-    State is kept for that long only. Event time must be an instant. Later repeats are left
-    to the batch deduplication of the feature build.
+    Keys are compared with all stored ones, so a row is never lost for arriving late, and a
+    repeat is dropped however late it comes. Of several rows of a key in one batch, any one
+    stays. Each batch owns a folder: a replayed batch overwrites its own rows. A missing
+    key is a key like any other.
     """
-    return (
-        stream.withColumn(event_time, F.col(event_time).cast("timestamp"))
-        .withWatermark(event_time, delay)
-        .dropDuplicatesWithinWatermark([key])
+
+    def process(batch: DataFrame, batch_id: int) -> None:
+        new = batch.dropDuplicates([key])
+        if path_exists(batch.sparkSession, path):
+            stored = batch.sparkSession.read.schema(batch.schema).parquet(f"{path}/batch=*")
+            # By folder, since a replayed batch must not see its own earlier rows.
+            folder = F.regexp_extract(F.input_file_name(), "batch=([0-9]+)", 1).cast("long")
+            earlier = stored.where(folder < batch_id).select(F.col(key).alias("__known"))
+            new = new.join(earlier, F.col(key).eqNullSafe(F.col("__known")), "left_anti")
+        new.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+
+    query = (
+        stream.writeStream.foreachBatch(process)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
     )
+    query.awaitTermination()
 
 
 def run_to_table(stream: DataFrame, path: str, checkpoint: str) -> None:

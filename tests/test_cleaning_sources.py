@@ -138,3 +138,15 @@ def test_ledger(spark):
     ledger.ingest(log.where("repo = 'b'"), force=True)
     assert [r["v"] for r in ledger.rows().collect()] == [3]
     assert {r["repo"] for r in ledger.keys().collect()} == {"b"}
+
+
+def test_ledger_shows_real_faults(spark):
+    from metricloom.session import scratch_path
+    from metricloom.sources.ledger import KeyLedger
+
+    root = scratch_path(spark, "ledger")
+    ledger = KeyLedger(spark, root, "k")
+    assert ledger.rows() is None
+    spark.createDataFrame([("no parquet",)], "x string").write.text(f"{root}/rows")
+    with pytest.raises(Exception):
+        ledger.rows().count()

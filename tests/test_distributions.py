@@ -98,13 +98,19 @@ def test_qq_points_number_every_row(spark, monkeypatch):
     assert points[0]["theoretical"] == pytest.approx(-points[-1]["theoretical"])
 
 
-def test_shapiro_takes_the_first_rows(spark, monkeypatch):
-    monkeypatch.setattr(normality, "SHAPIRO_ROWS", 40)
+def test_shapiro_reads_all_rows(spark):
     rng = np.random.default_rng(4)
-    x = rng.normal(size=500)
-    df = spark.createDataFrame([(i, float(v)) for i, v in enumerate(x)], "id int, x double").repartition(6)
-    got = normality.shapiro_wilk(df, ["x"], ["id"]).first()
-    assert got["n"] == 40 and got["w"] == pytest.approx(dist.shapiro(x[:40])[0])
+    for n in (2, 3, 4, 5, 6, 11, 12, 300, 6_000):
+        x = np.round(rng.normal(size=n), 2 if n > 12 else 6)
+        df = spark.createDataFrame([(float(v),) for v in x] + [(None,)], "x double").repartition(6)
+        got = normality.shapiro_wilk(df, ["x"]).first()
+        w, p = dist.shapiro(x)
+        assert got["n"] == n and got["p_valid"] == (3 <= n <= 5_000)
+        assert (got["w"], got["p"]) == (None, None) if n < 3 else got["w"] == pytest.approx(w, abs=1e-9)
+        assert n < 3 or got["p"] == pytest.approx(p, rel=1e-5, abs=1e-12)
+    x[-1] = 40.0
+    far = spark.createDataFrame([(float(v),) for v in x], "x double")
+    assert normality.shapiro_wilk(far, ["x"]).first()["w"] < w - 0.01
 
 
 def test_log_transform_helps_skewed_data(spark):
@@ -112,6 +118,6 @@ def test_log_transform_helps_skewed_data(spark):
     df = spark.createDataFrame(
         [(i, float(v)) for i, v in enumerate(rng.lognormal(3, 1, size=300))], "id int, x double"
     )
-    assert normality.log1p_effect(df, ["x"], ["id"]).first()["improved"]
-    table = normality.normality_table(df, ["x"], ["id"], corrected=True).first()
+    assert normality.log1p_effect(df, ["x"]).first()["improved"]
+    table = normality.normality_table(df, ["x"], corrected=True).first()
     assert table["normal"] is False

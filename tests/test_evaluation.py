@@ -125,3 +125,11 @@ def test_pair_summary_p(spark):
     row = correlation.pair_summary(df, [("x", "y")]).first()
     assert row["r"] == 0.6 and row["p"] == pytest.approx(0.4, abs=1e-9) and row["stars"] == ""
     assert row["slope"] == 0.6 and row["rho"] == 0.6
+
+
+def test_temporal_split_keeps_rows_without_a_date(spark):
+    rows = [(i, None if i % 5 == 0 else i // 2) for i in range(40)]
+    df = spark.createDataFrame(rows, "id long, day long").repartition(3)
+    train, test = splits.temporal_split(df, "day", "id")
+    assert train.count() + test.count() == 40 and train.count() == 30
+    assert test.where("day is null").count() == 0

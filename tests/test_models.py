@@ -121,3 +121,22 @@ def test_scoring_rounds(data):
     model = learners.ForestRegression(["a", "b"], "y", trees=3, depth=3).fit(data)
     values = [r["estimate"] for r in learners.score_batch(model, data, ["id"]).collect()]
     assert all(v == round(v, 2) for v in values) and len(values) == N
+
+
+def test_collinear_predictors_have_infinite_inflation(spark):
+    rows = [(float(i), 2.0 * i, float(i * i % 7)) for i in range(30)]
+    df = spark.createDataFrame(rows, "a double, b double, c double")
+    got = {r["variable"]: r["vif"] for r in lm.vif(df, ["a", "b", "c"]).collect()}
+    assert got["a"] == got["b"] == float("inf") and 1 <= got["c"] < 2
+
+
+def test_nested_models_use_the_same_rows(spark):
+    rows = [(float(i), float(3 * i + i % 3), None if i % 4 == 0 else float(i % 5)) for i in range(40)]
+    df = spark.createDataFrame(rows, "x double, y double, z double")
+    assert {r["n"] for r in lm.nested_models(df, "y", ["x"], ["z"]).collect()} == {30}
+
+
+def test_depth_is_checked():
+    assert learners.forest_classifier(depth=0).getMaxDepth() == 0
+    with pytest.raises(ValueError):
+        learners.forest_classifier(depth=40)

@@ -16,7 +16,7 @@ def test_incremental_ingest_deduplicates_and_resumes(spark):
 
     def run():
         stream = ingest.read_stream(spark, f"{root}/in/*", df.schema)
-        ingest.run_to_table(ingest.deduplicate(stream, "hash", "ts", "1 day"), f"{root}/out", f"{root}/cp")
+        ingest.run_deduplicated(stream, "hash", f"{root}/out", f"{root}/cp")
         return sorted(r["hash"] for r in spark.read.schema(df.schema).parquet(f"{root}/out").collect())
 
     assert run() == list(range(6))
@@ -24,6 +24,10 @@ def test_incremental_ingest_deduplicates_and_resumes(spark):
     later = spark.createDataFrame([(3, t0), (77, t0 + timedelta(hours=1))], df.schema)
     later.write.parquet(f"{root}/in/b")
     assert run() == [*range(6), 77]
+    # Keys far older than all that was seen are new keys, too.
+    older = spark.createDataFrame([(90, t0 - timedelta(days=90)), (77, t0 - timedelta(days=9))], df.schema)
+    older.write.parquet(f"{root}/in/c")
+    assert run() == [*range(6), 77, 90]
 
 
 def test_stream_counts_equal_batch_counts(spark):
