@@ -9,7 +9,7 @@ from __future__ import annotations
 import math
 
 import numpy as np
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 # Hart's rational approximation of the normal distribution function.
 HART_NUMERATOR = [
@@ -312,15 +312,33 @@ def shapiro(values: np.ndarray) -> tuple[float | None, float | None]:
     return w, shapiro_p(w, n)
 
 
-def shapiro_w(n, spread, square, product, x1, x2, y2, y1) -> Column:
-    """W from sums over all ranks: of squared scores and of score times centred value, and
-    the two smallest and the two largest centred values. Missing below three values."""
-    u = F.lit(1.0) / F.sqrt(n)
-    last = normal_ppf((n - 0.375) / (n + 0.25))
-    second = normal_ppf((n - 1.375) / (n + 0.25))
-    a1 = horner(SW_LAST[::-1], u) + last / F.sqrt(square)
-    a2 = horner(SW_LAST_BUT_ONE[::-1], u) + second / F.sqrt(square)
-    outer, inner = y1 - x1, y2 - x2
+
+def with_shapiro(sums: DataFrame) -> DataFrame:
+    """Add ``w`` and ``p`` to rows of sums over all ranks: ``square`` of the scores,
+    ``product`` of score and centred value, and the two smallest (x1, x2) and largest (y2,
+    y1) centred values. Missing below three values.
+
+    In steps, because each value is used several times by the next one.
+    """
+    n, size = F.col("n"), F.col("n").cast("double")
+    u, x = F.col("__u"), F.ln(size)
+    last, second, a1, a2 = (F.col(f"__{c}") for c in ("last", "second", "a1", "a2"))
+    outer, inner, y, gamma = (F.col(f"__{c}") for c in ("outer", "inner", "y", "gamma"))
+    root = F.sqrt("square")
+    scored = sums.withColumns(
+        {
+            "__u": F.lit(1.0) / F.sqrt(size),
+            "__last": normal_ppf((size - 0.375) / (size + 0.25)),
+            "__second": normal_ppf((size - 1.375) / (size + 0.25)),
+            "__outer": F.col("y1") - F.col("x1"), "__inner": F.col("y2") - F.col("x2"),
+        }
+    ).withColumns(
+        {
+            "__a1": horner(SW_LAST[::-1], u) + last / root,
+            "__a2": horner(SW_LAST_BUT_ONE[::-1], u) + second / root,
+        }
+    )
+    square, product = F.col("square"), F.col("product")
     long = a1 * outer + a2 * inner + (product - last * outer - second * inner) / F.sqrt(
         (square - 2 * last * last - 2 * second * second) / (1 - 2 * a1 * a1 - 2 * a2 * a2)
     )
@@ -328,27 +346,27 @@ def shapiro_w(n, spread, square, product, x1, x2, y2, y1) -> Column:
         (square - 2 * last * last) / (1 - 2 * a1 * a1)
     )
     three = F.lit(math.sqrt(0.5)) * outer
-    sum_ = F.when(n == 3, three).when(n <= 5, short).otherwise(long)
-    w = F.least(sum_ * sum_ / F.nullif(spread, F.lit(0.0)), F.lit(1.0))
-    return F.when(n < 3, None).when(outer == 0, 1.0).otherwise(w)
-
-
-def shapiro_p_column(w: Column, n: Column) -> Column:
-    """The p-value of W as a column expression."""
-    three = F.lit(6.0 / math.pi) * (F.asin(F.sqrt(w)) - math.asin(math.sqrt(0.75)))
-    size = n.cast("double")
-    y = F.ln(1 - w)
-    gamma = horner(SW_GAMMA[::-1], size)
-    small = (-F.ln(gamma - y) - horner(SW_MEAN_SMALL[::-1], size)) / F.exp(
+    weighted = scored.withColumn(
+        "__sum", F.when(n < 3, None).when(n == 3, three).when(n <= 5, short).otherwise(long)
+    )
+    ratio = F.least(F.col("__sum") * F.col("__sum") / F.nullif("spread", F.lit(0.0)), F.lit(1.0))
+    tested = weighted.withColumn("w", F.when(n < 3, None).when(outer == 0, 1.0).otherwise(ratio))
+    tested = tested.withColumns(
+        {"__y": F.ln(F.nullif(1 - F.col("w"), F.lit(0.0))), "__gamma": horner(SW_GAMMA[::-1], size)}
+    )
+    small = (-F.ln(F.greatest(gamma - y, F.lit(1e-300))) - horner(SW_MEAN_SMALL[::-1], size)) / F.exp(
         horner(SW_SD_SMALL[::-1], size)
     )
-    x = F.ln(size)
     large = (y - horner(SW_MEAN_LARGE[::-1], x)) / F.exp(horner(SW_SD_LARGE[::-1], x))
-    return (
+    tested = tested.withColumn("__z", F.when(n <= 11, small).otherwise(large))
+    w = F.col("w")
+    exact = F.lit(6.0 / math.pi) * (F.asin(F.sqrt(w)) - math.asin(math.sqrt(0.75)))
+    p = (
         F.when(w.isNull(), None)
-        .when(n == 3, F.least(F.greatest(three, F.lit(0.0)), F.lit(1.0)))
+        .when(n == 3, F.least(F.greatest(exact, F.lit(0.0)), F.lit(1.0)))
         .when(w >= 1, 1.0)
         .when((n <= 11) & (y >= gamma), 1e-99)
-        .when(n <= 11, normal_cdf(-small))
-        .otherwise(normal_cdf(-large))
+        .otherwise(normal_cdf(-F.col("__z")))
     )
+    out = tested.withColumn("p", p)
+    return out.drop(*[c for c in out.columns if c.startswith("__")])

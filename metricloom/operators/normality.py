@@ -12,8 +12,7 @@ from metricloom.functions.distributions import (
     lilliefors_p,
     normal_cdf,
     normal_ppf,
-    shapiro_p_column,
-    shapiro_w,
+    with_shapiro,
 )
 from metricloom.functions.scalars import half_even
 from metricloom.operators.ordered import ROWS_PER_TASK, running_before
@@ -53,23 +52,22 @@ def shapiro_wilk(
         data = df.withColumns({c: F.log1p(F.col(c).cast("double")) for c in cols})
     ranked = _ranked_counts(data, cols, rows_per_task)
     points = _number_ties(ranked, ["mean", "spread"])
-    score = normal_ppf((F.col("i") - 0.375) / (F.col("size") + 0.25))
-    centred = F.col("value") - F.col("mean")
+    points = points.select(
+        "variable", "i", "size", "spread", (F.col("value") - F.col("mean")).alias("centred"),
+        normal_ppf((F.col("i") - 0.375) / (F.col("size") + 0.25)).alias("score"),
+    )
     n, i = F.col("size"), F.col("i")
-    at = {
-        "x1": i == 1, "x2": i == 2, "y2": i == n - 1, "y1": i == n,
-    }
+    ends = {"x1": i == 1, "x2": i == 2, "y2": i == n - 1, "y1": i == n}
     sums = points.groupBy("variable").agg(
         F.any_value("size").alias("n"), F.any_value("spread").alias("spread"),
-        F.sum(score * score).alias("square"), F.sum(score * centred).alias("product"),
-        *[F.max(F.when(test, centred)).alias(name) for name, test in at.items()],
+        F.sum(F.col("score") * F.col("score")).alias("square"),
+        F.sum(F.col("score") * F.col("centred")).alias("product"),
+        *[F.max(F.when(test, F.col("centred"))).alias(name) for name, test in ends.items()],
     )
-    w = shapiro_w(*[F.col(c) for c in ("n", "spread", "square", "product", "x1", "x2", "y2", "y1")])
     names = df.sparkSession.createDataFrame([(c,) for c in cols], "variable string")
-    out = names.join(sums.withColumn("w", w), "variable", "left")
+    out = names.join(with_shapiro(sums), "variable", "left")
     return out.select(
-        "variable", F.coalesce("n", F.lit(0)).alias("n"), "w",
-        shapiro_p_column(F.col("w"), F.col("n")).alias("p"),
+        "variable", F.coalesce("n", F.lit(0)).alias("n"), "w", "p",
         F.coalesce(F.col("n").between(3, 5_000), F.lit(False)).alias("p_valid"),
     )
 
