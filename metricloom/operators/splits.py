@@ -29,8 +29,9 @@ def temporal_split(
     train, and the two sides always add up to the input.
     """
     cut = temporal_cut(df, date, tie, train_share, rows_per_task)
-    before = F.coalesce(is_before(cut, date, tie), F.lit(True))
-    return df.where(before), df.where(~before)
+    before = is_before(cut, date, tie)
+    placed = F.col(date).isNotNull() & F.col(tie).isNotNull()
+    return df.where(~placed | before), df.where(placed & ~before)
 
 
 def temporal_cut(df, date, tie, train_share=0.75, rows_per_task=ROWS_PER_TASK) -> Cut:

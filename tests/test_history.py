@@ -166,7 +166,7 @@ def test_labelling(spark):
     assert (report["commits"], report["fixes"], report["labelled"], report["rate_pct"]) == (4, 2, 2, 50.0)
 
 
-def test_only_the_first_eight_files_of_a_fix_count(spark):
+def test_all_files_of_a_fix_count_unless_told_otherwise(spark):
     files = [(f"d/{i:02d}.py", 0, 1, 1) for i in range(12)] + [("d/00.txt", 0, 1, 1)]
     frame = _frame(spark, [("r", "f", 1, "a", 0, "bugfix", False, files)]).withColumn(
         "file_order", F.col("path")
@@ -175,6 +175,6 @@ def test_only_the_first_eight_files_of_a_fix_count(spark):
         "repo", "hash", "commit_seq", "path", F.lit(1).alias("line_id"),
         F.lit("delete").alias("op"), F.lit("x").alias("content"),
     )
-    assert sorted(r["path"] for r in labels.fix_candidates(frame, lines).collect()) == [
-        f"d/{i:02d}.py" for i in range(8)
-    ]
+    for most, count in ((None, 12), (8, 8)):
+        found = labels.fix_candidates(frame, lines, max_files=most).collect()
+        assert sorted(r["path"] for r in found) == [f"d/{i:02d}.py" for i in range(count)]
