@@ -88,7 +88,7 @@ def _(spark, d):
     )
     path = scratch_path(spark, "ragged")
     roles.table(spark, d, "events").select(line.alias("value")).write.text(path)
-    return delimited.read_lenient_csv(spark, path, ["key", "kind", "size"], header=False)
+    return delimited.read_lenient_csv(spark, path, ["key", "kind", "size"], header=False, quoted_breaks=True)
 
 
 @query("incremental_ingest")

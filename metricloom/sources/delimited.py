@@ -23,12 +23,12 @@ def read_metric_csv(spark: SparkSession, path: str, text_cols: Sequence[str]) ->
 
 def read_lenient_csv(
     spark: SparkSession, path: str, columns: Sequence[str], header: bool = True,
-    quoted_breaks: bool = True,
+    quoted_breaks: bool = False,
 ) -> DataFrame:
     """CSV with ragged rows: too long ones are dropped, short ones padded.
 
-    With ``quoted_breaks`` a field may contain line breaks, and a file is then read by one
-    task; without, large files are split.
+    Large files are split over tasks. With ``quoted_breaks`` a field may contain line breaks,
+    and a file is then read by one task.
     """
     schema = T.StructType([T.StructField(c, T.StringType()) for c in [*columns, _BROKEN]])
     raw = (

@@ -112,10 +112,23 @@ def test_ragged_csv(spark):
     path = scratch_path(spark, "t")
     text = 'a,b,c\n1,2,3\n4,5\n6,7,8,9\n10,"x\ny",12'
     spark.createDataFrame([(text,)], "value string").coalesce(1).write.text(path)
-    rows = delimited.read_lenient_csv(spark, path, ["a", "b", "c"]).collect()
+    read = delimited.read_lenient_csv(spark, path, ["a", "b", "c"], quoted_breaks=True)
+    rows = read.collect()
     assert sorted(map(tuple, rows), key=str) == [("1", "2", "3"), ("10", "x\ny", "12"), ("4", "5", None)]
 
 
+def test_large_ragged_files_are_split(spark):
+    path = scratch_path(spark, "t")
+    lines = spark.range(20_000).selectExpr("concat(id, ',', id, ',', id) as value")
+    lines.coalesce(1).write.text(path)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "65536")
+    try:
+        read = delimited.read_lenient_csv(spark, path, ["a", "b", "c"], header=False)
+        assert read.rdd.getNumPartitions() > 2 and read.count() == 20_000
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
 def test_result_round_trip(spark):
     df = spark.createDataFrame([("a", 1.5), ("b", None)], "k string, v double")
     for fmt in ("csv", "parquet"):
