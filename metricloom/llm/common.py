@@ -56,6 +56,18 @@ def numbered(df: DataFrame, name: str, label: str) -> DataFrame:
     return stored(df.withColumn(name, F.monotonically_increasing_id()), label)
 
 
+def light(df: DataFrame, label: str, most: int = 1_000_000, weight: Column | None = None) -> DataFrame:
+    """Store a side of a join, and mark it for broadcast if its counted size is small.
+
+    ``weight`` is a row's size in items (default 1). Up to ``most`` items of a few dozen
+    bytes go to every executor, which spares the shuffle of the other side; beyond that
+    the join shuffles. The result is the same.
+    """
+    kept = stored(df, label)
+    items = kept.agg(F.sum(F.lit(1) if weight is None else weight).alias("n")).first()["n"]
+    return F.broadcast(kept) if (items or 0) <= most else kept
+
+
 def text_of(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 

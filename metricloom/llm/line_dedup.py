@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from metricloom.llm.common import Ranges, fresh, mixed, small_batches, stored, text_of, word_bounds
+from metricloom.llm.common import Ranges, fresh, light, mixed, small_batches, stored, text_of, word_bounds
 
 #: Shorter lines must be equal: with few words, one word is most of what a line says.
 MIN_WORDS_NEAR = 8
@@ -152,16 +152,19 @@ def near_lines(docs: DataFrame, distinct: DataFrame) -> DataFrame:
         "h1", "h2", F.explode(F.array("k0", "k1", "k2", "k3")).alias("key")
     )
     shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("key")
-    able = keys.join(shared, "key").select("h1", "h2").distinct()
+    able = keys.join(light(shared, "line-shared"), "key").select("h1", "h2").distinct()
+    able = light(able, "line-partners")
     able = distinct.join(able, ["h1", "h2"], "left_semi").select("h1", "h2", "first")
     able = stored(able, "line-able")
     wanted = able.groupBy(F.col("first.doc").alias("doc"), F.col("first.tag").alias("tag")).agg(
         F.collect_list("first.line").alias("lines")  # lines of one text
     )
+    wanted = light(wanted, "line-wanted", weight=F.size("lines"))
     same = F.col("a.doc").eqNullSafe(F.col("b.doc")) & (F.col("a.tag") == F.col("b.tag"))
     picked = (
-        docs.dropDuplicates(["doc", "tag"]).alias("a").join(wanted.alias("b"), same)
+        docs.alias("a").join(wanted.alias("b"), same)
         .select("a.doc", "a.tag", "a.body", "b.lines")
+        .dropDuplicates(["doc", "tag"])
         .mapInArrow(_picked, "doc bigint, tag bigint, line bigint, words binary")
         .alias("p")
     )
@@ -256,7 +259,8 @@ def dedup_lines(
     found = dropped_lines(
         docs.select(F.col("doc_id").cast("long").alias("doc"), tag.alias("tag"), body.alias("body")),
         min_words_near,
-    ).alias("f")
+    )
+    found = light(found, "line-found", weight=F.size("lines")).alias("f")
     same = F.col("d.doc_id").eqNullSafe(F.col("f.doc")) & (F.col(f"d.{name}") == F.col("f.tag"))
     joined = docs.withColumn(name, tag).alias("d").join(found, same, "left")
     parts = F.split(F.col("d.text"), "\n", -1)
