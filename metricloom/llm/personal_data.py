@@ -117,7 +117,7 @@ def _valid(kind: Column, value: Column) -> Column:
     """The checks behind the patterns of the base kinds; other kinds have none."""
     digits = F.regexp_replace(value, "[^0-9]", "")
     n = F.char_length(digits)
-    small = F.lit(r"0*+(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])")
+    small = F.lit(r"0*(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])")
     ip = F.regexp_like(value, F.concat(F.lit("^"), small, F.lit(r"(?:\."), small, F.lit("){3}$")))
     at = {name: i for i, name in enumerate(KINDS)}
     return (

@@ -132,6 +132,17 @@ def test_personal_data(spark):
     assert "phone_local:23:35" in added[3]
 
 
+def test_addresses_with_zero_parts(spark):
+    texts = [
+        "10.0.0.1 0.0.0.0", "000.1.2.3 and 127.0.0.1", "192.168.0.1 256.0.0.1", "0.0.0.0256 000.00.0.00255",
+        "0" * 3_000 + ".1.2.3 1.2.3." + "0" * 3_000 + "256",
+    ]
+    got = personal_data.find_personal_data(frame(spark, list(enumerate(texts)))).collect()
+    want = {i: brute.personal(t) for i, t in enumerate(texts)}
+    assert {r.doc_id: (r.n_email, r.n_ip, r.n_card, r.n_phone, r.base_sha256) for r in got} == want
+    assert [want[i][1] for i in range(5)] == [2, 2, 1, 1, 1]
+
+
 def test_reliability_prefers_labelers_that_agree():
     counts = [((1, 1, -1), 40.0), ((-1, -1, 1), 40.0), ((1, 1, 1), 20.0), ((-1, -1, -1), 20.0)]
     good = dict(zip([v for v, _ in counts], personal_data.estimate_reliability(counts), strict=True))
