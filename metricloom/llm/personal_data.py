@@ -10,7 +10,9 @@ Base spans always stay; the classifier decides about the others.
 
 from __future__ import annotations
 
+import functools
 import math
+import operator
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -72,7 +74,11 @@ def _candidates(docs: DataFrame) -> DataFrame:
     """(doc, tag, kind, start, end, value, before, after) of every match of every pattern."""
     body = F.col("body")
     digits = body.rlike("[0-9][0-9]")
-    guards = {"email": body.contains("@"), "email_spelled": body.rlike(r"[\[(]at[\])]")}
+    guards = {
+        "email": body.contains("@"), "ip": body.rlike(r"[0-9]\.[0-9]"),
+        "card": body.rlike(r"[0-9][\x20-]?[0-9]"), "phone": body.rlike(r"\+[0-9]"),
+        "email_spelled": body.rlike(r"[\[(]at[\])]"),
+    }
     found = []
     for i, (kind, pattern) in enumerate((BASE | ADDED).items()):
         gaps = F.split(body, pattern, -1)
@@ -82,7 +88,7 @@ def _candidates(docs: DataFrame) -> DataFrame:
         )
         matches = F.transform(zipped, _match(i))
         found.append(F.when(guards.get(kind, digits), matches))
-    some = body.contains("@") | digits | guards["email_spelled"]
+    some = functools.reduce(operator.or_, guards.values(), digits)
     rows = docs.where(some).withColumn("row", F.monotonically_increasing_id())
     none = F.array().cast(
         "array<struct<kind:int,at:int,gap:int,value:string,before:string,after:string>>"

@@ -143,6 +143,17 @@ def test_addresses_with_zero_parts(spark):
     assert [want[i][1] for i in range(5)] == [2, 2, 1, 1, 1]
 
 
+def test_personal_data_of_single_digits(spark):
+    texts = [
+        "8.8.8.8", "4 1 1 1 1 1 1 1 1 1 1 1 1 1 1 1", "4-1-1-1-1-1-1-1-1-1-1-1-1-1-1-1", "+1 2 3 4 5 6 7 8 9",
+        "+1(2)3.4-5 6 7.8", "call + 1 2 3", "1 . 2", "7",
+    ]
+    got = personal_data.find_personal_data(frame(spark, list(enumerate(texts)))).collect()
+    want = {i: brute.personal(t) for i, t in enumerate(texts)}
+    assert {r.doc_id: (r.n_email, r.n_ip, r.n_card, r.n_phone, r.base_sha256) for r in got} == want
+    assert [sum(want[i][:4]) for i in range(5)] == [1] * 5
+
+
 def test_reliability_prefers_labelers_that_agree():
     counts = [((1, 1, -1), 40.0), ((-1, -1, 1), 40.0), ((1, 1, 1), 20.0), ((-1, -1, -1), 20.0)]
     good = dict(zip([v for v, _ in counts], personal_data.estimate_reliability(counts), strict=True))
