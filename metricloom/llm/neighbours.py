@@ -1,10 +1,12 @@
 """Approximate nearest neighbours: a neighbour graph by NN-descent, searched greedily.
 
-The graph starts from small exact searches inside buckets of random projections. Then rounds
-of joins follow: the neighbours of each node, in both directions, are brought together and
+The graph starts from small exact searches inside buckets of random projections. Nodes of
+small buckets also meet those of other small buckets under a shorter code, and every node
+meets some random ones, so that rare directions have neighbours too. Then rounds of joins follow: the neighbours of each node, in both directions, are brought together and
 compared with one another, because a neighbour of a neighbour is likely to be one. A pair
-is only passed on if it beats the worst neighbour its node has so far. Equal vectors are one
-node; their rows come back in the result. Rounds work on vectors rounded to bytes, results
+is only passed on if it beats the worst neighbour its node has so far. A search begins at the
+query's own node and at random ones; queries left with too few results are compared with all
+nodes. Equal vectors are one node; their rows come back in the result. Rounds work on vectors rounded to bytes, results
 on the original ones.
 """
 
@@ -24,6 +26,10 @@ DEGREE = 32
 TREES = 5
 #: Vectors of a bucket that are compared with each other at the start.
 BUCKET = 192
+#: Random nodes that meet at the start, and those where a search begins (means of hashed groups).
+RANDOM, ENTRIES = 64, 16
+#: Queries and nodes of a block in the exact pass.
+ASKED_BLOCK, NODE_BLOCK = 64, 256
 ROUNDS = 7
 #: A round that improves the similarities by less than this share is the last one.
 LEAST_GAIN = 0.004
@@ -141,13 +147,33 @@ def _both_ways(graph: DataFrame, degree: int) -> DataFrame:
     return graph.select("node", "nbr").union(turned.select("node", "nbr")).distinct()
 
 
-def build_graph(nodes: DataFrame, degree: int = DEGREE, rounds: int = ROUNDS) -> DataFrame:
-    """(node, nbr, sim) of the graph over the stored (node, q, codes)."""
-    spread = nodes.select("node", "q", F.posexplode("codes").alias("tree", "code"))
-    counts = spread.groupBy("tree", "code").agg(F.count(F.lit(1)).alias("c"))
-    part = F.pmod(F.xxhash64("node", "tree"), F.ceil(F.col("c") / BUCKET)).alias("part")
-    placed = spread.join(counts, ["tree", "code"]).select("tree", "code", part, "node", "q")
-    groups = placed.groupBy("tree", "code", "part").agg(F.collect_list(F.struct("node", "q")).alias("m"))
+def _meeting(counts: DataFrame, bits: int, degree: int) -> DataFrame:
+    """(tree, code, level, key, total): the groups that the nodes of each (tree, code, c) join.
+
+    All join their own bucket. Buckets too small to fill the neighbours of a node also join
+    the other small ones with the same first half of the code; where these are still too
+    few, all such buckets of the tree join.
+    """
+    wide = F.shiftright("code", bits - bits // 2)
+    small = counts.where(F.col("c") <= degree).select("tree", "code", wide.alias("wide"), "c")
+    sums = small.groupBy("tree", "wide").agg(F.sum("c").alias("n"))
+    few = small.join(sums, ["tree", "wide"]).where(F.col("n") <= degree)
+    rows = counts.select("tree", "code", F.lit(0).alias("level"), F.col("code").alias("key"), "c")
+    rows = rows.union(small.select("tree", "code", F.lit(1), "wide", "c"))
+    rows = rows.union(few.select("tree", "code", F.lit(2), F.lit(0).cast("long"), "c"))
+    totals = rows.groupBy("tree", "level", "key").agg(F.sum("c").alias("total"))
+    return rows.drop("c").join(totals, ["tree", "level", "key"])
+
+
+def build_graph(nodes: DataFrame, bits: int, degree: int = DEGREE, rounds: int = ROUNDS) -> DataFrame:
+    """(node, nbr, sim) of the graph over the stored (node, q, codes of ``bits`` bits)."""
+    chance = F.pmod(F.xxhash64("node", F.lit("start")), F.lit(math.ceil(max(1, nodes.count()) / RANDOM)))
+    codes = F.concat("codes", F.array(chance))
+    spread = nodes.select("node", "q", F.posexplode(codes).alias("tree", "code"))
+    placed = spread.join(_meeting(spread.groupBy("tree", "code").agg(F.count(F.lit(1)).alias("c")), bits, degree), ["tree", "code"])
+    part = F.pmod(F.xxhash64("node", "tree", "level"), F.ceil(F.col("total") / BUCKET)).alias("part")
+    placed = placed.select("tree", "level", "key", part, "node", "q")
+    groups = placed.groupBy("tree", "level", "key", "part").agg(F.collect_list(F.struct("node", "q")).alias("m"))
     lowest = F.transform("m.node", lambda x: F.lit(-math.inf).cast("float"))
     start = groups.select("m.node", "m.q", lowest.alias("w")).mapInArrow(_compared(degree), _EDGES)
     graph = stored(_best(start, degree), "graph")
@@ -207,11 +233,48 @@ def _exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
+def _all_scored(keep: int):
+    """(queries, vectors, nodes, vectors) of two blocks to the best nodes of each query."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            queries, nodes = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+            for i in range(batch.num_rows):
+                asked, q, ids, x = (batch.column(j)[i].values for j in range(4))
+                asked, ids = asked.to_numpy(), ids.to_numpy()
+                scores = _matrix(q).astype(np.float64) @ _matrix(x).astype(np.float64).T
+                for query, row in zip(asked, scores, strict=True):
+                    best = ids[np.lexsort((ids, -row))[:keep]]
+                    queries.append(np.full(best.size, query))
+                    nodes.append(best)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate(queries)), pa.array(np.concatenate(nodes))], ["query", "node"]
+            )
+
+    return run
+
+
+def compare_all(queries: DataFrame, nodes: DataFrame, keep: int) -> DataFrame:
+    """(query, node): at least the ``keep`` best nodes of each (query, qvec) among all (node, vec).
+
+    Block by block. Work is queries times nodes, so only for the few that a search leaves short.
+    """
+
+    def blocks(df: DataFrame, name: str, vec: str, size: int) -> DataFrame:
+        at = F.pmod(F.xxhash64(name), F.lit(math.ceil(max(1, df.count()) / size)))
+        grouped = df.groupBy(at.alias("at")).agg(F.collect_list(F.struct(name, vec)).alias("m"))
+        return grouped.select(F.col(f"m.{name}").alias(name), F.col(f"m.{vec}").alias(vec))
+
+    asked = blocks(queries.select("query", "qvec"), "query", "qvec", ASKED_BLOCK)
+    pairs = asked.crossJoin(blocks(nodes.select("node", "vec"), "node", "vec", NODE_BLOCK))
+    return pairs.mapInArrow(_all_scored(keep), "query bigint, node bigint")
+
+
 def search(
     nodes: DataFrame, graph: DataFrame, queries: DataFrame, entries: DataFrame,
     beam: int = BEAM, expand: int = EXPAND, steps: int = STEPS,
 ) -> DataFrame:
-    """(query, node, score): up to ``beam`` nodes per query, from a greedy search.
+    """(query, node): up to ``beam`` nodes per query, from a greedy search.
 
     ``queries`` has (query, qvec, qq: the vector and its bytes), ``entries`` (query, node) where to begin. In each step the
     ``expand`` nearest nodes not yet expanded are replaced by their neighbours; a query
@@ -240,6 +303,11 @@ def search(
         both = seen.union(scores(new).withColumn("done", F.lit(False)))
         cut = both.withColumn("r", F.row_number().over(order)).where(F.col("r") <= beam).drop("r")
         pool = stored(cut, "pool")
+    return pool.select("query", "node")
+
+
+def _with_scores(pool: DataFrame, queries: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(query, node, score) of the pairs, on the original vectors."""
     both = pool.select("query", "node").join(queries.select("query", "qvec"), "query")
     both = both.join(nodes.select("node", "vec"), "node").select("query", "node", "qvec", "vec")
     return both.mapInArrow(_exact, "query bigint, node bigint, score double")
@@ -258,9 +326,10 @@ def nearest(
     items = stored(usable(rows, id_col, vec_col), "vectors")
     classes = items.groupBy("vec").agg(F.min("id").alias("node"), F.count(F.lit(1)).alias("c"))
     classes = stored(classes, "distinct")
+    n, total = classes.agg(F.count(F.lit(1)), F.sum("c")).first()
     first = classes.select(F.size("vec").alias("d")).first()
     dims = first["d"] if first else 1
-    bits = max(1, math.ceil(math.log2(max(2, classes.count()) / 64)))
+    bits = max(1, math.ceil(math.log2(max(2, n) / 64)))
     kind = classes.schema["vec"].dataType.simpleString()
     nodes = classes.select("node", "vec").mapInArrow(
         _prepared(TREES, bits, dims), f"node bigint, vec {kind}, q binary, codes array<bigint>"
@@ -274,13 +343,25 @@ def nearest(
         F.col("id") % every == 0
     )
     asked = stored(asked.select(F.col("id").alias("query"), "vec", "node"), "queries")
-    graph = build_graph(nodes)
+    graph = build_graph(nodes, bits)
     own = nodes.select("node", F.col("vec").alias("qvec"), F.col("q").alias("qq"))
-    pool = search(
-        nodes, graph, stored(asked.join(own, "node").select("query", "qvec", "qq"), "asked"),
-        asked.select("query", "node"),
-    )
-    found = pool.join(copies.where(F.col("at") <= k + 1), "node").where("id != query")
+    queries = stored(asked.join(own, "node").select("query", "qvec", "qq"), "asked")
+    groups = F.lit(math.ceil(max(1, n) / ENTRIES))
+    doors = nodes.select("node", F.pmod(F.xxhash64("node", F.lit("entry")), groups).alias("g"))
+    drawn = asked.select("query", F.pmod(F.xxhash64("query", F.lit("drawn")), groups).alias("g"))
+    entries = asked.select("query", "node").union(drawn.join(doors, "g").select("query", "node"))
     order = Window.partitionBy("query").orderBy(F.col("score").desc(), "id")
-    top = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+
+    def best(pool: DataFrame) -> DataFrame:
+        found = _with_scores(pool, queries, nodes).join(copies.where(F.col("at") <= k + 1), "node")
+        found = found.where("id != query").withColumn("rank", F.row_number().over(order))
+        return found.where(F.col("rank") <= k).select("query", "rank", "id", "score")
+
+    top = stored(best(search(nodes, graph, queries, entries)), "top")
+    full = top.groupBy("query").count().where(F.col("count") >= min(k, (total or 0) - 1))
+    short = stored(queries.join(full, "query", "left_anti"), "short")
+    if not short.isEmpty():
+        # Scores may differ in the last place between the two passes, hence more than k + 1.
+        exact = best(compare_all(short, nodes, 2 * (k + 1)))
+        top = top.join(short.select("query").distinct(), "query", "left_anti").union(exact)
     return top.select(F.col("query").alias("query_id"), "rank", F.col("id").alias("vec_id"), "score")

@@ -196,3 +196,41 @@ def test_neighbours(spark):
     few = neighbours.nearest(table.where("vec_id in (0, 1, 2)")).collect()
     assert sorted(r.vec_id for r in few) == [1, 2]
     assert neighbours.nearest(table.limit(0)).count() == 0
+
+
+def test_neighbours_of_opposite_vectors(spark):
+    table = spark.createDataFrame([(0, [1.0, -2.0, 3.0]), (20, [-1.0, 2.0, -3.0])], "vec_id long, embedding array<double>")
+    got = sorted((r.query_id, r.vec_id, r.score) for r in neighbours.nearest(table).collect())
+    assert got == [(0, 20, -14.0), (20, 0, -14.0)]
+
+
+def test_neighbours_of_rare_directions(spark):
+    rng = np.random.default_rng(5)
+    centre = 3 * rng.standard_normal(16)
+    x = centre + 0.3 * rng.standard_normal((6000, 16))
+    rare = np.arange(0, 6000, 100)
+    x[rare] = -centre + 4 * rng.standard_normal((60, 16))
+    apart = np.arange(10, 6000, 1200)  # a separated group, smaller than a result
+    x[apart] = 5 * np.roll(centre, 3) + 0.1 * rng.standard_normal((5, 16))
+    x[20] = x[apart[0]] + 0.01
+    table = spark.createDataFrame(
+        [(i, [float(v) for v in row]) for i, row in enumerate(x)], "vec_id long, embedding array<double>"
+    ).repartition(3)
+    got = neighbours.nearest(table).toPandas()
+    assert (got.groupby("query_id").size() == 20).all() and got.query_id.nunique() == 300
+    hit = 0
+    for q in [20, *rare]:
+        score = x @ x[q]
+        score[q] = -np.inf
+        hit += len(set(got[got.query_id == q].vec_id) & set(np.argsort(-score)[:20].tolist()))
+    assert hit / (61 * 20) >= 0.9
+
+
+def test_all_nodes_are_compared_block_by_block(spark):
+    rng = np.random.default_rng(6)
+    x = rng.standard_normal((700, 8))
+    nodes = spark.createDataFrame([(i, [float(v) for v in r]) for i, r in enumerate(x)], "node long, vec array<double>")
+    asked = nodes.where("node < 70").selectExpr("node as query", "vec as qvec")
+    got = neighbours.compare_all(asked, nodes, 5).toPandas()
+    for q in range(70):
+        assert set(np.argsort(-(x @ x[q]))[:5]) <= set(got[got["query"] == q].node)
