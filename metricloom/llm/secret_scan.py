@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import bisect
 import hashlib
+import itertools
 import math
 import re
 from collections.abc import Iterator
@@ -21,10 +23,12 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 HEX = re.compile(r"[0-9a-f]{24,}")
 #: Wider credential context whose values only count when they are costly to guess.
 CONTEXT = re.compile(
-    r"(?:passphrase|pass|pwd|credentials?|auth|bearer|private_?key|client_?key|access_?key|pin)"
-    r"[\"']?(?:\x20*[:=]\x20*|\x20+is\x20+)[\"']?([^\s\"'<>]{6,})",
+    r"(?:passphrase|password|passwd|pass|pwd|secret|token|credentials?|auth|bearer"
+    r"|(?:api|private|client|access)_?key|pin)"
+    r"[\"']?(?:\x20*[:=]\x20*|\x20+is\x20+)[\"']?(?=[^\s\"'<>]{6})",
     re.IGNORECASE | re.ASCII,
 )
+VALUE = re.compile(r"[^\s\"'<>]*", re.ASCII)
 KINDS = ("assign", "access", "hex", "guess")
 
 #: Guesses (as a power of ten) from which a value is held to be a secret.
@@ -108,7 +112,6 @@ def guess_power(value: str) -> float:
 def find_secrets(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]], int]:
     """Base spans and added spans as (start, kind, end), and how many base values are weak."""
     base, added, weak = [], [], 0
-    taken = []
     for m in ASSIGN.finditer(text):
         if m.end(2) - m.start(2) >= 6:
             base.append((m.start(), 0, m.end()))
@@ -117,14 +120,21 @@ def find_secrets(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int,
         base += [(m.start(), 1, m.end()) for m in ACCESS.finditer(text)]
     base += [(m.start(), 2, m.end()) for m in HEX.finditer(text)]
     base.sort()
-    if any(w in text for w in (":", "=", " is ")):
-        taken = list(base)
-        for m in CONTEXT.finditer(text):
-            start, end = m.start(1), m.end(1)
-            end -= len(m.group(1)) - len(m.group(1).rstrip(".,;:)]}"))
-            clear = all(e <= start or s >= end for s, _, e in taken)
-            if end - start >= 6 and clear and guess_power(text[start:end]) >= MIN_GUESS_POWER:
-                added.append((start, 3, end))
+    if ":" in text or "=" in text or " is " in text.lower():
+        ends = list(itertools.accumulate((e for _, _, e in base), max))
+        m = CONTEXT.search(text)
+        while m:
+            start = at = m.end()
+            i = bisect.bisect_right(ends, start)  # the first base span that ends later
+            if i < len(base) and base[i][0] <= start:
+                at = ends[i]
+            else:
+                end = VALUE.match(text, start, base[i][0] if i < len(base) else len(text)).end()
+                size = len(text[start:end].rstrip(".,;:)]}"))
+                if size >= 6 and guess_power(text[start : start + size]) >= MIN_GUESS_POWER:
+                    added.append((start, 3, start + size))
+                    at = end
+            m = CONTEXT.search(text, at)
     return base, added, weak
 
 

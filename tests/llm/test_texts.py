@@ -173,6 +173,26 @@ def test_secrets(spark):
     assert next(r.spans for r in got if r.doc_id == 5) == "guess:8:20"
 
 
+def test_secrets_after_common_words():
+    def added(text):
+        base, more, _ = secret_scan.find_secrets(text)
+        assert all(e <= s or t <= b for b, _, e in base for s, _, t in more)
+        return [text[s:e] for s, _, e in more]
+
+    assert added("password: p@ssW0rd!9xQz") == ["p@ssW0rd!9xQz"]
+    assert added('secret="$9f!kQ2z#Lm"') == ["$9f!kQ2z#Lm"]
+    assert added("my PASSWORD IS Xk29vQz7LmP0, ok") == ["Xk29vQz7LmP0"]
+    assert added("api_key: !Xk29vQz7 apikey = %Zz81!kQp passwd:#kQ2z9f!L token is t9$Kw2!zQ") == [
+        "!Xk29vQz7", "%Zz81!kQp", "#kQ2z9f!L", "t9$Kw2!zQ"
+    ]
+    # A base span keeps its place, and what stands before or after it is still read.
+    assert added("token=abcdef;pwd=Xk29!vQz7LmP0") == ["Xk29!vQz7LmP0"]
+    assert added("pwd: #kQ2z9f!L;token=abcdef") == ["#kQ2z9f!L"]
+    assert added("password: abcdefgh token: 123") == []
+    assert added("password is 123456 secret is hello1") == []
+    assert len(added("token=abcdef;pwd=Xk29!vQz7LmP0;" * 3_000)) == 3_000
+
+
 def test_guess_power():
     power = secret_scan.guess_power
     assert power("") == 0
