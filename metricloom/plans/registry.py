@@ -580,11 +580,10 @@ _metric_query("logit_summary", lambda t: linear_models.logit_summary(_binary(t),
 _metric_query("odds_ratios", lambda t: linear_models.odds_ratios(_binary(t), "high", PREDICTORS))
 
 
-# --- learners: parameters below the defaults keep a laptop run short; all rows take part --
+# --- learners: the operators' own settings; all rows take part ---------------------------
 
-FOREST = {"trees": 30, "depth": 8}
-BOOSTED = {"rounds": 10, "depth": 4}
-LEAFWISE = {"rounds": 10, "leaves": 31}
+#: Every tree model with its defaults.
+TREE_MODELS = {"boosted": {}, "boosted_leafwise": {}, "forest": {}}
 
 
 def _holdout(spark, d) -> tuple[DataFrame, DataFrame]:
@@ -606,17 +605,17 @@ def _(spark, d):
 
 @query("train_rf")
 def _(spark, d):
-    return _trained(spark, d, learners.TreeClassifier("forest", TEXT_FEATURES, **FOREST))
+    return _trained(spark, d, learners.TreeClassifier("forest", TEXT_FEATURES))
 
 
 @query("train_gbt")
 def _(spark, d):
-    return _trained(spark, d, learners.TreeClassifier("boosted", TEXT_FEATURES, **BOOSTED))
+    return _trained(spark, d, learners.TreeClassifier("boosted", TEXT_FEATURES))
 
 
 @query("train_gbt_leaf")
 def _(spark, d):
-    return _trained(spark, d, learners.TreeClassifier("boosted_leafwise", TEXT_FEATURES, **LEAFWISE))
+    return _trained(spark, d, learners.TreeClassifier("boosted_leafwise", TEXT_FEATURES))
 
 
 def _regression_rows(spark, d) -> DataFrame:
@@ -646,21 +645,21 @@ def _(spark, d):
 @query("train_rf_regressor")
 def _(spark, d):
     rows = _regression_rows(spark, d)
-    model = learners.ForestRegression(REGRESSORS, TARGET, trees=10, depth=8).fit(rows)
+    model = learners.ForestRegression(REGRESSORS, TARGET).fit(rows)
     return evaluation.regression_metrics(model.transform(rows), TARGET, "prediction", digits=2)
 
 
 @query("feature_importance")
 def _(spark, d):
     rows = _regression_rows(spark, d)
-    model = learners.ForestRegression(REGRESSORS, TARGET, trees=10, depth=8, columns="onethird").fit(rows)
+    model = learners.ForestRegression(REGRESSORS, TARGET, columns="onethird").fit(rows)
     return learners.feature_importance(model.model, REGRESSORS)
 
 
 @query("feature_split_counts")
 def _(spark, d):
     train, _ = _holdout(spark, d)
-    model = learners.TreeClassifier("boosted_leafwise", TEXT_FEATURES, **LEAFWISE).fit(train)
+    model = learners.TreeClassifier("boosted_leafwise", TEXT_FEATURES).fit(train)
     return learners.split_counts(model.model, TEXT_FEATURES, scratch_path(spark, "model"))
 
 
@@ -672,17 +671,14 @@ def _(spark, d):
 @query("random_search")
 def _(spark, d):
     train, _ = _holdout(spark, d)
-    space = {"trees": [10, 20], "depth": [4, 8], "min_leaf": [1, 5], "columns": ["sqrt", "log2"]}
-    _, _, table = learners.random_search(
-        train, "forest", TEXT_FEATURES, "id", draws=2, folds=3, space=space
-    )
+    _, _, table = learners.random_search(train, "forest", TEXT_FEATURES, "id")
     return table
 
 
 @query("score_batch")
 def _(spark, d):
     rows = _regression_rows(spark, d)
-    model = learners.ForestRegression(REGRESSORS, TARGET, trees=10, depth=6, columns="onethird").fit(rows)
+    model = learners.ForestRegression(REGRESSORS, TARGET, columns="onethird").fit(rows)
     return learners.score_batch(model, rows, ["id", "l_partkey"])
 
 
@@ -766,7 +762,7 @@ def _(spark, d):
     marked = splits.stratified_split(roles.labelled(spark, d), "id", "label")
     return compare_models(
         marked.where(~F.col("is_test")), marked.where(F.col("is_test")), TEXT_FEATURES,
-        {"boosted": BOOSTED, "forest": FOREST},
+        TREE_MODELS,
     )
 
 
@@ -779,9 +775,7 @@ QUERIES["build_dataset"] = lambda spark, d: build_dataset(
 
 @query("risk_end_to_end")
 def _(spark, d):
-    return risk_table(
-        *_changes_and_lines(spark, d), AS_OF, {"forest": {"trees": 10, "depth": 6}}
-    )
+    return risk_table(*_changes_and_lines(spark, d), AS_OF, TREE_MODELS)
 
 
 # --- streams ----------------------------------------------------------------------------

@@ -140,3 +140,41 @@ def test_depth_is_checked():
     assert learners.forest_classifier(depth=0).getMaxDepth() == 0
     with pytest.raises(ValueError):
         learners.forest_classifier(depth=40)
+
+
+def test_registered_learners_use_the_defaults(monkeypatch):
+    """Only the settings are looked at; nothing is fitted."""
+    import inspect
+
+    from metricloom.operators import learners
+    from metricloom.plans import registry
+
+    asked = []
+
+    def kept(name):
+        def run(*args, **kwargs):
+            asked.append((name, args[0], kwargs))
+            raise StopIteration
+
+        return run
+
+    names = ("TreeClassifier", "ForestRegression")
+    monkeypatch.setattr(registry, "_holdout", lambda *_: ("train", "test"))
+    monkeypatch.setattr(registry, "_regression_rows", lambda *_: "rows")
+    for name in (*names, "random_search"):
+        monkeypatch.setattr(learners, name, kept(name))
+    queries = (
+        "train_rf", "train_gbt", "train_gbt_leaf", "train_rf_regressor", "feature_importance",
+        "feature_split_counts", "top_importance", "random_search", "score_batch",
+    )
+    for q in queries:
+        try:
+            registry.QUERIES[q](None, None)
+        except StopIteration:
+            pass
+    assert len(asked) == len(queries)
+    assert not any(set(k) & {"trees", "rounds", "depth", "leaves", "draws", "folds", "space"} for _, _, k in asked)
+    assert set(registry.TREE_MODELS) == {"forest", "boosted", "boosted_leafwise"}
+    assert not any(registry.TREE_MODELS.values())
+    for q in ("model_comparison", "risk_end_to_end"):
+        assert "TREE_MODELS" in inspect.getsource(registry.QUERIES[q])
