@@ -5,9 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from metricloom.llm import chat, line_dedup, mixing, near_dedup, neighbours, personal_data, pieces, quality, secret_scan, token_counts
+from metricloom.llm import chat, licenses, line_dedup, mixing, near_dedup, neighbours, personal_data, pieces, quality, secret_scan, spelling, token_counts
 from metricloom.llm.common import documents, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -81,3 +81,23 @@ def op8_neighbours(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op5_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     return chat.format_chats(table(spark, folder, "conversations"))
+
+
+def planted_deletions(doc_id: Column, run: Column) -> Column:
+    """The run, or if 97 divides the crc32 of id and run, the run less one letter."""
+    h = F.crc32(F.concat(doc_id, F.lit(":"), run).cast("binary"))
+    at = (h % F.char_length(run)).cast("int")
+    short = F.concat(F.substr(run, F.lit(1), at), F.substr(run, at + 2))
+    return F.when(h % 97 == 0, short).otherwise(run)
+
+
+@query
+def op11_spelling(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder).select("doc_id", "text")
+    return spelling.group_variants(spelling.word_counts(docs, planted_deletions))
+
+
+@query
+def op13_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    found = licenses.scan_licenses(documents(spark, folder).select("doc_id", "text"))
+    return found.drop("spans")
