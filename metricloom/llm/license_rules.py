@@ -45,7 +45,7 @@ gfdl | gfdl; gfdl 1 2; gfdl 1 1 | gnu? free documentation licen[cs]e | gnu org l
 apache-2.0 | apache 2 0; apache2; apache 2; asl 2 0 | apache licen[cs]e version|v? 2 0? ; apache software licen[cs]e version|v? 2 0? | apache org licenses licen[cs]e 2 0 html|txt?
 apache-1.1 | apache 1 1; asl 1 1 | apache software? licen[cs]e version|v? 1 1 | apache org licenses licen[cs]e 1 1
 apache-1.0 | apache 1 0; asl 1 0 | apache software? licen[cs]e version|v? 1 0 | apache org licenses licen[cs]e 1 0
-mit-0 | mit 0 | mit no attribution licen[cs]e? | opensource org licenses mit 0 ; spdx org licenses mit 0
+mit-0 | mit 0 | mit no attribution licen[cs]e | opensource org licenses mit 0 ; spdx org licenses mit 0
 mit | mit; expat | the? mit x11? licen[cs]e ; mit style licen[cs]e ; expat licen[cs]e ; mit expat licen[cs]e | opensource org licenses? mit licen[cs]e? ; mit licen[cs]e org
 bsd-4-clause | bsd 4 clause; bsd4 | original bsd licen[cs]e ; four|4 clause bsd licen[cs]e? ; bsd four|4 clause licen[cs]e? | spdx org licenses bsd 4 clause
 bsd-3-clause | bsd 3 clause; bsd3; new bsd; modified bsd | three|3 clause bsd licen[cs]e? ; new|modified|revised bsd licen[cs]e ; bsd three|3 clause licen[cs]e? | opensource org licenses? bsd 3 clause

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from metricloom.llm import chat, licenses, line_dedup, mixing, near_dedup, neighbours, personal_data, pieces, quality, secret_scan, spelling, token_counts
+from metricloom.llm import alignment, chat, licenses, line_dedup, mixing, near_dedup, neighbours, personal_data, pieces, quality, secret_scan, spelling, token_counts
 from metricloom.llm.common import documents, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -101,3 +101,14 @@ def op11_spelling(spark: SparkSession, folder: str) -> DataFrame:
 def op13_licenses(spark: SparkSession, folder: str) -> DataFrame:
     found = licenses.scan_licenses(documents(spark, folder).select("doc_id", "text"))
     return found.drop("spans")
+
+
+@query
+def op12_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder).select("doc_id", "text")
+    left, right = (public_tokenizers.path(x) for x in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    digest = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256))
+    aligned = alignment.align(docs, left, right).withColumn("groups_sha256", digest).drop("groups")
+    return alignment.score_links(aligned).select(
+        "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"
+    )
