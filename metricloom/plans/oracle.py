@@ -188,6 +188,9 @@ SELECT event_id::VARCHAR AS "key",
             ELSE event_type END AS kind,
        CASE WHEN event_id % 7 = 0 THEN NULL WHEN event_id % 3 = 0 THEN '2' ELSE '3' END AS size
 FROM events WHERE event_id % 10 <> 0"""
+SQL["csv_lenient_one_column"] = """
+SELECT CASE WHEN event_id % 7 <> 0 AND event_id % 3 = 0 THEN event_type || ',"x"' ELSE event_type END AS kind
+FROM events WHERE event_id % 10 <> 0"""
 
 SQL["incremental_ingest"] = with_(LOG) + "SELECT repo, hash, author FROM log"
 

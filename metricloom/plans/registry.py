@@ -77,18 +77,23 @@ def _(spark, d):
     return delimited.read_metric_csv(spark, path, ["l_returnflag", "l_linestatus"])
 
 
-@query("csv_lenient_scan")
-def _(spark, d):
-    key, kind = F.col("event_id").cast("string"), F.col("event_type")
+def _ragged(spark, d, quoted_breaks: bool) -> DataFrame:
+    key, kind, broken = F.col("event_id").cast("string"), F.col("event_type"), "\n" * quoted_breaks
     line = (
         F.when(F.col("event_id") % 10 == 0, F.concat_ws(",", key, kind, F.lit("1"), F.lit("extra")))
         .when(F.col("event_id") % 7 == 0, F.concat_ws(",", key, kind))
-        .when(F.col("event_id") % 3 == 0, F.concat(key, F.lit(',"'), kind, F.lit(',\n""x""",2')))
+        .when(F.col("event_id") % 3 == 0, F.concat(key, F.lit(',"'), kind, F.lit(f',{broken}""x""",2')))
         .otherwise(F.concat_ws(",", key, kind, F.lit("3")))
     )
     path = scratch_path(spark, "ragged")
     roles.table(spark, d, "events").select(line.alias("value")).write.text(path)
-    return delimited.read_lenient_csv(spark, path, ["key", "kind", "size"], header=False, quoted_breaks=True)
+    return delimited.read_lenient_csv(
+        spark, path, ["key", "kind", "size"], header=False, quoted_breaks=quoted_breaks
+    )
+
+
+QUERIES["csv_lenient_scan"] = lambda spark, d: _ragged(spark, d, True)
+QUERIES["csv_lenient_one_column"] = lambda spark, d: _ragged(spark, d, False).select("kind")
 
 
 @query("incremental_ingest")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import os
 import tempfile
 import uuid
@@ -51,9 +52,13 @@ def scratch_root(spark: SparkSession) -> str:
         return root.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    root = tempfile.mkdtemp(prefix="metricloom-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    return _own_folder()
+
+
+@functools.cache
+def _own_folder() -> str:
+    """One folder for the life of this process; the setting itself can't be changed at run time."""
+    return tempfile.mkdtemp(prefix="metricloom-")
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:

@@ -44,8 +44,11 @@ class KeyLedger:
         done = None if force else self.keys()
         offered = (offered if offered is not None else batch).select(self.key).distinct()
         if done is not None:
-            batch = batch.join(done.select(self.key), self.key, "left_anti")
-            offered = offered.join(done.select(self.key), self.key, "left_anti")
+            taken = done.select(F.col(self.key).alias("__taken"))
+            # A missing key is a key like any other: it is taken in once.
+            same = F.col(self.key).eqNullSafe(F.col("__taken"))
+            batch = batch.join(taken, same, "left_anti")
+            offered = offered.join(taken, same, "left_anti")
         self._write(batch, self.rows_path, run, force)
         self._write(offered, self.keys_path, run, force)
 

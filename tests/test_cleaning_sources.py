@@ -1,8 +1,9 @@
 from datetime import datetime
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import Row, functions as F
 
+from metricloom import session
 from metricloom.functions import scalars as s
 from metricloom.operators import cleaning, features, relational
 from metricloom.session import scratch_path
@@ -117,6 +118,24 @@ def test_ragged_csv(spark):
     assert sorted(map(tuple, rows), key=str) == [("1", "2", "3"), ("10", "x\ny", "12"), ("4", "5", None)]
 
 
+@pytest.mark.parametrize("breaks", [False, True])
+def test_ragged_rows_go_whatever_is_read(spark, breaks):
+    path = scratch_path(spark, "t")
+    text = 'a,b,c\n1,2,3\n4,5\n6,7,8,9\n"10",x,12\n,,\n"a,b","c",d,"e,f"'
+    spark.createDataFrame([(text,)], "value string").coalesce(1).write.text(path)
+    read = delimited.read_lenient_csv(spark, path, ["a", "b", "c"], quoted_breaks=breaks)
+    whole = read.collect()
+    assert sorted(map(tuple, whole), key=str) == [("1", "2", "3"), ("10", "x", "12"), ("4", "5", None), (None, None, None)]
+    assert read.count() == 4
+    for cols in (["a"], ["b"], ["c"], ["c", "a"]):
+        narrow = read.select(*cols).collect()
+        assert sorted(map(str, narrow)) == sorted(str(spark_row(r, cols)) for r in whole)
+
+
+def spark_row(row, cols):
+    return Row(**{c: row[c] for c in cols})
+
+
 def test_large_ragged_files_are_split(spark):
     path = scratch_path(spark, "t")
     lines = spark.range(20_000).selectExpr("concat(id, ',', id, ',', id) as value")
@@ -153,6 +172,21 @@ def test_ledger(spark):
     assert {r["repo"] for r in ledger.keys().collect()} == {"b"}
 
 
+def test_ledger_takes_a_missing_key_once(spark):
+    log = spark.createDataFrame([("a", 1), (None, 2)], "repo string, v int")
+    ledger = KeyLedger(spark, scratch_path(spark, "t"), "repo")
+    for _ in range(3):
+        ledger.ingest(log)
+    assert sorted(r["v"] for r in ledger.rows().collect()) == [1, 2]
+    assert ledger.keys().count() == 2
+
+
+def test_own_folder_without_the_setting(spark, monkeypatch):
+    monkeypatch.setattr(spark.conf.__class__, "get", lambda *_: None)
+    root = session.scratch_root(spark)
+    assert root == session.scratch_root(spark) and session.scratch_path(spark, "t").startswith(root)
+
+
 def test_ledger_shows_real_faults(spark):
     from metricloom.session import scratch_path
     from metricloom.sources.ledger import KeyLedger
