@@ -1,7 +1,7 @@
 """Classifiers and regressors, their importances, tuning and batch scoring.
 
-Feature vectors are assembled from named columns; every learner is a ``pyspark.ml``
-estimator, so training is distributed and models can be saved.
+Linear models are ``pyspark.ml`` estimators; forests and boosting are grown by
+``operators.trees`` over features that are cut into bins once.
 """
 
 from __future__ import annotations
@@ -12,16 +12,17 @@ import random
 from collections.abc import Mapping, Sequence
 
 from pyspark import StorageLevel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import LinearRegression, RandomForestRegressor
-from pyspark.ml.tuning import CrossValidator
+from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from metricloom.functions.scalars import half_even
+from metricloom.operators import trees
 from metricloom.operators.linear_models import assemble
 from metricloom.operators.splits import SEED, stratified_folds
+from metricloom.operators.trees import Growth, Trial
+from metricloom.session import written_once
 
 # Default settings of the compared models.
 FOREST_TREES = 300
@@ -34,7 +35,13 @@ LEAVES = 63
 REGRESSION_TREES = 200
 RIDGE_ALPHA = 1.0
 INVERSE_PENALTY = 1.0
-DEEPEST = 30
+# Regression forest of the statistics package behind the dashboard (its
+# documented defaults): trees, least rows of a node that is split, share of the features.
+PLAIN_TREES = 500
+PLAIN_SPLIT = 6
+# What the two boosting libraries ask of a leaf by default.
+DEPTHWISE_LEAF = {"l2": 1.0, "min_weight": 1.0}
+LEAFWISE_LEAF = {"min_leaf": 20, "min_weight": 1e-3}
 
 # The searched settings.
 SEARCH_SPACES = {
@@ -61,6 +68,11 @@ SEARCH_SPACES = {
 }
 SEARCH_DRAWS = 20
 SEARCH_FOLDS = 5
+#: Labelled rows that all fits of a search share; larger tables are drawn from by a keyed hash.
+SEARCH_ROWS = 5_000
+#: After each of the first folds, settings are dropped whose mean area so far is this much
+#: below the best mean.
+RACE_MARGIN = 0.02
 
 
 def class_counts(train: DataFrame, label: str = "label") -> tuple[int, int]:
@@ -78,64 +90,54 @@ def balanced_weight(neg: int, pos: int, label: str = "label") -> Column:
     )
 
 
-def positive_weight(neg: int, pos: int, label: str = "label") -> Column:
-    """neg/pos for positives, 1 for negatives."""
-    return F.when(F.col(label) == 1, F.lit(neg / float(max(pos, 1)))).otherwise(F.lit(1.0))
-
-
 def _ready(df: DataFrame, features: Sequence[str], label: str, weight: Column | None = None) -> DataFrame:
     out = assemble(df.withColumn("label", F.col(label).cast("double")), features)
     return out.withColumn("weight", weight) if weight is not None else out
 
 
-def _leaf_depth(leaves: int) -> int:
-    return max(1, math.ceil(math.log2(leaves)))
+def tried_columns(columns: str | int, width: int) -> int | None:
+    """How many of ``width`` features a node tries; ``None`` stands for all."""
+    if isinstance(columns, int):
+        return columns
+    return {
+        "all": None,
+        "sqrt": max(1, int(math.sqrt(width))),
+        "log2": max(1, int(math.log2(width))),
+        "onethird": max(1, width // 3),
+    }[columns]
 
 
-def _depth(depth: int | None) -> int:
-    """``None`` is the deepest that Spark grows; other depths are taken as they are."""
-    if depth is None:
-        return DEEPEST
-    if not 0 <= depth <= DEEPEST:
-        raise ValueError(f"trees can be 0 to {DEEPEST} levels deep, not {depth}")
+def _depth(depth: int | None) -> int | None:
+    if depth is not None and depth < 1:
+        raise ValueError(f"a tree has a level of splits at least, not {depth}")
     return depth
 
 
-def forest_classifier(trees=FOREST_TREES, depth=None, min_leaf=1, columns="sqrt", seed=SEED):
-    return RandomForestClassifier(
-        numTrees=trees, maxDepth=_depth(depth), minInstancesPerNode=min_leaf,
-        featureSubsetStrategy=columns, weightCol="weight", seed=seed,
-        cacheNodeIds=True, checkpointInterval=10,
-    )
+def forest_trial(width, trees=FOREST_TREES, depth=None, min_leaf=1, columns="sqrt") -> Trial:
+    """A forest whose trees weigh the classes of their own draws."""
+    how = Growth(depth=_depth(depth), min_leaf=min_leaf, columns=tried_columns(columns, width))
+    return Trial(how, trees)
 
 
-def boosted_classifier(
-    rounds=BOOST_ROUNDS, depth=BOOST_DEPTH, rate=BOOST_RATE, rows=BOOST_ROWS,
-    columns=BOOST_COLUMNS, seed=SEED,
-):
-    return GBTClassifier(
-        maxIter=rounds, maxDepth=depth, stepSize=rate, subsamplingRate=rows,
-        featureSubsetStrategy="all" if columns == 1.0 else str(columns),
-        weightCol="weight", seed=seed, cacheNodeIds=True, checkpointInterval=10,
-    )
+def boosted_trial(
+    width, rounds=BOOST_ROUNDS, depth=BOOST_DEPTH, rate=BOOST_RATE, rows=BOOST_ROWS, columns=BOOST_COLUMNS
+) -> Trial:
+    """Boosting with trees of a given depth."""
+    return Trial(Growth(depth=_depth(depth), **DEPTHWISE_LEAF), rounds, rate, rows, columns)
 
 
-def leafwise_classifier(rounds=BOOST_ROUNDS, leaves=LEAVES, rate=BOOST_RATE, rows=1.0, columns=1.0, seed=SEED):
-    """Boosting bounded by a number of leaves, through the depth that can hold them."""
-    return boosted_classifier(rounds, _leaf_depth(leaves), rate, rows, columns, seed)
+def leafwise_trial(width, rounds=BOOST_ROUNDS, leaves=LEAVES, rate=BOOST_RATE, rows=1.0, columns=1.0) -> Trial:
+    """Boosting with best-first trees of a number of leaves."""
+    return Trial(Growth(leaves=leaves, **LEAFWISE_LEAF), rounds, rate, rows, columns)
 
 
 BUILDERS = {
-    "forest": forest_classifier,
-    "boosted": boosted_classifier,
-    "boosted_leafwise": leafwise_classifier,
+    "forest": forest_trial,
+    "boosted": boosted_trial,
+    "boosted_leafwise": leafwise_trial,
 }
 
 
-def weight_for(kind: str, neg: int, pos: int) -> Column:
-    return balanced_weight(neg, pos) if kind == "forest" else positive_weight(neg, pos)
-
-
 class Scaler:
     """Population z-scores; the moments (two numbers per column) come from the rows of ``fit``."""
 
@@ -191,34 +193,50 @@ class LogisticBaseline:
         )
         return self
 
-    def transform(self, df: DataFrame) -> DataFrame:
-        return self.model.transform(_ready(self.scaler.transform(df), self.scaler.scaled, self.label))
+    def scored(self, df: DataFrame) -> DataFrame:
+        out = self.model.transform(_ready(self.scaler.transform(df), self.scaler.scaled, self.label))
+        return out.select(
+            *[F.col(f"`{c}`") for c in df.columns],
+            vector_to_array("probability")[1].alias("score"), F.col("prediction").cast("int").alias("prediction"),
+        )
 
 
 class TreeClassifier:
-    """A forest or boosted classifier with the class weighting of its kind."""
+    """A forest or boosted classifier with the class weighting of its kind.
 
-    def __init__(self, kind: str, features: Sequence[str], label: str = "label", **settings):
-        self.kind, self.features, self.label, self.settings = kind, list(features), label, settings
+    A forest balances the classes of every tree's own draw, a boosted model weighs positives
+    by the ratio of the classes. ``key`` names a row in the draws. Models are grown from
+    ``trees.FIT_ROWS`` rows at most (a forest: each tree).
+    """
 
-    def fit(self, train: DataFrame) -> "TreeClassifier":
-        neg, pos = class_counts(train, self.label)
-        ready = _ready(train, self.features, self.label, weight_for(self.kind, neg, pos))
-        self.model = _fit_cached(BUILDERS[self.kind](**self.settings), ready)
+    def __init__(self, kind: str, features: Sequence[str], label: str = "label", key: str = "id", seed: int = SEED, **settings):
+        self.kind, self.features, self.label, self.key, self.seed = kind, list(features), label, key, seed
+        self.trial = BUILDERS[kind](len(self.features), **settings)
+
+    def fit(self, train: DataFrame, bins: trees.Bins | None = None) -> "TreeClassifier":
+        rows = train.select(*self.features, self.key, F.col(self.label).cast("double").alias("__label"))
+        trial, shared = self.trial, {"seed": self.seed, "bins": bins}
+        if trial.rate is None:
+            self.model = trees.fit_forest(
+                rows, self.features, "__label", self.key, trial.how, trial.trees, balanced=True, **shared
+            )
+        else:
+            neg, pos = class_counts(train, self.label)
+            self.model = trees.fit_boosted(
+                rows, self.features, "__label", self.key, trial.how, trial.trees, trial.rate,
+                trial.row_share, trial.column_share, positive_weight=neg / max(pos, 1), **shared,
+            )
         return self
 
-    def transform(self, df: DataFrame) -> DataFrame:
-        return self.model.transform(_ready(df, self.features, self.label))
+    def scored(self, df: DataFrame) -> DataFrame:
+        return self.model.scored(df).withColumn("prediction", (F.col("score") > 0.5).cast("int"))
 
 
 def scores(model, df: DataFrame, keep: Sequence[str], label: str = "label") -> DataFrame:
     """Row id, label, probability of the positive class and predicted class."""
-    out = model.transform(df)
-    return out.select(
-        *keep,
-        F.col(label).cast("int").alias("label"),
-        vector_to_array("probability")[1].alias("score"),
-        F.col("prediction").cast("int").alias("prediction"),
+    taken = [c for c in ("score", "prediction") if c in df.columns and c not in (*keep, label)]
+    return model.scored(df.drop(*taken)).select(
+        *keep, F.col(label).cast("int").alias("label"), "score", "prediction"
     )
 
 
@@ -253,53 +271,54 @@ class RidgeRegression:
 
 class ForestRegression:
     """Forest of regression trees; ``columns="onethird"`` draws a third of the features per
-    split, ``"all"`` tries every one."""
+    split, ``"all"`` tries every one. Each tree is grown from ``trees.FIT_ROWS`` rows at most."""
 
     def __init__(
-        self, features: Sequence[str], target: str, trees=REGRESSION_TREES, depth=None,
-        columns="all", min_leaf=1, seed=SEED,
+        self, features: Sequence[str], target: str, key: str = "id", trees=REGRESSION_TREES, depth=None,
+        columns="all", min_leaf=1, min_split=2, seed=SEED,
     ):
-        self.features, self.target = list(features), target
-        self.estimator = RandomForestRegressor(
-            numTrees=trees, maxDepth=_depth(depth), seed=seed,
-            featureSubsetStrategy=columns, minInstancesPerNode=min_leaf, cacheNodeIds=True, checkpointInterval=10,
+        self.features, self.target, self.key, self.n_trees, self.seed = list(features), target, key, trees, seed
+        self.how = Growth(
+            depth=_depth(depth), min_leaf=min_leaf, min_split=min_split,
+            columns=tried_columns(columns, len(self.features)),
         )
 
+    @classmethod
+    def plain(cls, features: Sequence[str], target: str, key: str = "id") -> "ForestRegression":
+        """With the default settings of the statistics package behind the dashboard."""
+        return cls(features, target, key, trees=PLAIN_TREES, columns="onethird", min_split=PLAIN_SPLIT)
+
     def fit(self, train: DataFrame) -> "ForestRegression":
-        self.model = _fit_cached(self.estimator, _ready(train, self.features, self.target))
+        rows = train.select(*self.features, self.key, F.col(self.target).cast("double").alias("__target"))
+        self.model = trees.fit_forest(
+            rows, self.features, "__target", self.key, self.how, self.n_trees, seed=self.seed
+        )
         return self
 
     def transform(self, df: DataFrame) -> DataFrame:
-        return self.model.transform(_ready(df, self.features, self.target))
+        return self.model.scored(df.drop("prediction"), "prediction")
 
 
 # --- importances ------------------------------------------------------------------------
 
 
-def feature_importance(model, features: Sequence[str]) -> DataFrame:
-    """Share of the impurity decrease per feature, highest first."""
-    spark = SparkSession.active()
-    rows = [(f, float(v)) for f, v in zip(features, model.featureImportances.toArray())]
-    return spark.createDataFrame(rows, "feature string, importance double").orderBy(
+def feature_importance(model: trees.Ensemble, kind: str = "impurity") -> DataFrame:
+    """Share of the impurity decrease (or of the mean gain of a split) per feature, highest first."""
+    return SparkSession.active().createDataFrame(
+        model.importance(kind), "feature string, importance double"
+    ).orderBy(F.desc("importance"), "feature")
+
+
+def split_counts(model: trees.Ensemble) -> DataFrame:
+    """How many splits use each feature, most used first."""
+    counts = [(f, int(n)) for f, n in model.importance("splits")]
+    return SparkSession.active().createDataFrame(counts, "feature string, importance long").orderBy(
         F.desc("importance"), "feature"
     )
 
 
-def split_counts(model, features: Sequence[str], path: str) -> DataFrame:
-    """How many splits use each feature, counted from the saved tree nodes."""
-    spark = SparkSession.active()
-    model.write().overwrite().save(path)
-    nodes = spark.read.parquet(f"{path}/data")
-    node = "nodeData" if "nodeData" in nodes.columns else None
-    index = F.col(f"{node}.split.featureIndex") if node else F.col("split.featureIndex")
-    names = F.array(*[F.lit(f) for f in features])
-    used = nodes.where(index >= 0).groupBy(names[index].alias("feature")).agg(
-        F.count(F.lit(1)).alias("importance")
-    )
-    every = spark.createDataFrame([(f,) for f in features], "feature string")
-    return every.join(used, "feature", "left").select(
-        "feature", F.coalesce("importance", F.lit(0)).alias("importance")
-    ).orderBy(F.desc("importance"), "feature")
+#: The importance that each kind of model reports by default.
+IMPORTANCE = {"forest": "impurity", "boosted": "gain", "boosted_leafwise": "splits"}
 
 
 # --- tuning -----------------------------------------------------------------------------
@@ -320,40 +339,52 @@ def random_search(
     label: str = "label",
     draws: int = SEARCH_DRAWS,
     folds: int = SEARCH_FOLDS,
-    parallelism: int = 4,
     seed: int = SEED,
     space: Mapping | None = None,
+    rows: int = SEARCH_ROWS,
+    margin: float | None = RACE_MARGIN,
 ):
     """Random search by stratified cross-validation on ROC-AUC, refitted on all of ``train``.
 
-    Returns (best model, best settings, table of settings with their mean score). The
-    folds are a column of the data, so every candidate sees the same rows.
+    Returns (best model, best settings, table of settings with their mean score). Features
+    are binned once, from all rows; the fits of all settings and folds share one binned
+    sample of ``rows`` rows at most, whose folds are a column, and run as groups of one job.
+    After each of the first two folds, settings more than ``margin`` below the best mean so
+    far are dropped (``None``: never); their mean and the folds they saw stay in the table.
+    The best is chosen among those that saw every fold, ties to the one drawn first.
     """
     picks = draw_settings(kind, draws, seed, space)
-    neg, pos = class_counts(train, label)
-    ready = _ready(
-        stratified_folds(train, key, label, folds, seed), features, label, weight_for(kind, neg, pos)
-    ).select("features", "label", "weight", "fold").persist(StorageLevel.MEMORY_AND_DISK)
-    estimator = BUILDERS[kind]()
-    by_name = {p.name: p for p in estimator.params}
-    maps = []
-    for settings in picks:
-        wanted = BUILDERS[kind](**settings)
-        maps.append({by_name[p.name]: v for p, v in wanted.extractParamMap().items()
-                     if wanted.isSet(p) and p.name != "seed"})
-    search = CrossValidator(
-        estimator=estimator, estimatorParamMaps=maps,
-        evaluator=BinaryClassificationEvaluator(metricName="areaUnderROC", numBins=0),
-        numFolds=folds, foldCol="fold", parallelism=parallelism, seed=seed,
-    ).fit(ready)
-    ready.unpersist()
-    means = [float(m) for m in search.avgMetrics]
-    best = max(range(len(picks)), key=means.__getitem__)
-    table = train.sparkSession.createDataFrame(
-        [(kind, str(s), m, i == best) for i, (s, m) in enumerate(zip(picks, means))],
-        "kind string, settings string, roc_auc double, best boolean",
+    trials = [BUILDERS[kind](len(features), **p) for p in picks]
+    bins = trees.find_bins(train, features)
+    sample = trees.bounded(train, key, train.count(), rows, seed)
+    dealt = stratified_folds(sample.select(*features, key, label), key, label, folds, seed)
+    table = trees.packed(dealt, bins, [key, label, "fold"]).select(
+        F.xxhash64(key).alias("row"), "bins", F.col(label).cast("double").alias("target"), "fold"
+    )
+    table = written_once(table, "search")
+    stages = [[0], [1], list(range(2, folds))] if margin is not None and folds > 2 else [list(range(folds))]
+    areas: dict[int, list[float]] = {t: [] for t in range(len(picks))}
+    alive = list(areas)
+    for stage in stages:
+        wanted = [(t, f) for t in alive for f in stage]
+        for r in sorted(trees.fold_scores(table, len(features), trials, wanted, seed).collect()):
+            areas[r["trial"]].append(r["auc"])
+        means = {t: _mean(areas[t]) for t in alive}
+        if margin is not None:
+            alive = [t for t in alive if means[t] >= max(means.values()) - margin]
+    best = max(alive, key=lambda t: (means[t], -t))
+    out = [(kind, str(p), _mean(areas[t]), len(areas[t]), t == best) for t, p in enumerate(picks)]
+    report = train.sparkSession.createDataFrame(
+        out, "kind string, settings string, roc_auc double, folds int, best boolean"
     ).withColumn("roc_auc", half_even(F.col("roc_auc"), 4))
-    return search.bestModel, picks[best], table
+    model = TreeClassifier(kind, features, label, key, seed, **picks[best]).fit(train, bins)
+    return model, picks[best], report
+
+
+def _mean(areas: Sequence[float]) -> float:
+    """Folds with one class only have no area and do not count."""
+    known = [a for a in areas if a == a]
+    return sum(known) / len(known) if known else 0.0
 
 
 def score_batch(model, rows: DataFrame, keep: Sequence[str], out: str = "estimate") -> DataFrame:

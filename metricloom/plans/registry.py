@@ -25,7 +25,15 @@ from metricloom.operators import (
 from metricloom.operators.ordered import running_before
 from metricloom.plans import roles
 from metricloom.plans.roles import METRICS, TEXT_FEATURES
-from metricloom.plans.risk import build_dataset, compare_models, risk_table
+from metricloom.plans.risk import (
+    build_dataset,
+    compare_models,
+    compare_regressors,
+    dataset_statistics,
+    dataset_summary,
+    risk_study,
+    risk_table,
+)
 from metricloom.session import scratch_path, written_once
 from metricloom.sources import delimited
 from metricloom.sources.ledger import KeyLedger
@@ -625,19 +633,31 @@ def _(spark, d):
 
 def _regression_rows(spark, d) -> DataFrame:
     cols = ["l_quantity", "l_discount", "l_tax", "p_size", "p_retailprice"]
+    # A line is named by its order and number; number 7 is missing in this role.
+    row = F.col("id").cast("long") * 8 + F.coalesce("l_linenumber", F.lit(7.0)).cast("long")
     return cleaning.drop_incomplete(
-        roles.metric_table(spark, d).select("id", "l_partkey", TARGET, *cols)
+        roles.metric_table(spark, d).select("id", "l_partkey", row.alias("row"), TARGET, *cols),
+        ["id", "l_partkey", TARGET, *cols],
     )
 
 
 REGRESSORS = ["l_quantity", "l_discount", "l_tax", "p_size", "p_retailprice"]
 
 
+def _regression_split(spark, d) -> tuple[DataFrame, DataFrame]:
+    """Three quarters of the rows to fit on, the rest to judge on."""
+    marked = splits.random_split(_regression_rows(spark, d), "row")
+    return marked.where(~F.col("is_test")), marked.where(F.col("is_test"))
+
+
+def _judged(spark, d, model) -> DataFrame:
+    train, test = _regression_split(spark, d)
+    return evaluation.regression_metrics(model.fit(train).transform(test), TARGET, "prediction", digits=2)
+
+
 @query("train_ridge")
 def _(spark, d):
-    rows = _regression_rows(spark, d)
-    fitted = learners.RidgeRegression(REGRESSORS, TARGET).fit(rows).transform(rows)
-    return evaluation.regression_metrics(fitted, TARGET, "prediction", digits=2)
+    return _judged(spark, d, learners.RidgeRegression(REGRESSORS, TARGET))
 
 
 @query("ridge_one_predictor")
@@ -649,23 +669,21 @@ def _(spark, d):
 
 @query("train_rf_regressor")
 def _(spark, d):
-    rows = _regression_rows(spark, d)
-    model = learners.ForestRegression(REGRESSORS, TARGET).fit(rows)
-    return evaluation.regression_metrics(model.transform(rows), TARGET, "prediction", digits=2)
+    return _judged(spark, d, learners.ForestRegression(REGRESSORS, TARGET, "row"))
 
 
 @query("feature_importance")
 def _(spark, d):
-    rows = _regression_rows(spark, d)
-    model = learners.ForestRegression(REGRESSORS, TARGET, columns="onethird").fit(rows)
-    return learners.feature_importance(model.model, REGRESSORS)
+    train, _ = _regression_split(spark, d)
+    model = learners.ForestRegression.plain(REGRESSORS, TARGET, "row").fit(train)
+    return learners.feature_importance(model.model)
 
 
 @query("feature_split_counts")
 def _(spark, d):
     train, _ = _holdout(spark, d)
     model = learners.TreeClassifier("boosted_leafwise", TEXT_FEATURES).fit(train)
-    return learners.split_counts(model.model, TEXT_FEATURES, scratch_path(spark, "model"))
+    return learners.split_counts(model.model)
 
 
 @query("top_importance")
@@ -682,9 +700,9 @@ def _(spark, d):
 
 @query("score_batch")
 def _(spark, d):
-    rows = _regression_rows(spark, d)
-    model = learners.ForestRegression(REGRESSORS, TARGET, columns="onethird").fit(rows)
-    return learners.score_batch(model, rows, ["id", "l_partkey"])
+    train, test = _regression_split(spark, d)
+    model = learners.ForestRegression.plain(REGRESSORS, TARGET, "row").fit(train)
+    return learners.score_batch(model, test, ["id", "l_partkey", "row"])
 
 
 _scored_query("class_weights", lambda t: evaluation.class_weights(t, "label"))
@@ -783,6 +801,28 @@ def _(spark, d):
     return risk_table(*_changes_and_lines(spark, d), AS_OF, TREE_MODELS)
 
 
+@query("risk_tuned")
+def _(spark, d):
+    return risk_study(*_changes_and_lines(spark, d), AS_OF, TREE_MODELS, tune={}).as_one_table()
+
+
+@query("risk_leakage")
+def _(spark, d):
+    return risk_study(*_changes_and_lines(spark, d), AS_OF, TREE_MODELS).leakage()
+
+
+@query("churn_regression")
+def _(spark, d):
+    data = written_once(build_dataset(*_changes_and_lines(spark, d), AS_OF), "dataset")
+    return compare_regressors(data, [c for c in features.MODEL_FEATURES if c in data.columns])
+
+
+QUERIES["dataset_summary"] = lambda spark, d: dataset_summary(
+    build_dataset(*_changes_and_lines(spark, d), AS_OF))
+QUERIES["dataset_statistics"] = lambda spark, d: dataset_statistics(
+    written_once(build_dataset(*_changes_and_lines(spark, d), AS_OF), "dataset"))
+
+
 # --- streams ----------------------------------------------------------------------------
 
 

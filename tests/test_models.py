@@ -81,32 +81,43 @@ def test_ridge_closed_form(data):
     assert model.coefficients.toArray() == pytest.approx(beta, rel=1e-8)
 
 
-def test_trees_importances_and_split_counts(spark, data):
+def test_trees_importances_and_split_counts(data):
     forest = learners.TreeClassifier("forest", ["a", "b"], trees=5, depth=4).fit(data)
-    shares = learners.feature_importance(forest.model, ["a", "b"]).collect()
+    shares = learners.feature_importance(forest.model).collect()
     assert sum(r["importance"] for r in shares) == pytest.approx(1.0)
     assert shares[0]["importance"] >= shares[1]["importance"]
     boosted = learners.TreeClassifier("boosted_leafwise", ["a", "b"], rounds=3, leaves=7).fit(data)
-    counts = learners.split_counts(boosted.model, ["a", "b"], scratch_path(spark, "t")).collect()
-    assert sum(r["importance"] for r in counts) == sum(
-        (t.numNodes - 1) // 2 for t in boosted.model.trees
-    )
+    counts = learners.split_counts(boosted.model).collect()
+    assert sum(r["importance"] for r in counts) == sum((len(t.left) - 1) // 2 for t in boosted.model.trees)
 
 
 def test_search_space_sizes():
     sizes = {k: len(learners.draw_settings(k, 10_000)) for k in learners.SEARCH_SPACES}
     assert sizes == {"forest": 72, "boosted": 243, "boosted_leafwise": 243}
     assert learners.draw_settings("forest") == learners.draw_settings("forest")
-    assert [learners._leaf_depth(n) for n in (31, 63, 127)] == [5, 6, 7]
 
 
-def test_random_search_picks_the_best_mean(data):
-    space = {"trees": [3], "depth": [1, 4], "min_leaf": [1], "columns": ["all"]}
-    model, best, table = learners.random_search(data, "forest", ["a", "b"], "id", folds=2, space=space)
+@pytest.mark.parametrize("margin", [None, 0.0, 0.5])
+def test_random_search_picks_the_best_mean(data, margin):
+    space = {"trees": [3], "depth": [1, 4], "min_leaf": [1, 2], "columns": ["all"]}
+    model, best, table = learners.random_search(data, "forest", ["a", "b"], "id", folds=3, space=space, margin=margin)
     rows = table.collect()
-    top = max(rows, key=lambda r: r["roc_auc"])
-    assert top["best"] and str(best) == top["settings"] and len(rows) == 2
-    assert model.getNumTrees == 3
+    whole = [r for r in rows if r["folds"] == 3]
+    top = max(whole, key=lambda r: r["roc_auc"])
+    assert top["best"] and sum(r["best"] for r in rows) == 1 and len(rows) == 4
+    assert str(best) in {r["settings"] for r in whole if r["roc_auc"] == top["roc_auc"]}
+    assert len(model.model.trees) == 3
+    assert (len(whole) == 4) if margin in (None, 0.5) else (len(whole) >= 1)
+
+
+def test_search_repeats(data):
+    space = {"rounds": [4], "leaves": [3, 5], "rate": [0.3], "rows": [0.7], "columns": [1.0]}
+    one, two = (
+        learners.random_search(data.repartition(n), "boosted_leafwise", ["a", "b"], "id", folds=3, space=space)
+        for n in (2, 5)
+    )
+    assert one[2].collect() == two[2].collect() and one[1] == two[1]
+    assert [t.value.tolist() for t in one[0].model.trees] == [t.value.tolist() for t in two[0].model.trees]
 
 
 def test_comparison_refuses_a_single_class(data):
@@ -137,9 +148,10 @@ def test_nested_models_use_the_same_rows(spark):
 
 
 def test_depth_is_checked():
-    assert learners.forest_classifier(depth=0).getMaxDepth() == 0
+    assert learners.forest_trial(9, depth=None).how.depth is None
     with pytest.raises(ValueError):
-        learners.forest_classifier(depth=40)
+        learners.forest_trial(9, depth=0)
+    assert [learners.tried_columns(c, 16) for c in ("sqrt", "log2", "onethird", "all", 3)] == [4, 4, 5, None, 3]
 
 
 def test_registered_learners_use_the_defaults(monkeypatch):
@@ -160,9 +172,12 @@ def test_registered_learners_use_the_defaults(monkeypatch):
 
     names = ("TreeClassifier", "ForestRegression")
     monkeypatch.setattr(registry, "_holdout", lambda *_: ("train", "test"))
-    monkeypatch.setattr(registry, "_regression_rows", lambda *_: "rows")
+    monkeypatch.setattr(registry, "_regression_split", lambda *_: ("train", "test"))
+    monkeypatch.setattr(learners.ForestRegression, "plain", kept("plain"))
+    plain = learners.ForestRegression.plain
     for name in (*names, "random_search"):
         monkeypatch.setattr(learners, name, kept(name))
+    learners.ForestRegression.plain = plain
     queries = (
         "train_rf", "train_gbt", "train_gbt_leaf", "train_rf_regressor", "feature_importance",
         "feature_split_counts", "top_importance", "random_search", "score_batch",
@@ -176,5 +191,5 @@ def test_registered_learners_use_the_defaults(monkeypatch):
     assert not any(set(k) & {"trees", "rounds", "depth", "leaves", "draws", "folds", "space"} for _, _, k in asked)
     assert set(registry.TREE_MODELS) == {"forest", "boosted", "boosted_leafwise"}
     assert not any(registry.TREE_MODELS.values())
-    for q in ("model_comparison", "risk_end_to_end"):
+    for q in ("model_comparison", "risk_end_to_end", "risk_tuned", "risk_leakage"):
         assert "TREE_MODELS" in inspect.getsource(registry.QUERIES[q])
