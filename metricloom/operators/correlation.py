@@ -10,8 +10,9 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from metricloom.functions.distributions import t_two_sided
 from metricloom.functions.scalars import half_even, safe_ratio
-from metricloom.operators.ordered import ROWS_PER_TASK, HotGroups, running_before
-from metricloom.operators.profile import union_all
+from metricloom.operators.ordered import ROWS_PER_TASK, running_before
+from metricloom.operators.profile import union_all, value_counts
+from metricloom.session import written_once
 
 
 _NOISE = 1e-12
@@ -90,20 +91,23 @@ def average_ranks(
 ) -> DataFrame:
     """Add the average rank of each column, computed from its distinct values.
 
-    Only (value, count) pairs are ordered. The rank comes back by an equi-join, which
-    turns into a broadcast at run time when the column has few distinct values, and is
-    split by the skew-join rule when one value is very frequent.
+    One table of (column, value, count) is ordered for all columns together, in blocks of
+    rows; the ranks come back by an equi-join per column, which turns into a broadcast at
+    run time when the column has few distinct values, and is split by the skew-join rule
+    when one value is very frequent.
     """
-    base, rows = df, df.count()
-    small = HotGroups() if rows <= rows_per_task else None
+    counts = written_once(value_counts(df, cols), "counts")
+    ranked = running_before(
+        counts, ["variable"], "value", {"__start": F.col("n")},
+        unique_order=True, at_most=counts.count(), rows_per_task=rows_per_task,
+    )
+    rank = F.col("__start") + (F.col("n") + 1) / F.lit(2.0)
+    ranks = written_once(ranked.select("variable", "value", rank.alias("rank")), "ranks")
     for c in cols:
-        counts = base.where(F.col(c).isNotNull()).groupBy(c).agg(F.count(F.lit(1)).alias("__n"))
-        ranked = running_before(
-            counts, [], c, {"__start": F.col("__n")},
-            unique_order=True, hot=small, rows_per_task=rows_per_task,
+        own = ranks.where(F.col("variable") == c).select(
+            F.col("value").alias("__value"), F.col("rank").alias(f"{c}{suffix}")
         )
-        rank = F.col("__start") + (F.col("__n") + 1) / F.lit(2.0)
-        df = df.join(ranked.select(c, rank.alias(f"{c}{suffix}")), c, "left")
+        df = df.join(own, F.col(c).cast("double") == F.col("__value"), "left").drop("__value")
     return df
 
 

@@ -24,7 +24,7 @@ from metricloom.functions.scalars import (
     subsystem,
 )
 from metricloom.operators.cleaning import commit_filter
-from metricloom.operators.ordered import ROWS_PER_TASK, HotGroups, find_hot_groups, running_before
+from metricloom.operators.ordered import ROWS_PER_TASK, Blocks, find_blocks, running_before
 
 COMMIT = ["repo", "hash"]
 # What a change has one of. Grouping by all of it, instead of taking a minimum of each,
@@ -115,21 +115,12 @@ def _author_areas(changes: DataFrame) -> DataFrame:
     )
 
 
-def _hot(changes: DataFrame, rows_per_task: int) -> dict[str, HotGroups]:
-    """Large files, authors and (author, area) groups, found together."""
-    return find_hot_groups(
-        commit_filter(changes).withColumn("area", subsystem(F.col("path"))),
-        {
-            "path": ["repo", "path"],
-            "author": ["repo", "author"],
-            "area": ["repo", "author", "area"],
-        },
-        rows_per_task,
-        at_most=changes.count(),
-    )
+def _blocks(changes: DataFrame, rows_per_task: int) -> Blocks:
+    """Blocks along the order of changes, shared by the totals of files, authors and areas."""
+    return find_blocks(commit_filter(changes), "commit_seq", True, rows_per_task, at_most=changes.count())
 
 
-def _file_history(touches: DataFrame, hot: HotGroups) -> DataFrame:
+def _file_history(touches: DataFrame, blocks: Blocks) -> DataFrame:
     """Earlier touches, earlier distinct authors and previous date per touched file.
 
     An author counts from the first touch on, so no set of authors is ever collected.
@@ -137,15 +128,15 @@ def _file_history(touches: DataFrame, hot: HotGroups) -> DataFrame:
     one = F.lit(1).cast("long")
     sums = {"authors_before": F.col("new_author"), "touches_before": F.col("n")}
     latest = {"last_date": F.col("committer_date")}
-    if not hot.hashes:
+    if not blocks.bounds:
         # Both windows run on one shuffle: the files of a task include all their authors.
         by_author = Window.partitionBy("repo", "path", "author").orderBy("commit_seq")
         marked = touches.repartition("repo", "path").withColumns(
             {"n": one, "new_author": (F.row_number().over(by_author) == 1).cast("long")}
         )
-        return running_before(marked, ["repo", "path"], "commit_seq", sums, latest, hot=hot)
+        return running_before(marked, ["repo", "path"], "commit_seq", sums, latest, blocks=blocks)
     # First touches as marker rows from a plain minimum, which combines before the shuffle
-    # and lets the rows of a large file be cut into blocks.
+    # and lets the rows of a file be cut into blocks.
     first = touches.groupBy("repo", "path", "author").agg(F.min("commit_seq").alias("commit_seq"))
     zero = F.lit(0).cast("long")
     marks = first.select(
@@ -153,7 +144,7 @@ def _file_history(touches: DataFrame, hot: HotGroups) -> DataFrame:
     )
     rows = touches.withColumns({"n": one, "new_author": zero}).drop("author")
     both = rows.unionByName(marks, allowMissingColumns=True)
-    return running_before(both, ["repo", "path"], "commit_seq", sums, latest, hot=hot).where("n > 0")
+    return running_before(both, ["repo", "path"], "commit_seq", sums, latest, blocks=blocks).where("n > 0")
 
 
 def _history_from(file_history: DataFrame) -> DataFrame:
@@ -167,25 +158,25 @@ def _history_from(file_history: DataFrame) -> DataFrame:
 
 def history(changes: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     """Mean earlier authors, mean days since the previous change, mean earlier changes."""
-    hot = _hot(changes, rows_per_task)["path"]
-    raw = _history_from(_file_history(_touches(changes), hot))
+    blocks = _blocks(changes, rows_per_task)
+    raw = _history_from(_file_history(_touches(changes), blocks))
     return raw.select(*COMMIT, *[half_even(F.col(c), 2).alias(c) for c in ("NDEV", "AGE", "NUC")])
 
 
 def _add_experience(
-    commits: DataFrame, changes: DataFrame, as_of: datetime, hot: dict[str, HotGroups]
+    commits: DataFrame, changes: DataFrame, as_of: datetime, blocks: Blocks
 ) -> DataFrame:
     """Join the author's past onto one row per change."""
     years = days_between(F.col("committer_date"), F.lit(as_of).cast("timestamp")) / DAYS_PER_YEAR
     by_author = running_before(
         commits, ["repo", "author"], "commit_seq",
         sums={"EXP": F.lit(1).cast("long"), "REXP": F.lit(1.0) / (years + 1.0)},
-        hot=hot["author"],
+        blocks=blocks,
     )
     by_area = (
         running_before(
             _author_areas(changes), ["repo", "author", "area"], "commit_seq",
-            sums={"before": F.lit(1).cast("long")}, hot=hot["area"],
+            sums={"before": F.lit(1).cast("long")}, blocks=blocks,
         )
         .groupBy(*COMMIT)
         .agg(F.sum("before").alias("SEXP"), F.count(F.lit(1)).alias("NS"))
@@ -199,7 +190,7 @@ def experience(changes: DataFrame, as_of: datetime, rows_per_task: int = ROWS_PE
     Recency is measured back from ``as_of``, an argument, so that a rerun gives the same.
     """
     commits = commit_filter(changes).select(*IDENTITY).distinct()
-    raw = _add_experience(commits, changes, as_of, _hot(changes, rows_per_task))
+    raw = _add_experience(commits, changes, as_of, _blocks(changes, rows_per_task))
     return raw.select(*COMMIT, "EXP", half_even(F.col("REXP"), 4).alias("REXP"), "SEXP")
 
 
@@ -211,11 +202,11 @@ def change_features(
     The change's own aggregate also carries what the author window needs, and the number of
     subsystems falls out of the author-area rows, so the log is read three times in all.
     """
-    hot = _hot(changes, rows_per_task)
+    blocks = _blocks(changes, rows_per_task)
     own_spread = {k: v for k, v in _spread_aggregates().items() if k != "NS"}
     own = _per_commit(changes, {**own_spread, **_size_aggregates()}, by=IDENTITY)
-    past = _history_from(_file_history(_touches(changes), hot["path"]))
-    joined = _add_experience(own, changes, as_of, hot).join(past, COMMIT)
+    past = _history_from(_file_history(_touches(changes), blocks))
+    joined = _add_experience(own, changes, as_of, blocks).join(past, COMMIT)
     joined = joined.withColumn("FIX", is_corrective(F.col("msg")).cast("int"))
     digits = {"Entropy": 6, "LT": 2, "NDEV": 2, "AGE": 2, "NUC": 2, "REXP": 4}
     return joined.select(

@@ -1,17 +1,19 @@
 """Ordered running totals that do not depend on any group fitting into one task.
 
-A plain window puts a whole group into one task. Here a group above
-``rows_per_task`` is cut along its order column into blocks: totals run inside a
-block, and the carried-in totals of the earlier blocks are added by a join. All
-rows take part, so the result is the same as that of the plain window.
-
-The cut needs to know which groups are large. One pass with a bounded-size
-frequency sketch answers that (no shuffle of the keys). The sketch only decides
-how rows are spread over tasks, never which rows count.
+A plain window puts a whole group into one task. Here all rows are cut along the order
+column into blocks of about equal size, whatever their groups, and rows are dealt by (group,
+block): so no task holds more rows of a group than a block has. Totals run inside a block;
+one partial total per (group, block) is scanned along the blocks, and what it carries into
+a block joins the block's rows as one more row of the same window. Nothing depends on which
+groups are large, and the carried rows are dealt like the others, not broadcast.
+
+The number of blocks follows from the number of rows. With one block this is the plain
+window.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
@@ -20,76 +22,52 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from metricloom.session import written_once
 
-ROWS_PER_TASK = 4_000_000
-MAX_HOT_GROUPS = 1_000
-_TRACKED = 10_000
-_BLOCK = "__block"
-_HOT = "__hot"
+#: Rows of a block. An order without groups has no other way to spread, so its blocks are smaller.
+ROWS_PER_TASK = 1_000_000
+ROWS_WITHOUT_GROUPS = 100_000
+#: Bounds between blocks that one sketch of the order column provides. Beyond as many blocks
+#: of the size above, blocks grow with the rows.
+MOST_BLOCKS = 4_096
+_ACCURACY = 50_000
+_BLOCK, _CARRIED = "__block", "__carried"
 
 
 @dataclass(frozen=True)
-class HotGroups:
-    """Hashes of the large groups (at most ``MAX_HOT_GROUPS``) and the block size."""
+class Blocks:
+    """Where blocks of rows begin along an order column; a block holds the values above its bound."""
 
-    hashes: tuple[int, ...] = ()
-    rows_per_block: int = ROWS_PER_TASK
-    hot_rows: int = 0
+    bounds: tuple[float, ...] = ()
 
-    def test(self, keys: Sequence[str]) -> Column:
-        return F.xxhash64(F.lit(0), *[F.col(k) for k in keys]).isin(list(self.hashes))
+    def mark(self, df: DataFrame, order: str) -> DataFrame:
+        """Add the block of each row; missing values come first, as in a sort."""
+        splits = [float("-inf"), *self.bounds, float("inf")]
+        cut = Bucketizer(splits=splits, inputCol="__order", outputCol=_BLOCK, handleInvalid="keep")
+        marked = cut.transform(df.withColumn("__order", F.col(order).cast("double")))
+        last = len(self.bounds)  # where not-a-number belongs
+        block = F.when(F.col("__order").isNull(), 0).otherwise(F.least(F.col(_BLOCK).cast("int"), F.lit(last)))
+        return marked.withColumn(_BLOCK, block).drop("__order")
 
 
-def find_hot_groups(
-    df: DataFrame,
-    keysets: Mapping[str, Sequence[str]],
-    rows_per_task: int = ROWS_PER_TASK,
-    at_most: int | None = None,
-) -> dict[str, HotGroups]:
-    """Find the groups above ``rows_per_task`` rows for several key sets in one pass.
+def find_blocks(
+    df: DataFrame, order: str, grouped: bool = True, rows_per_task: int = ROWS_PER_TASK, at_most: int | None = None
+) -> Blocks:
+    """Bounds that cut all rows into blocks of about ``rows_per_task`` rows along ``order``.
 
-    ``at_most`` is a known bound on the rows, usually the row count of the base table. If
-    it already fits a task, no group can be too large and the pass is skipped.
-
-    The sketch tracks 10,000 items, so it cannot miss a group that holds a
-    thousandth of the rows; smaller groups stay below ``rows / 1000`` each.
+    One pass counts the rows and sketches the order column. If a known bound ``at_most`` on
+    the rows fits one block, the pass is spared. Rows of equal order stay together.
     """
-    if at_most is not None and at_most <= rows_per_task:
-        return {name: HotGroups() for name in keysets}
-    aggregates = [F.count(F.lit(1)).alias("__rows")]
-    for name, keys in keysets.items():
-        hashed = F.xxhash64(F.lit(0), *[F.col(k) for k in keys])
-        top = F.call_function("approx_top_k", hashed, F.lit(MAX_HOT_GROUPS), F.lit(_TRACKED))
-        aggregates.append(top.alias(name))
-    summary = df.agg(*aggregates).first()
-    rows = summary["__rows"]
-    limit = max(rows_per_task, rows // MAX_HOT_GROUPS)
-    found = {}
-    for name in keysets:
-        large = [(t["item"], t["count"]) for t in summary[name] or [] if t["count"] > limit]
-        found[name] = HotGroups(
-            tuple(item for item, _ in large), limit, sum(count for _, count in large)
-        )
-    return found
-
-
-def _with_blocks(df: DataFrame, keys: Sequence[str], order: str, hot: HotGroups) -> DataFrame:
-    """Number the blocks of the hot groups along ``order``; other groups are block 0."""
-    blocks = min(2 * MAX_HOT_GROUPS * 2, max(2, -(-2 * hot.hot_rows // hot.rows_per_block)))
-    probs = [i / blocks for i in range(1, blocks)]
-    as_double = F.col(order).cast("double")
-    bounds = (
-        df.where(hot.test(keys))
-        .agg(F.percentile_approx(as_double, probs, max(10_000, 20 * blocks)).alias("b"))
-        .first()["b"]
-    )
-    splits = [float("-inf"), *sorted(set(bounds or [])), float("inf")]
-    marked = df.withColumn(_HOT, hot.test(keys)).withColumn("__order", as_double)
-    bucketed = Bucketizer(
-        splits=splits, inputCol="__order", outputCol=_BLOCK, handleInvalid="keep"
-    ).transform(marked)
-    return bucketed.withColumn(
-        _BLOCK, F.when(F.col(_HOT), F.col(_BLOCK).cast("int")).otherwise(F.lit(0))
-    ).drop("__order")
+    size = rows_per_task if grouped else min(rows_per_task, ROWS_WITHOUT_GROUPS)
+    if at_most is not None and at_most <= size:
+        return Blocks()
+    shares = [i / MOST_BLOCKS for i in range(1, MOST_BLOCKS)]
+    value = F.col(order).cast("double")
+    row = df.agg(
+        F.count(F.lit(1)).alias("n"), F.percentile_approx(F.nanvl(value, F.lit(None)), shares, _ACCURACY).alias("b")
+    ).first()
+    wanted = min(MOST_BLOCKS, math.ceil(row["n"] / size))
+    step = MOST_BLOCKS / max(wanted, 1)
+    bounds = {row["b"][min(round(step * i), MOST_BLOCKS - 1) - 1] for i in range(1, wanted)} if row["b"] else set()
+    return Blocks(tuple(sorted(b for b in bounds if math.isfinite(b))))
 
 
 def running_before(
@@ -100,7 +78,7 @@ def running_before(
     latest: Mapping[str, Column] | None = None,
     *,
     unique_order: bool = False,
-    hot: HotGroups | None = None,
+    blocks: Blocks | None = None,
     at_most: int | None = None,
     rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
@@ -108,76 +86,70 @@ def running_before(
 
     ``order`` is numeric. Rows of equal order do not see each other: for that the
     order must be a whole number, or ``unique_order`` states that it never repeats
-    inside a group.
+    inside a group. ``blocks`` may be given if several totals share an order.
     """
-    sums, latest = dict(sums or {}), dict(latest or {})
-    keys = list(keys)
-    if hot is None:
-        hot = find_hot_groups(df, {"k": keys}, rows_per_task, at_most)["k"]
-    # Read by the cut, the block totals and the rows themselves.
-    work = written_once(df, "ordered") if hot.hashes else df
-    for name, value in {**sums, **latest}.items():
-        work = work.withColumn(f"__in_{name}", value)
-    split = bool(hot.hashes)
-    work = _with_blocks(work, keys, order, hot) if split else work
-    local_keys = [*keys, _BLOCK] if split else (keys or [F.lit(0)])
-    ordered = Window.partitionBy(*local_keys).orderBy(order)
+    sums, latest, keys = dict(sums or {}), dict(latest or {}), list(keys)
+    work = df
+    if blocks is None:
+        if at_most is None or at_most > (rows_per_task if keys else min(rows_per_task, ROWS_WITHOUT_GROUPS)):
+            work = written_once(df, "ordered")  # read by the cut, the partial totals and the rows
+        blocks = find_blocks(work, order, bool(keys), rows_per_task, at_most)
+    elif blocks.bounds:
+        work = written_once(df, "ordered")
+    inner = {name: f"__in_{name}" for name in (*sums, *latest)}
+    work = work.withColumns({inner[name]: value for name, value in {**sums, **latest}.items()})
+    local_keys = keys
+    if blocks.bounds:
+        work = blocks.mark(work, order)
+        carry = _carried(work, keys, order, sums, latest, inner)
+        work = work.withColumn(_CARRIED, F.lit(False)).unionByName(carry, allowMissingColumns=True)
+        local_keys = [*keys, _BLOCK]
+    group = Window.partitionBy(*(local_keys or [F.lit(0)]))
+    ordered = group.orderBy(order)
     before = (
         ordered.rowsBetween(Window.unboundedPreceding, -1)
         if unique_order
         else ordered.rangeBetween(Window.unboundedPreceding, -1)
     )
-    local = {name: F.sum(f"__in_{name}").over(before) for name in sums}
-    local |= {name: F.last(f"__in_{name}", ignorenulls=True).over(before) for name in latest}
-    if not split:
-        out = work.withColumns(local)
-    else:
-        out = _add_carry(work, work.withColumns(local), keys, order, sums, latest)
-    zero = {n: F.coalesce(F.col(n), F.lit(0).cast(out.schema[n].dataType)) for n in sums}
-    out = out.withColumns(zero) if zero else out
-    return out.drop(*[f"__in_{n}" for n in (*sums, *latest)])
-
-
-def _add_carry(work, local, keys, order, sums, latest) -> DataFrame:
-    """Join the totals of the earlier blocks onto the hot rows.
-
-    The carried table has one row per hot group and block, a count bounded by the
-    constants of this module, so it is broadcast.
+    kinds = {name: work.select(F.sum(inner[name])).schema[0].dataType for name in sums}
+    made = {name: F.sum(inner[name]).over(before) for name in sums}
+    made |= {name: F.last(inner[name], ignorenulls=True).over(before) for name in latest}
+    if blocks.bounds:
+        brought = {n: F.max(f"__c_{n}").over(group) for n in sums}
+        made = {n: F.coalesce(v, F.lit(0)) + F.coalesce(brought[n], F.lit(0)) if n in sums else v for n, v in made.items()}
+        made = {
+            n: F.coalesce(v, F.first(f"__c_{n}", ignorenulls=True).over(group)) if n in latest else v
+            for n, v in made.items()
+        }
+    for n in sums:
+        made[n] = F.coalesce(made[n], F.lit(0)).cast(kinds[n])
+    out = work.withColumns(made)
+    if blocks.bounds:
+        out = out.where(~F.col(_CARRIED)).drop(_BLOCK, _CARRIED, *[f"__c_{n}" for n in inner])
+    return out.drop(*inner.values())
+
+
+def _carried(work: DataFrame, keys, order, sums, latest, inner) -> DataFrame:
+    """One row per group and block with the totals of the group's earlier blocks.
+
+    The rows have no order and no values of their own, so that the window over the block
+    passes them by.
     """
-    totals = work.where(F.col(_HOT)).groupBy(*keys, _BLOCK).agg(
-        *[F.sum(f"__in_{n}").alias(f"__t_{n}") for n in sums],
+    totals = work.groupBy(*keys, _BLOCK).agg(
+        *[F.sum(inner[n]).alias(f"__t_{n}") for n in sums],
         *[
-            F.max_by(
-                f"__in_{n}", F.when(F.col(f"__in_{n}").isNotNull(), F.col(order))
-            ).alias(f"__t_{n}")
+            F.max_by(inner[n], F.when(F.col(inner[n]).isNotNull(), F.col(order))).alias(f"__t_{n}")
             for n in latest
         ],
-        F.count(F.lit(1)).alias("__size"),
     )
     earlier = (
-        Window.partitionBy(*(keys or [F.lit(0)]))
-        .orderBy(_BLOCK)
-        .rowsBetween(Window.unboundedPreceding, -1)
+        Window.partitionBy(*(keys or [F.lit(0)])).orderBy(_BLOCK).rowsBetween(Window.unboundedPreceding, -1)
     )
-    carry = totals.select(
-        *[F.col(k).alias(f"__k_{k}") for k in keys],
-        F.col(_BLOCK).alias("__k_block"),
+    return totals.select(
+        *keys, _BLOCK, F.lit(True).alias(_CARRIED),
         *[F.sum(f"__t_{n}").over(earlier).alias(f"__c_{n}") for n in sums],
         *[F.last(f"__t_{n}", ignorenulls=True).over(earlier).alias(f"__c_{n}") for n in latest],
     )
-    match = F.col(_HOT) & (F.col(_BLOCK) == F.col("__k_block"))
-    for k in keys:
-        match = match & F.col(k).eqNullSafe(F.col(f"__k_{k}"))
-    joined = local.join(F.broadcast(carry), match, "left")
-    merged = {}
-    for n in sums:
-        kind = local.schema[n].dataType
-        zero = F.lit(0).cast(kind)
-        merged[n] = (F.coalesce(F.col(n), zero) + F.coalesce(F.col(f"__c_{n}"), zero)).cast(kind)
-    for n in latest:
-        merged[n] = F.coalesce(F.col(n), F.col(f"__c_{n}"))
-    drop = [f"__k_{k}" for k in keys] + [f"__c_{n}" for n in (*sums, *latest)]
-    return joined.withColumns(merged).drop("__k_block", _BLOCK, _HOT, *drop)
 
 
 @dataclass(frozen=True)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
@@ -9,9 +10,11 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from metricloom.functions.scalars import half_even, safe_ratio
 from metricloom.operators.ordered import ROWS_PER_TASK, running_before
+from metricloom.session import written_once
 
-SMALL_COLUMN = 1_000_000
+#: Ranks around a quantile, as a share, whose values are told apart; wider if that proves too narrow.
 _BRACKET = 5e-4
+_WIDER = 8
 _ACCURACY = 10_000
 
 
@@ -57,32 +60,28 @@ def value_counts(df: DataFrame, cols: Sequence[str], order: str | None = None) -
 # --- exact quantiles --------------------------------------------------------------------
 
 
-def _sizes(df: DataFrame, cols: Sequence[str]) -> dict[str, int]:
-    row = df.agg(*[F.count(c).alias(f"n_{i}") for i, c in enumerate(cols)]).first()
-    return {c: row[f"n_{i}"] for i, c in enumerate(cols)}
-
-
-def _brackets(df: DataFrame, cols: Sequence[str], probs: Sequence[float]):
-    """Value ranges of long columns that are sure to hold the asked quantiles.
+def _brackets(
+    df: DataFrame, cols: Sequence[str], probs: Sequence[float], width: float
+) -> tuple[dict[str, int], dict[str, list[tuple[float, float]]]]:
+    """Values per column, and value ranges that should hold the asked quantiles.
 
     One scan with mergeable sketches; the answer is a fixed number of scalars.
     """
-    if not cols:
-        return {}
-    asked = sorted({q for p in probs for q in (max(p - _BRACKET, 0.0), min(p + _BRACKET, 1.0))})
+    asked = sorted({q for p in probs for q in (max(p - width, 0.0), min(p + width, 1.0))})
     row = df.agg(
-        *[
-            F.percentile_approx(F.col(c).cast("double"), asked, _ACCURACY).alias(f"q_{i}")
-            for i, c in enumerate(cols)
-        ]
+        *[F.count(c).alias(f"n_{i}") for i, c in enumerate(cols)],
+        *[F.percentile_approx(F.col(c), asked, _ACCURACY).alias(f"q_{i}") for i, c in enumerate(cols)],
     ).first()
+    sizes = {c: row[f"n_{i}"] for i, c in enumerate(cols)}
     ranges = {}
     for i, c in enumerate(cols):
+        if not sizes[c]:
+            continue
         at = dict(zip(asked, row[f"q_{i}"]))
         found = sorted(
             (
-                float("-inf") if p - _BRACKET <= 0 else at[p - _BRACKET],
-                float("inf") if p + _BRACKET >= 1 else at[p + _BRACKET],
+                float("-inf") if p - width <= 0 else at[p - width],
+                float("inf") if p + width >= 1 else at[p + width],
             )
             for p in probs
         )
@@ -93,7 +92,7 @@ def _brackets(df: DataFrame, cols: Sequence[str], probs: Sequence[float]):
             else:
                 merged.append((low, high))
         ranges[c] = merged
-    return ranges
+    return sizes, ranges
 
 
 def _snap(value: Column, ranges: Sequence[tuple[float, float]]) -> Column:
@@ -113,29 +112,15 @@ def _snap(value: Column, ranges: Sequence[tuple[float, float]]) -> Column:
     )
 
 
-def quantile_table(
-    df: DataFrame,
-    cols: Sequence[str],
-    probs: Mapping[str, float],
-    rows_per_task: int = ROWS_PER_TASK,
-) -> DataFrame:
-    """Exact quantiles by linear interpolation: ``variable, n, <one column per prob>``."""
-    sizes = _sizes(df, cols)
-    ranges = _brackets(df, [c for c in cols if sizes[c] > SMALL_COLUMN], list(probs.values()))
-    snapped = df.select(
-        *[
-            _snap(F.col(c).cast("double"), ranges[c]).alias(c)
-            if c in ranges
-            else F.col(c).cast("double").alias(c)
-            for c in cols
-        ]
-    )
-    counts = value_counts(snapped, cols)
+def _ranked_picks(df, sizes, ranges, probs, rows_per_task) -> list:
+    """Per column, the values at the ranks around each quantile, counted over all rows."""
+    snapped = df.select(*[_snap(F.col(c), ranges[c]).alias(c) for c in ranges])
+    counts = written_once(value_counts(snapped, list(ranges)), "counts")
     ranked = running_before(
         counts, ["variable"], "value", {"start": F.col("n")},
-        unique_order=True, at_most=max(sizes.values()), rows_per_task=rows_per_task,
+        unique_order=True, at_most=counts.count(), rows_per_task=rows_per_task,
     )
-    totals = df.sparkSession.createDataFrame(list(sizes.items()), "variable string, __n long")
+    totals = df.sparkSession.createDataFrame([(c, sizes[c]) for c in ranges], "variable string, __n long")
     ranked = ranked.join(F.broadcast(totals), "variable")
     picks = []
     for name, p in probs.items():
@@ -143,18 +128,40 @@ def quantile_table(
         for side, rank in (("lo", F.floor(position)), ("hi", F.ceil(position))):
             here = (F.col("start") <= rank) & (F.col("start") + F.col("n") > rank)
             picks.append(F.max(F.when(here, F.col("value"))).alias(f"{name}__{side}"))
-    picked = ranked.groupBy("variable").agg(F.max("__n").alias("__n"), *picks)
+    return ranked.groupBy("variable").agg(*picks).collect()
 
-    def interpolate(name: str, p: float) -> Column:
-        position = (F.col("__n") - 1) * F.lit(float(p))
-        low, high = F.col(f"{name}__lo"), F.col(f"{name}__hi")
-        return low + (high - low) * (position - F.floor(position))
 
-    return picked.select(
-        "variable",
-        F.col("__n").alias("n"),
-        *[interpolate(name, p).alias(name) for name, p in probs.items()],
-    )
+def quantile_table(
+    df: DataFrame,
+    cols: Sequence[str],
+    probs: Mapping[str, float],
+    rows_per_task: int = ROWS_PER_TASK,
+) -> DataFrame:
+    """Exact quantiles by linear interpolation: ``variable, n, <one column per prob>``.
+
+    A sketch brackets each quantile; one pass counts all rows, telling values apart only
+    inside the brackets, so ranks are exact. A quantile whose rank turns out to lie outside
+    its bracket is searched again in a wider one, in the end among all values. The columns
+    are stored once; the result (columns x probs numbers) is computed at once.
+    """
+    data = written_once(df.select(*[F.col(c).cast("double").alias(c) for c in cols]), "values")
+    width, found, wanted = _BRACKET, {}, list(cols)
+    while wanted:
+        sizes, ranges = _brackets(data, wanted, list(probs.values()), width)
+        for row in _ranked_picks(data, sizes, ranges, probs, rows_per_task) if ranges else []:
+            c = row["variable"]
+            picked = [row[f"{name}__{side}"] for name in probs for side in ("lo", "hi")]
+            if all(any(low <= v <= high for low, high in ranges[c]) for v in picked):
+                values = []
+                for name, p in probs.items():
+                    position = (sizes[c] - 1) * float(p)
+                    low, high = row[f"{name}__lo"], row[f"{name}__hi"]
+                    values.append(low + (high - low) * (position - math.floor(position)))
+                found[c] = (c, sizes[c], *values)
+        wanted = [c for c in ranges if c not in found]
+        width *= _WIDER
+    schema = ", ".join(["variable string", "n long", *[f"`{name}` double" for name in probs]])
+    return df.sparkSession.createDataFrame([found[c] for c in cols if c in found], schema)
 
 
 def quantile_values(df, cols, probs, rows_per_task=ROWS_PER_TASK) -> dict[str, dict[str, float]]:

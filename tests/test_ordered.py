@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from metricloom.operators.ordered import find_cut, find_hot_groups, is_before, running_before, value_at
+from metricloom.operators.ordered import find_blocks, find_cut, is_before, running_before, value_at
 
 
 def _rows(n=900, seed=3):
@@ -63,12 +63,37 @@ def test_no_keys_and_fractional_unique_order(spark, rows_per_task):
     assert all(r["c"] == r["id"] for r in got.collect())
 
 
-def test_hot_groups_are_found_and_blocks_are_bounded(spark):
-    df = spark.createDataFrame([(r[1], r[2]) for r in _rows(3000)], "key string, at long")
-    hot = find_hot_groups(df, {"k": ["key"]}, 200)["k"]
-    assert len(hot.hashes) == 1
-    assert df.where(hot.test(["key"])).select("key").distinct().collect()[0][0] == "hot"
-    assert not find_hot_groups(df, {"k": ["key"]}, 200, at_most=150)["k"].hashes
+def test_blocks_are_bounded_whatever_the_groups(spark):
+    """A group of fifty times the block size, and two thousand groups, cut alike."""
+    rows = [("hot", i) for i in range(5_000)] + [(f"k{i}", (i * 7919) % 5_000) for i in range(2_000) for _ in range(3)]
+    df = spark.createDataFrame(rows, "key string, at long").repartition(5)
+    blocks = find_blocks(df, "at", rows_per_task=100)
+    sizes = blocks.mark(df, "at").groupBy("key", "__block").count().agg(F.max("count")).first()[0]
+    assert sizes <= 130 and len(blocks.bounds) > 90
+    got = running_before(df, ["key"], "at", {"c": F.lit(1).cast("long")}, rows_per_task=100).collect()
+    assert len(got) == len(rows) and all(r["c"] == (r["at"] if r["key"] == "hot" else 0) for r in got)
+    assert find_blocks(df, "at", rows_per_task=100, at_most=90).bounds == ()
+
+
+def test_missing_and_odd_orders(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [(i, x) for i, x in enumerate([None, -inf, *range(60), inf, nan])]
+    df = spark.createDataFrame([(i, None if x is None else float(x)) for i, x in rows], "id int, at double")
+    for size in (10, 1_000):
+        got = running_before(
+            df.repartition(3), [], "at", {"c": F.lit(1).cast("long")}, {"was": F.col("id")}, unique_order=True, rows_per_task=size
+        ).collect()
+        assert {r["id"]: (r["c"], r["was"]) for r in got} == {i: (i, i - 1 if i else None) for i, _ in rows}
+
+
+def test_totals_keep_their_types(spark):
+    df = spark.range(300).selectExpr("id as at", "id % 3 as key", "cast(1.5 as decimal(10,2)) as d", "cast(id as double) as x")
+    small, large = (
+        running_before(df, ["key"], "at", {"sd": F.col("d"), "sx": F.col("x")}, {"ld": F.col("d")}, rows_per_task=n)
+        for n in (20, 10_000)
+    )
+    assert small.dtypes == large.dtypes
+    assert sorted(map(str, small.collect())) == sorted(map(str, large.collect()))
 
 
 @pytest.mark.parametrize("rows_per_task", [20, 1_000_000])

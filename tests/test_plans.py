@@ -67,5 +67,16 @@ def test_file_history_uses_one_shuffle_per_grouping(spark):
         F.col("l_partkey").cast("string").alias("path"), F.lit(False).alias("merge"),
     )
     touches = history._touches(changes)
-    text = plan(history._file_history(touches, history.HotGroups()))
+    text = plan(history._file_history(touches, history.Blocks()))
     assert len(re.findall(r"Exchange ", text)) == 1
+
+
+def test_no_row_window_in_one_task(orders):
+    """An order without groups is cut into blocks; only their totals meet in one task."""
+    text = plan(running_before(orders, [], "o_orderkey", {"c": F.lit(1).cast("long")}, rows_per_task=100))
+    rows = [part for part in text.split("Window")[1:] if "SinglePartition" in part.split("Window")[0]]
+    assert len(rows) == 1 and "__t_c" in rows[0]
+    keyed = plan(running_before(
+        orders, ["o_orderstatus"], "o_orderkey", {"c": F.lit(1).cast("long")}, rows_per_task=100
+    ))
+    assert "SinglePartition" not in keyed and "Broadcast" not in keyed

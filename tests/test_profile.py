@@ -13,11 +13,15 @@ def test_rounding_is_half_even(spark):
     assert [r[0] for r in df.select(half_even(F.col("x"), 0)).collect()][2:] == [0.0, 2.0]
 
 
-@pytest.mark.parametrize("small,rows_per_task", [(100_000, 10**6), (10, 10**6), (10, 60)])
-def test_exact_quantiles_on_ties_and_gaps(spark, monkeypatch, small, rows_per_task):
-    """Also through the bracket and the block path, with one value holding a third."""
-    monkeypatch.setattr(profile, "SMALL_COLUMN", small)
-    monkeypatch.setattr(profile, "_BRACKET", 0.02)
+@pytest.mark.parametrize("bracket,accuracy,rows_per_task", [
+    (0.5, 10_000, 10**6), (0.02, 10_000, 10**6), (0.02, 10_000, 60), (1e-9, 5, 10**6), (1e-4, 20, 60),
+])
+def test_exact_quantiles_on_ties_and_gaps(spark, monkeypatch, bracket, accuracy, rows_per_task):
+    """Through brackets that hold, and through ones of coarse sketches that miss and are widened."""
+    monkeypatch.setattr(profile, "_BRACKET", bracket)
+    monkeypatch.setattr(profile, "_ACCURACY", accuracy)
+    asked, plain = [], profile._brackets
+    monkeypatch.setattr(profile, "_brackets", lambda *a: asked.append(a[3]) or plain(*a))
     rng = np.random.default_rng(5)
     a = np.where(np.arange(3001) % 3 == 0, 7.0, rng.normal(size=3001) * 10)
     b = rng.integers(0, 12, size=3001).astype(float)
@@ -29,6 +33,13 @@ def test_exact_quantiles_on_ties_and_gaps(spark, monkeypatch, small, rows_per_ta
     for name, p in probs.items():
         assert got["a"][name] == pytest.approx(np.quantile(a, p), abs=1e-9)
         assert got["b"][name] == pytest.approx(np.quantile(b_present, p), abs=1e-9)
+    assert (len(asked) > 1) == (accuracy < 100)
+
+
+def test_quantiles_of_nothing(spark):
+    df = spark.createDataFrame([(None, 1.0)], "a double, b double")
+    assert profile.quantile_values(df, ["a", "b"], {"m": 0.5}) == {"b": {"m": 1.0}}
+    assert profile.quantile_table(df.limit(0), ["a", "b"], {"m": 0.5}).collect() == []
 
 
 def test_mode_ties(spark):
