@@ -13,9 +13,9 @@ from metricloom.operators.ordered import ROWS_PER_TASK, running_before
 from metricloom.session import written_once
 
 #: Ranks around a quantile, as a share, whose values are told apart; wider if that proves too narrow.
-_BRACKET = 5e-4
+_BRACKET = 2e-3
 _WIDER = 8
-_ACCURACY = 10_000
+_ACCURACY = 2_000
 
 
 # --- shapes -----------------------------------------------------------------------------

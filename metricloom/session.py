@@ -69,6 +69,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return files.exists(target)
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Remove a folder below the caller's own root, in whatever store the path names."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path for one run below the shared folder."""
     return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from metricloom.session import path_exists
+from metricloom.session import written_once
+from metricloom.streaming import buckets
 
 
 def read_stream(
@@ -20,24 +23,28 @@ def read_stream(
     )
 
 
-def run_deduplicated(stream: DataFrame, key: str, path: str, checkpoint: str) -> None:
+def run_deduplicated(stream: DataFrame, key: str, path: str, checkpoint: str, order: Sequence[str] = ()) -> None:
     """Append the rows of new keys, one row per key, and stop; a later call goes on from here.
 
     Keys are compared with all stored ones, so a row is never lost for arriving late, and a
-    repeat is dropped however late it comes. Of several rows of a key in one batch, any one
-    stays. Each batch owns a folder: a replayed batch overwrites its own rows. A missing
-    key is a key like any other.
+    repeat is dropped however late it comes. Stored rows lie in buckets of the key's hash,
+    and a batch reads only the buckets of its keys. Of several rows of a key in one batch
+    the first by ``order`` stays, then by all columns. Each batch owns its folders: a replayed
+    batch overwrites its own rows. A missing key is a key like any other. Columns named
+    ``bucket`` or ``batch`` are refused.
     """
+    if {buckets.BUCKET, buckets.BATCH} & set(stream.columns):
+        raise ValueError(f"columns {buckets.BUCKET} and {buckets.BATCH} name the store's folders; rename them first")
+    cols = [*order, *[c for c in stream.columns if c not in order]]
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        new = batch.dropDuplicates([key])
-        if path_exists(batch.sparkSession, path):
-            stored = batch.sparkSession.read.schema(batch.schema).parquet(f"{path}/batch=*")
-            # By folder, since a replayed batch must not see its own earlier rows.
-            folder = F.regexp_extract(F.input_file_name(), "batch=([0-9]+)", 1).cast("long")
-            earlier = stored.where(folder < batch_id).select(F.col(key).alias("__known"))
-            new = new.join(earlier, F.col(key).eqNullSafe(F.col("__known")), "left_anti")
-        new.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        first = batch.groupBy(F.col(key).alias("__key")).agg(F.min(F.struct(*cols)).alias("row")).select("row.*")
+        new = first.select(*stream.columns).withColumn(buckets.BUCKET, buckets.bucket_of([key]))
+        new = written_once(new, "arrived")
+        earlier = buckets.read_before(batch.sparkSession, path, stream.schema, buckets.touched(new), batch_id)
+        known = earlier.select(F.col(key).alias("__known"))
+        new = new.join(known, F.col(key).eqNullSafe(F.col("__known")), "left_anti")
+        buckets.write_batch(new, path, batch_id)
 
     query = (
         stream.writeStream.foreachBatch(process)
