@@ -34,7 +34,8 @@ from metricloom.llm.common import small_batches, stored, text_of
 CHUNK = 16_384
 #: Chunks whose matrices are combined in one step.
 BLOCK = 64
-_MEMO = 300_000
+#: Entries of a memo, and characters of a text that goes into it.
+_MEMO, _MEMO_TEXT = 150_000, 64
 _MARK = "▁"
 _WORDS = re.compile(f"{_MARK}*[^{_MARK}]+|{_MARK}+")
 _BORDER = re.compile(f"(?<=[^{_MARK}]){_MARK}")
@@ -88,12 +89,12 @@ class Vocabulary:
     def word(self, text: str) -> list[int]:
         known = self._memo.get(text)
         if known is None:
-            if len(self._memo) >= _MEMO:
-                self._memo.clear()
             # The library puts the first mark in front itself.
-            known = self._memo[text] = self.model.encode(text[1:].replace(_MARK, " "))
-            if not known:
-                known = self._memo[text] = list(self.of(text))
+            known = self.model.encode(text[1:].replace(_MARK, " ")) or list(self.of(text))
+            if len(text) <= _MEMO_TEXT:
+                if len(self._memo) >= _MEMO:
+                    self._memo.clear()
+                self._memo[text] = known
         return known
 
     def encode(self, text: str) -> list[int]:
@@ -184,8 +185,13 @@ class Vocabulary:
 
     def transfer(self, text: str, begin: int, stop: int, final: bool) -> Matrix:
         """Matrix of the chunk ``text[begin:stop]``; ``text`` has its surroundings as well."""
+        return self.solve(text, begin, stop, final)[0]
+
+    def solve(self, text: str, begin: int, stop: int, final: bool) -> tuple[Matrix, tuple[int, int] | None, list[int]]:
+        """The chunk's matrix, its first and last certain border, and the ids between these."""
         cut = self._cut(text, begin, stop)
-        middle = len(self.encode(text[cut[0] : cut[1]])) if cut else 0
+        inner = self.encode(text[cut[0] : cut[1]]) if cut else []
+        middle = len(inner)
 
         def ends(back: dict) -> dict[State, int]:
             return {
@@ -206,23 +212,26 @@ class Vocabulary:
                 row = {e: n + middle + heads[0] for e, n in tail.items()} if heads else {}
             if row:
                 out[i, j] = {e: float(n) for e, n in row.items()}
-        return out
+        return out, cut, inner
 
-    def trace(self, text: str, begin: int, stop: int, start: State, end: State) -> list[int]:
-        """Ids of the pieces that begin in a chunk between its two known borders."""
-        first, last = (begin - start[0], begin + start[1]), (stop - end[0], stop + end[1])
-        cut = self._cut(text, begin, stop)
+    def trace(self, head: str, low: int, high: int, tail: str | None, start: State, end: State) -> tuple[list[int], list[int]]:
+        """Ids of the pieces that begin in a chunk between its two known borders: before and behind its middle.
 
-        def ids(way: list[tuple[int, int]]) -> list[int]:
+        ``head`` is the text up to the first certain border, with the chunk's start at ``low``;
+        ``tail`` the text from the last one on, with the chunk's end at ``high``. Without a
+        certain border ``tail`` is missing, and ``head`` is the whole text.
+        """
+        first, last = (low - start[0], low + start[1]), (high - end[0], high + end[1])
+
+        def ids(way: list[tuple[int, int]], text: str) -> list[int]:
             return [i for a, b in way[1:] for i in self.of(text[a:b])]
 
-        if cut is None:
-            return ids(self._way(self._walk(text, [first], stop), last))
-        back = self._walk(text, [first], cut[0])
-        head = next(x for x in back if x[1] == cut[0])
-        tail = self._walk(text, [(cut[1], cut[1])], stop)
-        middle = self.encode(text[cut[0] : cut[1]])
-        return ids(self._way(back, head)) + middle + ids(self._way(tail, last))
+        if tail is None:
+            return ids(self._way(self._walk(head, [first], high), last), head), []
+        back = self._walk(head, [first], len(head))
+        border = next(x for x in back if x[1] == len(head))
+        behind = self._walk(tail, [(0, 0)], high)
+        return ids(self._way(back, border), head), ids(self._way(behind, last), tail)
 
 
 def normalised(text: str) -> str:
@@ -300,27 +309,36 @@ def _with_ids(batch: pa.RecordBatch, ids: list[list[int]], same: list[bool]) ->
 
 
 def _cut(chunk: int, path: str):
-    """Long texts to chunks: (row, chunk number, size, text with what a piece may reach)."""
+    """Long texts to chunks: the matrix, the ids of the middle, and the texts around it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = Vocabulary(path)
         for batch in batches:
             for row, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 plain = normalised(text)
-                for k, (begin, stop) in enumerate(cuts(len(plain), chunk, model.longest)):
+                places = cuts(len(plain), chunk, model.longest)
+                for k, (begin, stop) in enumerate(places):
                     low = max(0, begin - model.longest)
                     part = plain[low : stop + model.longest]
-                    matrix = model.transfer(part, begin - low, stop - low, stop == len(plain))
-                    values = [[row], [k], [begin - low], [stop - low], [part], [_packed(matrix)]]
-                    kinds = [pa.int64()] * 4 + [pa.string(), pa.binary()]
-                    arrays = [pa.array(v, t) for v, t in zip(values, kinds, strict=True)]
+                    matrix, cut, ids = model.solve(part, begin - low, stop - low, stop == len(plain))
+                    if cut is None:
+                        head, tail, high, same = part, None, stop - low, True
+                    else:
+                        head, tail, high = part[: cut[0]], part[cut[1] :], stop - low - cut[1]
+                        same = model.decode(ids).decode("utf-8", "replace") == part[cut[0] : cut[1]].replace(_MARK, " ")
+                    values = [row, k, len(places), begin - low, high, head, tail, ids, same, _packed(matrix)]
+                    arrays = [pa.array([v], t) for v, t in zip(values, _CHUNK_KINDS, strict=True)]
                     yield pa.RecordBatch.from_arrays(arrays, _CHUNK_NAMES)
 
     return run
 
 
-_CHUNK_NAMES = ["row", "chunk", "low", "high", "part", "matrix"]
-_CHUNKS = "row bigint, chunk bigint, low bigint, high bigint, part string, matrix binary"
+_CHUNK_NAMES = ["row", "chunk", "n_chunks", "low", "high", "head", "tail", "middle", "same", "matrix"]
+_CHUNK_KINDS = [*[pa.int64()] * 5, pa.string(), pa.string(), pa.list_(pa.int32()), pa.bool_(), pa.binary()]
+_CHUNKS = (
+    "row bigint, chunk bigint, n_chunks bigint, low bigint, high bigint, head string, tail string, "
+    "middle array<int>, same boolean, matrix binary"
+)
 _STATES = "s0 bigint, s1 bigint, e0 bigint, e1 bigint"
 
 
@@ -356,14 +374,17 @@ def _trace_chunks(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = Vocabulary(path)
         for batch in batches:
-            ids, same = [], []
+            ids, right = [], []
             columns = (c.to_pylist() for c in batch.columns[2:])
-            for low, high, part, s0, s1, e0, e1 in zip(*columns, strict=True):
-                got = model.trace(part, low, high, (s0, s1), (e0, e1))
-                ids.append(got)
-                plain = part[low + s1 : high + e1].replace(_MARK, " ")
-                same.append(model.decode(got).decode("utf-8", "replace") == plain)
-            arrays = [pa.array(ids, pa.list_(pa.int32())), pa.array(same, pa.bool_())]
+            for low, high, head, tail, middle, same, s0, s1, e0, e1 in zip(*columns, strict=True):
+                before, behind = model.trace(head, low, high, tail, (s0, s1), (e0, e1))
+                ids.append([*before, *middle, *behind])
+                ends = [(before, head[low + s1 :] if tail is not None else head[low + s1 : high + e1])]
+                if tail is not None:
+                    ends.append((behind, tail[: high + e1]))
+                fits = (model.decode(x).decode("utf-8", "replace") == t.replace(_MARK, " ") for x, t in ends)
+                right.append(same and all(fits))
+            arrays = [pa.array(ids, pa.list_(pa.int32())), pa.array(right, pa.bool_())]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), *arrays], ["row", "chunk", "ids", "same"]
             )
@@ -372,9 +393,18 @@ def _trace_chunks(path: str):
 
 
 def encode_long(texts: DataFrame, path: str, chunk: int = CHUNK) -> DataFrame:
-    """(row, ids, same) of long texts (row, body) by chunks."""
+    """(row, ids, same) of long texts (row, body) by chunks.
+
+    The chunks of a text are scanned in blocks; a text of one block needs one scan only.
+    Matrices are small but take long, so they are dealt by number, not by their bytes.
+    """
     chunks = stored(texts.mapInArrow(_cut(chunk, path), _CHUNKS), "chunks")
-    placed = chunks.select("row", "chunk", "matrix", F.floor(F.col("chunk") / BLOCK).alias("block"))
+    parts = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    one = chunks.where(F.col("n_chunks") <= BLOCK).select("row", "chunk", "matrix").repartition(parts, "row")
+    alone = one.groupBy("row").applyInPandas(_between("chunk"), f"row bigint, chunk bigint, {_STATES}")
+    placed = chunks.where(F.col("n_chunks") > BLOCK).select(
+        "row", "chunk", "matrix", F.floor(F.col("chunk") / BLOCK).alias("block")
+    ).repartition(parts, "row", "block")
     blocks = placed.groupBy("row", "block").applyInPandas(
         _combined, "row bigint, block bigint, matrix binary"
     )
@@ -384,10 +414,10 @@ def encode_long(texts: DataFrame, path: str, chunk: int = CHUNK) -> DataFrame:
     states = placed.join(borders, ["row", "block"]).groupBy("row", "block").applyInPandas(
         _between("chunk"), f"row bigint, chunk bigint, {_STATES}"
     )
-    known = chunks.drop("matrix").join(states, ["row", "chunk"])
-    traced = known.select("row", "chunk", "low", "high", "part", "s0", "s1", "e0", "e1").mapInArrow(
-        _trace_chunks(path), "row bigint, chunk bigint, ids array<int>, same boolean"
-    )
+    known = chunks.drop("matrix", "n_chunks").join(alone.unionByName(states), ["row", "chunk"])
+    traced = known.select(
+        "row", "chunk", "low", "high", "head", "tail", "middle", "same", "s0", "s1", "e0", "e1"
+    ).mapInArrow(_trace_chunks(path), "row bigint, chunk bigint, ids array<int>, same boolean")
     whole = traced.groupBy("row").agg(
         F.sort_array(F.collect_list(F.struct("chunk", "ids"))).alias("parts"),
         F.bool_and("same").alias("same"),
