@@ -40,7 +40,7 @@ def test_stages_take_odd_rows(spark):
 def test_registered():
     names = set(contract.queries())
     assert set(QUERIES) <= names and "pipeline" in names
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{k}" for k in range(1, 11)}
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{k}" for k in range(1, 14)}
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
