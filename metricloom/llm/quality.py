@@ -231,7 +231,7 @@ def _score(shared, position: int, names: list[str]):
 
 
 def score_quality(docs: DataFrame, model: Model | None, prefix: str = "") -> DataFrame:
-    """Add the base counts, ``base_failed``, ``probability`` and ``kept`` to each row.
+    """Add the base counts, ``base_failed``, ``kept`` and ``probability`` to each row.
 
     Missing text counts as empty and fails the base rules, as every text of fewer than 50
     words does. Without a model the base rules decide alone. Input columns with the name
@@ -252,9 +252,11 @@ def score_quality(docs: DataFrame, model: Model | None, prefix: str = "") -> Dat
     words, again = F.col(f"{prefix}n_words"), F.col(f"{prefix}n_repeat_words")
     failed = (words < MIN_WORDS) | (100 * again > 50 * words)
     good = F.col(f"{prefix}probability") >= MIN_PROBABILITY
-    return scored.withColumn(f"{prefix}base_failed", failed).withColumn(
-        f"{prefix}kept", ~F.col(f"{prefix}base_failed") & good
-    )
+    counts = [F.col(f"`{c}`") for c in [*docs.columns, *(prefix + x for x in results[:5])]]
+    return scored.select(
+        *counts, failed.alias(f"{prefix}base_failed"), (~failed & good).alias(f"{prefix}kept"),
+        f"{prefix}probability",
+    )
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> DataFrame:
