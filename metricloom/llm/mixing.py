@@ -174,12 +174,28 @@ def included(units: DataFrame, block: int = BLOCK) -> DataFrame:
     return out
 
 
+_ALIKE = ("key", "h", "source", "size")
+
+
+def _same(a: str, b: str, *more: str) -> Column:
+    found = F.lit(True)
+    for c in (*_ALIKE, *more):
+        found &= F.col(f"{a}.{c}").eqNullSafe(F.col(f"{b}.{c}"))
+    return found
+
+
+def _undecided(p: str) -> Column:
+    return (F.col(p) > _EDGE) & (F.col(p) < 1 - _EDGE)
+
+
 def mixed_units(units: DataFrame, **settings) -> DataFrame:
-    """Add source_size, target and copies to units (key, h, source, size).
+    """Add source_size, target and copies to units (key, h, source, size, others).
 
     ``key`` orders units; ``h`` is a hash of what identifies a document, which deals
-    documents to blocks, so that reruns agree. Units alike in all of these are
-    interchangeable.
+    documents to blocks, so that reruns agree. Units alike in all four are interchangeable
+    and fly as one: of m units with probability p, the whole part of m p is taken for
+    certain and the rest is the probability of one more. So repeats, however many, take
+    one place in a block, and both totals stay as they are.
     """
     targets = source_targets(units.select("source", "size"), **settings)
     same = F.col("u.source").eqNullSafe(F.col("t.source"))
@@ -187,25 +203,34 @@ def mixed_units(units: DataFrame, **settings) -> DataFrame:
     joined = units.alias("u").join(targets.alias("t"), same).select(
         "u.*", "t.source_size", "t.target", F.floor(rate).alias("whole"), (rate - F.floor(rate)).alias("p")
     )
-    joined = stored(joined, "units")
-    part = (F.col("p") > _EDGE) & (F.col("p") < 1 - _EDGE)
-    decided = included(joined.where(part).select("key", "h", "source", "size", "p"))
-    certain = joined.where(~part).withColumn("copies", F.col("whole") + F.round("p").cast("long"))
-    # Units alike in key and hash may be decided differently; the copies of the k-th go to the k-th.
-    rank = Window.partitionBy("key", "h").orderBy(F.col("p").desc())
-    decided = decided.withColumn("k", F.row_number().over(rank)).select(
-        "key", "h", "k", F.col("p").alias("taken")
+    joined = numbered(joined, "at", "units").withColumn("part", F.shiftright("at", 33))
+    certain = joined.where(~_undecided("p")).withColumn("copies", F.col("whole") + F.round("p").cast("long"))
+
+    parts = joined.where(_undecided("p")).groupBy(*_ALIKE, "p", "part").agg(F.count(F.lit(1)).alias("c"))
+    parts = stored(parts, "alike-parts")
+    expected = F.sum("c") * F.col("p")
+    groups = parts.groupBy(*_ALIKE, "p").agg(
+        F.floor(expected).alias("sure"), (expected - F.floor(expected)).alias("rest")
     )
-    rank = Window.partitionBy("key", "h").orderBy("size")
-    numbered_ = joined.where(part).withColumn("k", F.row_number().over(rank)).alias("j")
-    same = (
-        F.col("j.key").eqNullSafe(F.col("d.key"))
-        & (F.col("j.h") == F.col("d.h")) & (F.col("j.k") == F.col("d.k"))
-    )
-    chosen = numbered_.join(decided.alias("d"), same).select(
-        "j.*", (F.col("j.whole") + F.col("d.taken").cast("long")).alias("copies")
+    groups = stored(groups.drop("p"), "alike")
+    decided = included(groups.where(_undecided("rest")).select(*_ALIKE, F.col("rest").alias("p")))
+    more = F.coalesce("d.p", F.round("g.rest")).cast("long")
+    taken = groups.alias("g").join(decided.alias("d"), _same("g", "d"), "left").select(
+        *[f"g.{c}" for c in _ALIKE], (F.col("g.sure") + more).alias("taken")
+    )
+    # The first of the alike take what the group takes: part by part, so that none is one task's.
+    before = Window.partitionBy(*_ALIKE).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.withColumn("before", F.coalesce(F.sum("c").over(before), F.lit(0)))
+    quota = F.least("p.c", F.col("t.taken") - F.col("p.before"))
+    shares = parts.alias("p").join(taken.alias("t"), _same("p", "t")).select(
+        *[f"p.{c}" for c in _ALIKE], "p.part", quota.alias("quota")
+    )
+    rank = Window.partitionBy(*_ALIKE, "part").orderBy("at")
+    open_ = joined.where(_undecided("p")).withColumn("k", F.row_number().over(rank))
+    chosen = open_.alias("j").join(shares.alias("s"), _same("j", "s", "part")).select(
+        "j.*", (F.col("j.whole") + (F.col("j.k") <= F.col("s.quota")).cast("long")).alias("copies")
     )
-    return chosen.drop("k").union(certain).drop("whole", "p", "h")
+    return chosen.drop("k").union(certain).drop("whole", "p", "h", "at", "part")
 
 
 def mix_documents(docs: DataFrame, **settings) -> DataFrame:
@@ -230,11 +255,11 @@ def mixed_rows(docs: DataFrame, **settings) -> DataFrame:
     name = fresh(docs.columns, "mix_row")
     rows = numbered(docs, name, "mix-rows")
     units = rows.select(
-        F.col(name).alias("key"), F.xxhash64("doc_id", text_of()).alias("h"),
-        "source", n_words().alias("size"),
+        F.col("doc_id").cast("long").alias("key"), F.xxhash64("doc_id", text_of()).alias("h"),
+        "source", n_words().alias("size"), F.col(name).alias("row"),
     )
     copies = mixed_units(units, **settings).where("copies > 0")
-    copies = copies.select(F.col("key").alias(name), "copies")
+    copies = copies.select(F.col("row").alias(name), "copies")
     columns = [F.col(f"`{c}`") for c in docs.columns]
     joined = rows.join(copies, name)
     again = F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))
