@@ -31,8 +31,8 @@ RANDOM, ENTRIES = 64, 16
 #: Queries and nodes of a block in the exact pass.
 ASKED_BLOCK, NODE_BLOCK = 64, 256
 ROUNDS = 7
-#: A round that improves the similarities by less than this share is the last one.
-LEAST_GAIN = 0.004
+#: A round that replaces no more than this share of the edges is the last one.
+LEAST_NEW = 0.05
 #: Nodes kept for a query, and how many of them are expanded in a step.
 BEAM, EXPAND = 160, 80
 STEPS = 6
@@ -60,8 +60,13 @@ def _matrix(column: pa.ListArray) -> np.ndarray:
     return flat.reshape(len(column), -1)
 
 
-def _prepared(trees: int, bits: int, dims: int):
-    """(node, vec) to (node, vec, bytes, bucket codes)."""
+def _prepared(trees: int, bits: int, dims: int, largest: float):
+    """(node, vec) to (node, vec, bytes, bucket codes).
+
+    The bytes are the length of the vector as a share of ``largest``, the largest
+    component of all, in double precision, and its direction in steps of 1/127 of its own
+    largest component, so that no finite vector is out of range.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         planes = np.random.default_rng(7).standard_normal((dims, trees * bits))
@@ -69,10 +74,12 @@ def _prepared(trees: int, bits: int, dims: int):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            x = _matrix(batch.column(1)).astype(np.float32)
-            scale = np.abs(x).max(1, keepdims=True) / 127
-            small = np.rint(x / scale).astype(np.int8)
-            packed = np.concatenate([scale.astype(np.float32).view(np.int8), small], axis=1)
+            x = _matrix(batch.column(1)).astype(np.float64)
+            most = np.abs(x).max(1, keepdims=True)
+            x = x / most
+            small = np.rint(x * 127).astype(np.int8)
+            length = (most / largest) * np.sqrt((x * x).sum(1, keepdims=True))
+            packed = np.concatenate([length.view(np.int8), small], axis=1)
             above = (x @ planes > 0).reshape(len(x), trees, bits)
             codes = (above @ weight).tolist()
             yield pa.RecordBatch.from_arrays(
@@ -87,10 +94,16 @@ def _prepared(trees: int, bits: int, dims: int):
     return run
 
 
-def _unpacked(raw: list[bytes]) -> np.ndarray:
+def _unpacked(raw: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Directions of length 1, and the lengths.
+
+    What is near to a vector depends on its direction alone; so similarities are products
+    of a direction with whole vectors, and a vector's own length can't take them out of range.
+    """
     rows = np.frombuffer(b"".join(raw), np.int8).reshape(len(raw), -1)
-    scale = np.ascontiguousarray(rows[:, :4]).view(np.float32)
-    return rows[:, 4:].astype(np.float32) * scale
+    length = np.ascontiguousarray(rows[:, :8]).view(np.float64)[:, 0]
+    direction = rows[:, 8:].astype(np.float32)
+    return direction / np.sqrt((direction * direction).sum(1, keepdims=True)), length
 
 
 def _compared(keep: int):
@@ -103,9 +116,9 @@ def _compared(keep: int):
                 ids = batch.column(0)[i].values.to_numpy()
                 if ids.size < 2:
                     continue
-                x = _unpacked(batch.column(1)[i].as_py())
+                x, length = _unpacked(batch.column(1)[i].as_py())
                 worst = batch.column(2)[i].values.to_numpy()
-                s = x @ x.T
+                s = (x @ x.T) * length
                 np.fill_diagonal(s, -np.inf)
                 s[s <= worst[:, None]] = -np.inf
                 if ids.size - 1 > keep:
@@ -122,7 +135,7 @@ def _compared(keep: int):
                 [
                     pa.array(np.concatenate([none.astype(np.int64), *node])),
                     pa.array(np.concatenate([none.astype(np.int64), *nbr])),
-                    pa.array(np.concatenate([none.astype(np.float32), *sim])),
+                    pa.array(np.concatenate([none, *sim])),
                 ],
                 ["node", "nbr", "sim"],
             )
@@ -130,12 +143,12 @@ def _compared(keep: int):
     return run
 
 
-_EDGES = "node bigint, nbr bigint, sim float"
+_EDGES = "node bigint, nbr bigint, sim double"
 
 
 def _best(edges: DataFrame, degree: int) -> DataFrame:
     order = Window.partitionBy("node").orderBy(F.col("sim").desc(), "nbr")
-    unique = edges.groupBy("node", "nbr").agg(F.max("sim").alias("sim"))
+    unique = edges.groupBy("node", "nbr").agg(F.max("sim").alias("sim"), F.min("born").alias("born"))
     return unique.withColumn("r", F.row_number().over(order)).where(F.col("r") <= degree).drop("r")
 
 
@@ -166,7 +179,7 @@ def _meeting(counts: DataFrame, bits: int, degree: int) -> DataFrame:
 
 
 def build_graph(nodes: DataFrame, bits: int, degree: int = DEGREE, rounds: int = ROUNDS) -> DataFrame:
-    """(node, nbr, sim) of the graph over the stored (node, q, codes of ``bits`` bits)."""
+    """(node, nbr, sim, born: its round) of the graph over the stored (node, q, codes of ``bits`` bits)."""
     chance = F.pmod(F.xxhash64("node", F.lit("start")), F.lit(math.ceil(max(1, nodes.count()) / RANDOM)))
     codes = F.concat("codes", F.array(chance))
     spread = nodes.select("node", "q", F.posexplode(codes).alias("tree", "code"))
@@ -174,26 +187,24 @@ def build_graph(nodes: DataFrame, bits: int, degree: int = DEGREE, rounds: int =
     part = F.pmod(F.xxhash64("node", "tree", "level"), F.ceil(F.col("total") / BUCKET)).alias("part")
     placed = placed.select("tree", "level", "key", part, "node", "q")
     groups = placed.groupBy("tree", "level", "key", "part").agg(F.collect_list(F.struct("node", "q")).alias("m"))
-    lowest = F.transform("m.node", lambda x: F.lit(-math.inf).cast("float"))
+    lowest = F.transform("m.node", lambda x: F.lit(-math.inf))
     start = groups.select("m.node", "m.q", lowest.alias("w")).mapInArrow(_compared(degree), _EDGES)
-    graph = stored(_best(start, degree), "graph")
-    total = graph.agg(F.sum("sim").alias("s")).first()["s"] or 0.0
-    for _ in range(rounds):
+    graph = stored(_best(start.withColumn("born", F.lit(0)), degree), "graph")
+    for at in range(1, rounds + 1):
         worst = graph.groupBy("node").agg(
             F.when(F.count(F.lit(1)) >= degree, F.min("sim"))
-            .otherwise(F.lit(-math.inf).cast("float")).alias("w")
+            .otherwise(F.lit(-math.inf)).alias("w")
         )
         known = nodes.select("node", "q").join(worst, "node", "left").select(
-            F.col("node").alias("nbr"), "q", F.coalesce("w", F.lit(-math.inf).cast("float")).alias("w")
+            F.col("node").alias("nbr"), "q", F.coalesce("w", F.lit(-math.inf)).alias("w")
         )
         met = _both_ways(graph, degree).join(known, "nbr")
         groups = met.groupBy("node").agg(F.collect_list(F.struct("nbr", "q", "w")).alias("m"))
         found = groups.select("m.nbr", "m.q", "m.w").mapInArrow(_compared(degree // 2), _EDGES)
-        graph = stored(_best(graph.union(found), degree), "graph")
-        now = graph.agg(F.sum("sim").alias("s")).first()["s"] or 0.0
-        if now - total <= LEAST_GAIN * abs(now):
+        graph = stored(_best(graph.union(found.withColumn("born", F.lit(at))), degree), "graph")
+        new, edges = graph.agg(F.count(F.when(F.col("born") == at, 1)), F.count(F.lit(1))).first()
+        if new <= LEAST_NEW * edges:
             break
-        total = now
     return graph
 
 
@@ -205,7 +216,8 @@ def _scored(keep: int):
             queries, nodes, scores = [], [], []
             for i in range(batch.num_rows):
                 ids = batch.column(2)[i].values.to_numpy()
-                score = _unpacked(batch.column(3)[i].as_py()) @ _unpacked([batch.column(1)[i].as_py()])[0]
+                x, length = _unpacked(batch.column(3)[i].as_py())
+                score = (x @ _unpacked([batch.column(1)[i].as_py()])[0][0]) * length
                 best = np.lexsort((ids, -score))[:keep]
                 queries.append(np.full(best.size, batch.column(0)[i].as_py()))
                 nodes.append(ids[best])
@@ -215,7 +227,7 @@ def _scored(keep: int):
                 [
                     pa.array(np.concatenate([none.astype(np.int64), *queries])),
                     pa.array(np.concatenate([none.astype(np.int64), *nodes])),
-                    pa.array(np.concatenate([none.astype(np.float32), *scores])),
+                    pa.array(np.concatenate([none, *scores])),
                 ],
                 ["query", "node", "score"],
             )
@@ -288,7 +300,7 @@ def search(
             F.collect_list(F.struct("node", "q")).alias("m")
         )
         rows = rows.join(queries.select("query", "qq"), "query").select("query", "qq", "m.node", "m.q")
-        return rows.mapInArrow(_scored(beam), "query bigint, node bigint, score float")
+        return rows.mapInArrow(_scored(beam), "query bigint, node bigint, score double")
 
     order = Window.partitionBy("query").orderBy(F.col("score").desc(), "node")
     pool = stored(scores(entries.distinct()).withColumn("done", F.lit(False)), "pool")
@@ -326,13 +338,14 @@ def nearest(
     items = stored(usable(rows, id_col, vec_col), "vectors")
     classes = items.groupBy("vec").agg(F.min("id").alias("node"), F.count(F.lit(1)).alias("c"))
     classes = stored(classes, "distinct")
-    n, total = classes.agg(F.count(F.lit(1)), F.sum("c")).first()
+    size = F.array_max(F.transform("vec", lambda x: F.abs(x.cast("double"))))
+    n, total, largest = classes.agg(F.count(F.lit(1)), F.sum("c"), F.max(size)).first()
     first = classes.select(F.size("vec").alias("d")).first()
     dims = first["d"] if first else 1
     bits = max(1, math.ceil(math.log2(max(2, n) / 64)))
     kind = classes.schema["vec"].dataType.simpleString()
     nodes = classes.select("node", "vec").mapInArrow(
-        _prepared(TREES, bits, dims), f"node bigint, vec {kind}, q binary, codes array<bigint>"
+        _prepared(TREES, bits, dims, largest), f"node bigint, vec {kind}, q binary, codes array<bigint>"
     )
     nodes = stored(nodes, "nodes")
     # The rows of a node; no more than k + 1 of them can be among the k nearest.

@@ -4,6 +4,7 @@ import itertools
 import random
 
 import numpy as np
+import pytest
 import public_tokenizers
 import sentencepiece
 from tokenizers import Tokenizer
@@ -113,6 +114,25 @@ def test_mixing(spark):
     assert mixing.mix_documents(docs.limit(0)).count() == 0
 
 
+def test_repeats_fly_as_one(spark, monkeypatch):
+    flown = []
+    fly = mixing.included
+    monkeypatch.setattr(mixing, "included", lambda units: flown.append(units.count()) or fly(units))
+    data = [(1, "same text here", "a")] * 3000 + [(None, "no id", None)] * 1000
+    data += [(i, "w " * (i % 50), ("a", "b")[i % 2]) for i in range(2, 1500)]
+    docs = spark.createDataFrame(data, "doc_id long, text string, source string").repartition(7)
+    got = mixing.mix_documents(docs).toPandas()
+    assert flown[0] <= 1500 and len(got) == len(data)
+    for _, mine in got.groupby("source_size"):
+        assert abs(mine["taken"].sum() - mine["target"].iloc[0]) <= max(3, 0.01 * mine["target"].iloc[0])
+    hot = got[got["doc_id"] == 1]
+    rate = (hot["target"] / hot["source_size"]).iloc[0]
+    assert abs(hot["taken"].sum() - 3 * 3000 * rate) <= 3
+    assert set(hot["taken"]) <= {3 * int(rate), 3 * int(rate) + 3}
+    rows = mixing.mixed_rows(docs)
+    assert rows.where("doc_id = 1").count() == hot["taken"].sum() / 3
+
+
 def plain_cost(roles):
     """Least cost over all legal role sequences, by trying every choice."""
     best = {chat.START: 0.0}
@@ -226,6 +246,25 @@ def test_neighbours_of_rare_directions(spark):
     assert hit / (61 * 20) >= 0.9
 
 
+@pytest.mark.parametrize("scale", [1e-120, 1e-45, 1.0, 1e100])
+def test_neighbours_of_extreme_sizes(spark, scale):
+    rng = np.random.default_rng(11)
+    x = np.abs(rng.standard_normal((400, 8))) * scale
+    x[37] *= 1e39
+    x[60] *= 1e-20
+    table = spark.createDataFrame(
+        [(i, [float(v) for v in row]) for i, row in enumerate(x)], "vec_id long, embedding array<double>"
+    )
+    got = neighbours.nearest(table).toPandas()
+    assert set(got[got["rank"] == 1].vec_id) == {37} and got.query_id.nunique() == 20
+    hit = 0
+    for q in range(0, 400, 20):
+        score = (x / scale) @ (x[q] / scale)
+        score[q] = -np.inf
+        hit += len(set(got[got.query_id == q].vec_id) & set(np.argsort(-score)[:20].tolist()))
+    assert hit / 400 >= 0.9
+
+
 def test_all_nodes_are_compared_block_by_block(spark):
     rng = np.random.default_rng(6)
     x = rng.standard_normal((700, 8))
