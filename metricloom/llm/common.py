@@ -110,10 +110,14 @@ class Ranges:
         rest = (run[n] - run[1:]) * np.uint64(self.inverse)
         return mixed(run[:-1] + rest + np.uint64(n - 1))
 
-    def hashes(self, units: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    def hashes(
+        self, units: np.ndarray, start: np.ndarray, end: np.ndarray, values: np.ndarray | None = None
+    ) -> np.ndarray:
+        """Hashes of the ranges; ``values`` are the mixed units plus one, if at hand (overwritten)."""
         n = units.size
         self._grow(n + 1)
-        values = mixed(units.astype(np.uint64) + np.uint64(1))
+        if values is None:
+            values = mixed(units.astype(np.uint64) + np.uint64(1))
         values *= self._up[:n]
         run = np.zeros(n + 1, np.uint64)
         np.cumsum(values, out=run[1:])

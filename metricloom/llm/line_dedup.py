@@ -23,12 +23,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from metricloom.llm.common import Ranges, fresh, light, mixed, small_batches, stored, text_of, word_bounds
+from metricloom.llm.common import Ranges, fresh, light, mixed, numbered, small_batches, stored, text_of, word_bounds
 
 #: Shorter lines must be equal: with few words, one word is most of what a line says.
 MIN_WORDS_NEAR = 8
 _BASES = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)
 _U = np.uint64
+_BYTES = mixed(np.arange(256, dtype=np.uint64) + _U(1))
+
+#: Bytes of text that one call of the array functions takes, unless one text is longer.
+_GROUP = 1 << 18
 
 
 def _signed(x: np.ndarray) -> pa.Array:
@@ -38,53 +42,80 @@ def _signed(x: np.ndarray) -> pa.Array:
 def _word_hashes(raw: bytes, ranges: Ranges) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     units = np.frombuffer(raw.lower(), np.uint8)
     start, end = word_bounds(units)
-    return ranges.hashes(units, start, end), start, units
+    return ranges.hashes(units, start, end, _BYTES[units]), start, units
+
+
+def _groups(texts: list[bytes]) -> Iterator[tuple[int, int]]:
+    """Ranges of texts of about ``_GROUP`` bytes together, a longer text alone."""
+    begin = size = 0
+    for i, text in enumerate(texts):
+        if i > begin and size + len(text) > _GROUP:
+            yield begin, i
+            begin, size = i, 0
+        size += len(text)
+    if begin < len(texts):
+        yield begin, len(texts)
+
+
+def _halves(words: np.ndarray, begin: np.ndarray, stop: np.ndarray, ranges: Ranges) -> list[np.ndarray]:
+    """Three hashes of each line, of which it shares one with any line within one word.
+
+    A line of n words meets lines of n words in its halves, and lines of n - 1 or n + 1
+    words in those cut for the longer of the two. Either both heads or both tails of the
+    two cuts are the same, so three hashes stand for the four parts.
+    """
+    n = stop - begin
+    half, odd = n // 2, n % 2 == 1
+    parts = (
+        (begin, begin + half, np.zeros(n.size, _U)),
+        (begin + half, stop, np.ones(n.size, _U)),
+        (np.where(odd, begin, stop - half - 1), np.where(odd, begin + half + 1, stop), (~odd).astype(_U)),
+    )
+    return [mixed(ranges.hashes(words, a, b) + kind * _U(_BASES[1])) for a, b, kind in parts]
 
 
 def _lines(min_words: int):
-    """Hashes of the lines of each text, and of the two halves of the longer ones.
+    """Hashes of the lines of each text, and of the parts of the longer ones.
 
-    A line of n words can meet lines of n-1, n and n+1 words, so its halves are cut for
-    the sizes n and n+1, and the size is part of the key.
+    Texts are taken together, parted by a line end, so that short texts share the calls.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         letters, first, second = Ranges(), Ranges(_BASES[0]), Ranges(_BASES[1])
         for batch in batches:
-            out, owner = [], []
-            for i, raw in enumerate(batch.column(2).to_pylist()):
-                words, at, units = _word_hashes(raw, letters)
+            texts = batch.column(2).to_pylist()
+            for low, high in _groups(texts):
+                words, at, units = _word_hashes(b"\n".join(texts[low:high]), letters)
                 if not words.size:
                     continue
-                line = np.searchsorted(np.flatnonzero(units == 10), at)
-                number, begin = np.unique(line, return_index=True)
-                stop = np.r_[begin[1:], words.size]
-                n = stop - begin
-                keys = []
-                for size in (n, n + 1):
-                    half = size // 2
-                    head = first.hashes(words, begin, begin + half)
-                    tail = first.hashes(words, stop - (size - half), stop)
-                    for kind, half_hash in ((1, head), (2, tail)):
-                        salt = size.astype(_U) * _U(4) + _U(kind)
-                        keys.append(mixed(half_hash + salt * _U(_BASES[1])))
-                whole = (first.hashes(words, begin, stop), second.hashes(words, begin, stop))
-                out.append((number, *whole, n, *keys))
-                owner.append(np.full(number.size, i))
-            if not out:
-                continue
-            take = pa.array(np.concatenate(owner))
-            own = [batch.column(0).take(take), batch.column(1).take(take)]
-            columns = [np.concatenate(c) for c in zip(*out, strict=True)]
-            arrays = [_signed(c) for c in columns[:4]]
-            short = columns[3] < min_words
-            arrays += [pa.array(c.view(np.int64), pa.int64(), mask=short) for c in columns[4:]]
-            yield pa.RecordBatch.from_arrays([*own, *arrays], _LINE_NAMES)
+                ends = np.flatnonzero(units == 10)
+                line = np.searchsorted(ends, at)
+                begin = np.flatnonzero(np.r_[True, line[1:] != line[:-1]])
+                stop, number = np.r_[begin[1:], words.size], line[begin]
+                starts = np.cumsum([0, *(len(t) + 1 for t in texts[low : high - 1])])
+                opening = np.searchsorted(ends, starts)  # number of each text's first line
+                owner = np.searchsorted(opening, number, side="right") - 1
+                take = pa.array(owner + low)
+                longer = stop - begin >= min_words
+                keys = [np.zeros(begin.size, _U) for _ in range(3)]
+                for key, found in zip(keys, _halves(words, begin[longer], stop[longer], first), strict=True):
+                    key[longer] = found
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column(0).take(take), batch.column(1).take(take),
+                        pa.array(number - opening[owner], pa.int64()),
+                        _signed(first.hashes(words, begin, stop)),
+                        _signed(second.hashes(words, begin, stop)),
+                        *[pa.array(k.view(np.int64), pa.int64(), mask=~longer) for k in keys],
+                    ],
+                    _LINE_NAMES,
+                )
 
     return run
 
 
-_LINE_NAMES = ["doc", "tag", "line", "h1", "h2", "n", "k0", "k1", "k2", "k3"]
+_KEYS = ["k0", "k1", "k2"]
+_LINE_NAMES = ["doc", "tag", "line", "h1", "h2", *_KEYS]
 _LINE_SCHEMA = ", ".join(f"{x} bigint" for x in _LINE_NAMES)
 
 
@@ -102,11 +133,11 @@ def _picked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _neighbourhood(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(h1, h2, words) to one row per left-out word, and one (place -1) for the line itself."""
+    """(number, words) to one row per left-out word, and one (place -1) for the line itself."""
     letters, first, second = Ranges(), Ranges(_BASES[0]), Ranges(_BASES[1])
     for batch in batches:
         v1, v2, place, owner = [], [], [], []
-        for i, raw in enumerate(batch.column(2).to_pylist()):
+        for i, raw in enumerate(batch.column(1).to_pylist()):
             words, _, _ = _word_hashes(raw, letters)
             ends = np.array([0]), np.array([words.size])
             v1 += [first.hashes(words, *ends), first.without_one(words)]
@@ -117,11 +148,11 @@ def _neighbourhood(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         none = np.zeros(0, _U)
         yield pa.RecordBatch.from_arrays(
             [
-                batch.column(0).take(take), batch.column(1).take(take),
+                batch.column(0).take(take),
                 _signed(np.concatenate([none, *v1])), _signed(np.concatenate([none, *v2])),
                 _signed(np.concatenate([none.astype(np.int64), *place])),
             ],
-            ["h1", "h2", "v1", "v2", "place"],
+            ["number", "v1", "v2", "place"],
         )
 
 
@@ -148,14 +179,13 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def near_lines(docs: DataFrame, distinct: DataFrame) -> DataFrame:
     """(h1, h2) of the lines that have an earlier line within one word."""
-    keys = distinct.where("k0 is not null").select(
-        "h1", "h2", F.explode(F.array("k0", "k1", "k2", "k3")).alias("key")
-    )
+    keys = distinct.where("k0 is not null").select("h1", "h2", F.explode(F.array(*_KEYS)).alias("key"))
     shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("key")
     able = keys.join(light(shared, "line-shared"), "key").select("h1", "h2").distinct()
     able = light(able, "line-partners")
     able = distinct.join(able, ["h1", "h2"], "left_semi").select("h1", "h2", "first")
-    able = stored(able, "line-able")
+    # Numbers rise from one sorted part to the next: the smaller number is the earlier line.
+    able = numbered(able.orderBy("first", "h1", "h2"), "number", "line-able")
     wanted = able.groupBy(F.col("first.doc").alias("doc"), F.col("first.tag").alias("tag")).agg(
         F.collect_list("first.line").alias("lines")  # lines of one text
     )
@@ -174,39 +204,29 @@ def near_lines(docs: DataFrame, distinct: DataFrame) -> DataFrame:
         & (F.col("p.tag") == at["tag"]) & (F.col("p.line") == at["line"])
     )
     texts = stored(
-        able.alias("a").join(picked, here).select("h1", "h2", "first", "words"), "line-texts"
+        able.alias("a").join(picked, here).select("number", "h1", "h2", "words"), "line-texts"
     )
 
-    rows = texts.select("h1", "h2", "words").mapInArrow(
-        _neighbourhood, "h1 bigint, h2 bigint, v1 bigint, v2 bigint, place bigint"
-    )
-    rows = rows.join(texts.select("h1", "h2", "first"), ["h1", "h2"])
-    me = F.struct("first", "h1", "h2")
-    rows = stored(rows.select("v1", "v2", "place", me.alias("me")), "line-variants")
-    cliques = rows.groupBy("v1", "v2", "place").agg(
-        F.min("me").alias("least"), F.count(F.lit(1)).alias("c")
+    rows = texts.select("number", "words").mapInArrow(
+        _neighbourhood, "number bigint, v1 bigint, v2 bigint, place bigint"
     )
+    rows = stored(rows, "line-variants")
+    # Most sequences occur once. Half of the hash tells the others, and few more.
+    again = rows.groupBy("v1").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("v1")
+    rows = stored(rows.join(light(again, "line-again"), "v1"), "line-met")
+    cliques = rows.groupBy("v1", "v2", "place").agg(F.min("number").alias("least"))
     cliques = stored(cliques, "line-cliques")
     sequences = cliques.groupBy("v1", "v2").agg(
         F.min(F.when(F.col("place") < 0, F.col("least"))).alias("whole"),
         F.min(F.when(F.col("place") >= 0, F.col("least"))).alias("part"),
-        F.sum("c").alias("c"),
-    ).where("c > 1")
-    met = rows.join(sequences.drop("c"), ["v1", "v2"]).join(
-        cliques.drop("c"), ["v1", "v2", "place"]
     )
+    met = rows.join(sequences, ["v1", "v2"]).join(cliques, ["v1", "v2", "place"])
     other = F.when(F.col("place") < 0, F.col("part")).otherwise(F.col("whole"))
-    pairs = met.select("me", F.explode(F.array("least", other)).alias("earlier"))
-    pairs = pairs.where("earlier is not null and earlier < me").distinct()
-    left = pairs.select(
-        F.col("me.h1").alias("h1"), F.col("me.h2").alias("h2"),
-        F.col("earlier.h1").alias("e1"), F.col("earlier.h2").alias("e2"),
-    )
-    own = texts.select("h1", "h2", F.col("words").alias("mine"))
-    theirs = texts.select(
-        F.col("h1").alias("e1"), F.col("h2").alias("e2"), F.col("words").alias("theirs")
-    )
-    checked = left.join(own, ["h1", "h2"]).join(theirs, ["e1", "e2"])
+    pairs = met.select("number", F.explode(F.array("least", other)).alias("earlier"))
+    pairs = pairs.where("earlier is not null and earlier < number").distinct()
+    own = texts.select("number", "h1", "h2", F.col("words").alias("mine"))
+    theirs = texts.select(F.col("number").alias("earlier"), F.col("words").alias("theirs"))
+    checked = pairs.join(own, "number").join(theirs, "earlier")
     checked = checked.select("h1", "h2", "mine", "theirs")
     return checked.mapInArrow(_verified, "h1 bigint, h2 bigint").distinct()
 
@@ -221,15 +241,13 @@ def dropped_lines(docs: DataFrame, min_words_near: int = MIN_WORDS_NEAR) -> Data
         F.col("doc").isNull().alias("none"), F.col("doc"), F.col("line"), F.col("tag")
     )
     distinct = lines.groupBy("h1", "h2").agg(
-        F.min(place).alias("first"),
-        F.count(F.lit(1)).alias("c"),
-        *[F.max(k).alias(k) for k in ("k0", "k1", "k2", "k3")],
+        F.min(place).alias("first"), F.count(F.lit(1)).alias("c"), *[F.max(k).alias(k) for k in _KEYS]
     )
     distinct = stored(distinct, "line-distinct")
     near = near_lines(docs, distinct).withColumn("near", F.lit(True))
     rules = distinct.join(near, ["h1", "h2"], "left").where("c > 1 or near")
     rules = rules.select("h1", "h2", "first", F.coalesce("near", F.lit(False)).alias("near"))
-    hit = lines.select("doc", "tag", "line", "h1", "h2").join(rules, ["h1", "h2"])
+    hit = lines.select("doc", "tag", "line", "h1", "h2").join(light(rules, "line-rules"), ["h1", "h2"])
     hit = hit.where(F.col("near") | (F.col("first") < place))
     return hit.groupBy("doc", "tag").agg(F.collect_set("line").alias("lines"))
 
@@ -263,7 +281,8 @@ def dedup_lines(
     found = light(found, "line-found", weight=F.size("lines")).alias("f")
     same = F.col("d.doc_id").eqNullSafe(F.col("f.doc")) & (F.col(f"d.{name}") == F.col("f.tag"))
     joined = docs.withColumn(name, tag).alias("d").join(found, same, "left")
-    parts = F.split(F.col("d.text"), "\n", -1)
+    line_ends = F.octet_length("d.text") - F.octet_length(F.replace(F.col("d.text"), F.lit("\n"), F.lit("")))
+    parts = F.split(F.col("d.text"), "\n", -1)  # of texts with dropped lines only
     every = F.sequence(F.lit(0).cast("long"), (F.size(parts) - 1).cast("long"))
     left = F.array_except(every, F.col("f.lines"))
     stay = F.transform(left, lambda i: F.get(parts, i.cast("int")))
@@ -272,7 +291,7 @@ def dedup_lines(
     )
     out = joined.select(
         *[text.alias("text") if c == "text" else F.col(f"d.`{c}`") for c in docs.columns],
-        F.when(F.col("d.text").isNull(), F.lit(0)).otherwise(F.size(parts)).cast("long").alias(counts[0]),
+        F.when(F.col("d.text").isNull(), F.lit(0)).otherwise(line_ends + 1).cast("long").alias(counts[0]),
         F.coalesce(F.size("f.lines"), F.lit(0)).cast("long").alias(counts[1]),
     )
     if drop_emptied:

@@ -54,6 +54,34 @@ def test_lines(spark):
     assert sum(r.n_dropped for r in got) > 50
 
 
+def test_texts_are_taken_in_groups(spark, monkeypatch):
+    monkeypatch.setattr(line_dedup, "_GROUP", 60)
+    texts = [b"a" * 30, b"", b"b" * 30, b"c" * 200, b"d"]
+    assert list(line_dedup._groups(texts)) == [(0, 3), (3, 4), (4, 5)] and not list(line_dedup._groups([]))
+    data = rows(seed=8) + [x for x in ODD if x != (None, None)]
+    got = line_dedup.dedup_lines(frame(spark, data)).collect()
+    assert {r.doc_id: r.text for r in got} == brute.drop_lines(data)
+    assert {r.doc_id: r.n_lines for r in got} == {i: t.count("\n") + 1 if t is not None else 0 for i, t in data}
+
+
+@pytest.mark.parametrize("n", range(8, 13))
+def test_lines_within_one_word_share_a_part(n):
+    rng = np.random.default_rng(n)
+    ranges = line_dedup.Ranges(7)
+
+    def parts(w):
+        return {int(h[0]) for h in line_dedup._halves(w, np.array([0]), np.array([w.size]), ranges)}
+
+    line = rng.integers(1, 1 << 60, n).astype(np.uint64)
+    for k in range(n + 1):
+        other = np.insert(line, k, 5)
+        assert parts(line) & parts(other)
+        if k < n:
+            changed = line.copy()
+            changed[k] = 9
+            assert parts(line) & parts(changed)
+
+
 def test_lines_of_repeated_rows(spark):
     data = [(1, "a b\nc d"), (1, "a b\nc d"), (2, "c d\nc d\ne")]
     got = line_dedup.dedup_lines(frame(spark, data)).select("doc_id", "text").collect()
@@ -211,6 +239,8 @@ def test_quality_base(spark):
     for r in got:
         failed = r.n_words < 50 or 100 * r.n_repeat_words > 50 * r.n_words
         assert r.base_failed == failed and r.kept == (not failed)
+    names = quality.score_quality(frame(spark, data, "x string"), None).columns
+    assert names == ["doc_id", "text", "x", *columns, "base_failed", "kept", "probability"]
 
 
 def test_quality_model_on_held_out_rows(spark):
