@@ -565,6 +565,23 @@ SELECT variable, point::INT AS point, {rounded("any_value(x)", 6)} AS x,
   {rounded("sum(c * exp(-0.5 * pow((x - value) / h, 2))) / (any_value(n) * any_value(h) * sqrt(2 * pi()))", 8)}
     AS density FROM k GROUP BY 1, 2"""
 
+_KDE_CELLS = 512
+SQL["kde_curve_binned"] = with_(METRIC, long(["l_quantity", "l_extendedprice"])) + f""", s AS (
+  SELECT variable, min(value) AS low, max(value) AS high, count(value) AS n, 0.9 * pow(count(value), -0.2)
+    * least(stddev_samp(value), (quantile_cont(value, 0.75) - quantile_cont(value, 0.25)) / 1.34) AS h
+  FROM long GROUP BY variable), p AS (
+  SELECT variable, low, (high - low) / {_KDE_CELLS - 1} AS w, (value - low) / ((high - low) / {_KDE_CELLS - 1}) AS place
+  FROM long JOIN s USING (variable) WHERE value IS NOT NULL), l AS (
+  SELECT *, least(floor(place), {_KDE_CELLS - 2}) AS cell FROM p), c AS (
+  SELECT variable, low + cell * w AS value, cell + 1 - place AS share FROM l UNION ALL
+  SELECT variable, low + (cell + 1) * w, place - cell FROM l), v AS (
+  SELECT variable, value, sum(share) AS c FROM c GROUP BY 1, 2), g AS (
+  SELECT *, low - 3 * h AS start, (high - low + 6 * h) / 511 AS step, unnest(range(512)) AS point FROM s), k AS (
+  SELECT variable, point, start + point * step AS x, value, c, n, h FROM g JOIN v USING (variable))
+SELECT variable, point::INT AS point, {rounded("any_value(x)", 6)} AS x,
+  {rounded("sum(c * exp(-0.5 * pow((x - value) / h, 2))) / (any_value(n) * any_value(h) * sqrt(2 * pi()))", 8)}
+    AS density FROM k GROUP BY 1, 2"""
+
 _profile = [*METRICS, "empty"]
 SQL["profile_all"] = with_(
     METRIC, long()[:-1] + " UNION ALL SELECT 'empty' AS variable, \"empty\" AS value FROM metric)"
@@ -625,6 +642,24 @@ FROM sw JOIN sl USING (variable)"""
 
 SQL["ks_statistic"] = with_(METRIC, long(), ECDF) + f"SELECT variable, n, {rounded('d', 8)} AS d FROM ks"
 
+# Beyond 10,000 values the limiting series; up to there twice the one-sided tail, right for n d^2 >= 2.2.
+KS_P = """far AS (
+  SELECT variable, 2 * sum(CASE WHEN k % 2 = 1 THEN 1 ELSE -1 END * exp(-2.0::DOUBLE * k * k * n * d * d)) AS p
+  FROM ks, range(1, 101) AS r(k) GROUP BY variable), near AS (
+  SELECT variable, 2 * any_value(d) * sum(exp(lgamma(n + 1) - lgamma(j + 1) - lgamma(n - j + 1)
+    + (j - 1) * ln(d + j / n::DOUBLE) + (n - j) * ln(1 - d - j / n::DOUBLE))) AS p
+  FROM ks, range(10001) AS r(j) WHERE n <= 10000 AND j < n * (1 - d) GROUP BY variable), kp AS (
+  SELECT ks.*, least(1, greatest(0, CASE WHEN n > 10000 THEN CASE WHEN sqrt(n) * d < 0.2 THEN 1 ELSE far.p END
+    ELSE near.p END)) AS p FROM ks JOIN far USING (variable) LEFT JOIN near USING (variable))"""
+
+SQL["ks_normal"] = with_(METRIC, long(), ECDF, KS_P) + (
+    f"SELECT variable, n, {rounded('d', 8)} AS d, {rounded('p', 6)} AS p FROM kp"
+)
+
+SQL["normality_table"] = with_(METRIC, long(), ECDF, KS_P, shapiro_sql("long", "sw")) + f"""
+SELECT variable, {rounded("w", 4)} AS w, {rounded("sw.p", 6)} AS sw_p, {rounded("d", 4)} AS d,
+  {rounded("kp.p", 6)} AS ks_p, sw.p > 0.05 AND kp.p > 0.05 AS normal FROM sw JOIN kp USING (variable)"""
+
 SQL["lilliefors"] = with_(METRIC, LOG, _long_both, ECDF) + f""", k AS (
   SELECT *, CASE WHEN n <= 100 THEN d ELSE d * pow(n / 100.0::DOUBLE, 0.49) END AS kd,
     least(n, 100)::DOUBLE AS nd FROM ks), p AS (
@@ -736,6 +771,115 @@ SELECT 'l_quantity' AS variable, {rounded("(1 - bc * bc) / d", 6)} AS vif FROM d
 SELECT 'p_retailprice', {rounded("(1 - ac * ac) / d", 6)} FROM det UNION ALL
 SELECT 'l_linenumber', {rounded("(1 - ab * ab) / d", 6)} FROM det"""
 
+PREDICTORS = ["l_quantity", "p_retailprice", "l_linenumber"]
+#: The constant and the predictors, from their means.
+_TERMS = range(len(PREDICTORS) + 1)
+
+
+def _rows_of(y: str) -> str:
+    """``d``: y and the centred predictors x1, x2, ... of the complete rows; ``m``: means and number."""
+    xs = list(enumerate(PREDICTORS, 1))
+    complete = " AND ".join(f"{x} IS NOT NULL" for x in PREDICTORS)
+    return f""", m AS MATERIALIZED (
+  SELECT count(*) AS n, {", ".join(f"avg({x}) AS m{i}" for i, x in xs)} FROM metric WHERE {complete}), d AS MATERIALIZED (
+  SELECT {y} AS y, 1.0::DOUBLE AS x0, {", ".join(f"{x} - m{i} AS x{i}" for i, x in xs)} FROM metric, m WHERE {complete})"""
+
+
+def _solved(name: str, rows: str, weight: str, right: str) -> str:
+    """``name``: the solution a_i_k of the weighted normal equations, k the number of terms, with their inverse behind.
+
+    Gauss and Jordan: each step clears one column of the matrix, the right side and the identity.
+    """
+    k = len(_TERMS)
+    start = [f"sum({weight} * x{i} * x{j}) AS a_{i}_{j}" for i in _TERMS for j in _TERMS]
+    start += [f"sum(x{i} * {right}) AS a_{i}_{k}" for i in _TERMS]
+    start += [f"{float(i == j)}::DOUBLE AS a_{i}_{k + 1 + j}" for i in _TERMS for j in _TERMS]
+    sql = f", {name}_0 AS MATERIALIZED (SELECT {', '.join(start)} FROM {rows})"
+    for p in _TERMS:
+        cells = []
+        for c in range(p + 1, 2 * k + 1):
+            pivot = f"a_{p}_{c} / a_{p}_{p}"
+            cells += [f"{pivot if i == p else f'a_{i}_{c} - a_{i}_{p} * {pivot}'} AS a_{i}_{c}" for i in _TERMS]
+        into = name if p == k - 1 else f"{name}_{p + 1}"
+        sql += f", {into} AS MATERIALIZED (SELECT {', '.join(cells)} FROM {name}_{p})"
+    return sql
+
+
+def _inverse(i: int, j: int) -> str:
+    return f"a_{i}_{len(_TERMS) + 1 + j}"
+
+
+def _estimates(coefficient, variance: str) -> str:
+    """Rows (term, b, e): ``e`` the root of the variance factor times the inverse's diagonal, for uncentred terms."""
+    shift = ["1", *[f"(-m{i})" for i in _TERMS[1:]]]
+    spread = " + ".join(f"{shift[i]} * {shift[j]} * {_inverse(i, j)}" for i in _TERMS for j in _TERMS)
+    const = " + ".join(f"{shift[i]} * {coefficient(i)}" for i in _TERMS)
+    rows = [(x, coefficient(i), _inverse(i, i)) for i, x in enumerate(PREDICTORS, 1)] + [("const", const, spread)]
+    return " UNION ALL ".join(
+        f"SELECT '{term}' AS term, {b} AS b, sqrt({variance} * ({v})) AS e FROM final" for term, b, v in rows
+    )
+
+
+def _line(i: int) -> str:
+    return f"a_{i}_{len(_TERMS)}"
+
+
+_FITTED = " + ".join(f"{_line(i)} * x{i}" for i in _TERMS)
+_OLS = with_(METRIC) + _rows_of("l_extendedprice") + _solved("s", "d", "1", "y")
+
+# The two-sided p of t integrates the density by Simpson's rule.
+SQL["ols_summary"] = _OLS + f""", final AS (
+  SELECT *, n - {len(_TERMS)} AS v, (SELECT sum((y - ({_FITTED})) ^ 2) FROM d, s) AS rss FROM s, m), e AS (
+  {_estimates(_line, "rss / v")}), t AS (
+  SELECT term, b, e, b / e AS t, least(abs(b / e), 40) / 4000 AS w, (SELECT v FROM final) AS v FROM e), f AS (
+  SELECT term, any_value(b) AS b, any_value(e) AS e, any_value(t) AS t, any_value(w) / 3
+    * exp(lgamma((any_value(v) + 1) / 2) - lgamma(any_value(v) / 2)) / sqrt(any_value(v) * pi())
+    * sum(CASE WHEN i IN (0, 4000) THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END * pow(1 + (i * w) ^ 2 / v, -(v + 1) / 2)) AS half
+  FROM t, range(4001) AS r(i) GROUP BY term)
+SELECT term, {rounded("b", 4)} AS coefficient, {rounded("e", 4)} AS std_error, {rounded("t", 4)} AS t,
+  {rounded("greatest(1 - 2 * half, 0)", 6)} AS p FROM f"""
+
+SQL["vif_with_constant"] = _OLS + f""", final AS (
+  SELECT *, {", ".join(f"(SELECT sum(x{i} ^ 2) FROM d) AS q{i}" for i in _TERMS[1:])}, n AS q0 FROM s, m), e AS (
+  {_estimates(_line, "1")})
+SELECT term AS variable, {rounded("e * e * CASE term " + " ".join(
+    f"WHEN '{x}' THEN q{i}" for i, x in enumerate([*PREDICTORS, "const"], 1) if x != "const"
+  ) + " ELSE q0 END", 6)} AS vif FROM e, (SELECT q0, q1, q2, q3 FROM final)"""
+
+_RESIDUALS = _OLS + f""", long AS (
+  SELECT 'residual' AS variable, y - ({_FITTED}) AS value FROM d, s)"""
+SQL["residual_histogram"] = f"""SELECT * REPLACE ({rounded("left_edge", 3)} AS left_edge) FROM (
+{_RESIDUALS}{histogram_sql(40)})"""
+
+SQL["residual_qq"] = _RESIDUALS + f""", o AS (
+  SELECT value AS y, row_number() OVER (ORDER BY value) AS i, count(*) OVER () AS n FROM long), p AS (
+  SELECT y, CASE WHEN i = n THEN pow(0.5::DOUBLE, 1.0::DOUBLE / n)
+    WHEN i = 1 THEN 1 - pow(0.5::DOUBLE, 1.0::DOUBLE / n)
+    ELSE (i - 0.3175::DOUBLE) / (n + 0.365::DOUBLE) END AS p FROM o), q AS (SELECT y, {probit("p")} AS x FROM p)
+SELECT 'residual' AS variable, count(*) AS n, {rounded("regr_slope(y, x)", 4)} AS slope,
+  {rounded("regr_intercept(y, x)", 4)} AS intercept, {rounded("regr_r2(y, x)", 4)} AS r2 FROM q"""
+
+_LOGIT_STEPS = 12
+_eta = " + ".join(f"b{i} * x{i}" for i in _TERMS)
+_newton = ", b_0 AS (SELECT " + ", ".join(f"0.0::DOUBLE AS b{i}" for i in _TERMS) + ")"
+for _step in range(_LOGIT_STEPS):
+    _newton += f""", p_{_step} AS (
+  SELECT d.*, 1 / (1 + exp(-({_eta}))) AS p FROM d, b_{_step})"""
+    _newton += _solved(f"s_{_step}", f"p_{_step}", "p * (1 - p)", "(y - p)")
+    _newton += f""", b_{_step + 1} AS MATERIALIZED (
+  SELECT {", ".join(f"b{i} + {_line(i)} AS b{i}" for i in _TERMS)} FROM b_{_step}, s_{_step})"""
+_LOGIT = (
+    with_(METRIC) + _rows_of("(l_extendedprice > 53000)::INT") + _newton
+    + f", final AS (SELECT * FROM b_{_LOGIT_STEPS}, s_{_LOGIT_STEPS - 1}, m), e AS ("
+    + _estimates(lambda i: f"b{i}", "1") + "), z AS (SELECT *, -abs(b / e) AS z FROM e)"
+)
+SQL["logit_summary"] = _LOGIT + f"""
+SELECT term, {rounded("b", 6)} AS coefficient, {rounded("e", 6)} AS std_error, {rounded("b / e", 6)} AS z,
+  {rounded(f"2 * ({phi('z')})", 6)} AS p, 'converged' AS state FROM z"""
+SQL["odds_ratios"] = _LOGIT + f"""
+SELECT term, {rounded("b", 4)} AS coefficient, {rounded("exp(b)", 4)} AS odds_ratio,
+  {rounded(f"2 * ({phi('z')})", 4)} AS p FROM z"""
+
 SQL["nested_models"] = with_(METRIC) + f""", r AS (
   SELECT corr(l_extendedprice, l_quantity) AS y1, corr(l_extendedprice, p_retailprice) AS y2,
     corr(l_quantity, p_retailprice) AS ab, count(*) AS n FROM metric), q AS (

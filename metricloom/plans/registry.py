@@ -503,7 +503,7 @@ _metric_query("profile_all", lambda t: profile.profile_all(t, [*METRICS, "empty"
 
 _metric_query("shapiro_wilk", lambda t: _round(
     normality.shapiro_wilk(t, METRICS), 7, "w", "p"))
-_metric_query("ks_normal", lambda t: normality.ks_normal(t, METRICS))
+_metric_query("ks_normal", lambda t: _round(_round(normality.ks_normal(t, METRICS), 8, "d"), 6, "p"))
 _metric_query("ks_statistic", lambda t: normality.ks_statistic(t, METRICS).withColumn(
     "d", s.half_even(F.col("d"), 8)))
 
@@ -568,28 +568,31 @@ def _round(df: DataFrame, digits: int, *cols: str) -> DataFrame:
     return df.withColumns({c: s.half_even(F.col(c), digits) for c in cols})
 
 
-_metric_query("ols_summary", lambda t: linear_models.ols_summary(t, TARGET, PREDICTORS))
+_metric_query("ols_summary", lambda t: _round(_round(
+    linear_models.ols_summary(t, TARGET, PREDICTORS), 4, "coefficient", "std_error", "t"), 6, "p"))
 _metric_query("ols_one_predictor", lambda t: _round(
     linear_models.ols_summary(t, TARGET, ["p_retailprice"]).drop("p"), 4,
     "coefficient", "std_error", "t"))
 _metric_query("ols_fit_quality", lambda t: linear_models.ols_fit_quality(t, TARGET, ["p_retailprice"]))
 _metric_query("vif", lambda t: _round(linear_models.vif(t, PREDICTORS), 6, "vif"))
-_metric_query("vif_with_constant", lambda t: linear_models.vif(t, PREDICTORS, constant=True))
+_metric_query("vif_with_constant", lambda t: _round(
+    linear_models.vif(t, PREDICTORS, constant=True), 6, "vif"))
 _metric_query("nested_models", lambda t: linear_models.nested_models(
     t, TARGET, ["l_quantity"], ["p_retailprice"]))
 _metric_query("residual_diagnostics", lambda t: _round(
     linear_models.residuals(t, TARGET, ["l_quantity"], ["id", "l_partkey"]), 3, "fitted", "residual"))
-_metric_query("residual_histogram", lambda t: profile.histogram(
-    linear_models.residuals(t, TARGET, PREDICTORS), ["residual"], 40))
-_metric_query("residual_qq", lambda t: normality.qq_line(normality.qq_points(
-    linear_models.residuals(t, TARGET, PREDICTORS), ["residual"])))
+_metric_query("residual_histogram", lambda t: _round(profile.histogram(
+    linear_models.residuals(t, TARGET, PREDICTORS), ["residual"], 40), 3, "left_edge"))
+_metric_query("residual_qq", lambda t: _round(normality.qq_line(normality.qq_points(
+    linear_models.residuals(t, TARGET, PREDICTORS), ["residual"])), 4, "slope", "intercept", "r2"))
 
 
 def _binary(t: DataFrame) -> DataFrame:
     return cleaning.binarize(t.withColumn("over", F.col("l_extendedprice") - 53_000), "over", "high")
 
 
-_metric_query("logit_summary", lambda t: linear_models.logit_summary(_binary(t), "high", PREDICTORS))
+_metric_query("logit_summary", lambda t: _round(
+    linear_models.logit_summary(_binary(t), "high", PREDICTORS), 6, "coefficient", "std_error", "z", "p"))
 _metric_query("odds_ratios", lambda t: linear_models.odds_ratios(_binary(t), "high", PREDICTORS))
 
 

@@ -64,6 +64,49 @@ def test_logit_is_the_maximum(data):
     assert odds["a"] == pytest.approx(np.exp(beta[0]), abs=1e-4)
 
 
+def test_logit_agrees_with_plain_newton_steps_at_bad_scales(spark):
+    rng = np.random.default_rng(3)
+    x = np.column_stack([rng.normal(5e6, 3.0, 500), rng.exponential(1e-4, 500)])
+    centred = (x - x.mean(0)) / x.std(0)
+    y = (centred @ [0.8, -0.5] + rng.logistic(size=500) > 1).astype(float)
+    rows = [(float(a), float(b), float(z), None) for (a, b), z in zip(x, y)]
+    df = spark.createDataFrame([*rows, (None, 1.0, 1.0, None), (1.0, 1.0, None, None)], "a double, b double, y double, e double")
+    fit = lm.fit_logit(df, "y", ["a", "b"])
+    design, beta = np.column_stack([centred, np.ones(500)]), np.zeros(3)
+    for _ in range(30):
+        p = 1 / (1 + np.exp(-design @ beta))
+        information = design.T @ (design * (p * (1 - p))[:, None])
+        beta += np.linalg.solve(information, design.T @ (y - p))
+    error = np.sqrt(np.diag(np.linalg.inv(information)))
+    assert (fit.state, fit.n) == ("converged", 500)
+    assert fit.coefficients[:2] * x.std(0) == pytest.approx(beta[:2], rel=1e-7)
+    assert fit.errors[:2] * x.std(0) == pytest.approx(error[:2], rel=1e-7)
+    assert fit.log_likelihood == pytest.approx((y * np.log(p) + (1 - y) * np.log(1 - p)).sum(), rel=1e-9)
+
+
+def test_logit_states(spark):
+    schema = "x double, z double, y int"
+    apart = spark.createDataFrame([(float(i), float(i % 3), int(i > 20)) for i in range(40)], schema)
+    cases = {
+        "separated": (apart, ["x"]),
+        # One value of a predictor has a single class, the rest overlap.
+        "quasi": (spark.createDataFrame([(float(i % 2), 0.0, int(i % 2 or i % 4 == 2)) for i in range(40)], schema), ["x"]),
+        "collinear": (apart.withColumn("w", F.col("x") * 2 - F.col("z")), ["x", "z", "w"]),
+        "constant": (apart.withColumn("w", F.lit(7.5)), ["z", "w"]),
+        "one class": (apart.where("y = 1"), ["x"]),
+        "no rows": (apart.where("y > 1"), ["x"]),
+    }
+    states = {"quasi": "separated", "constant": "collinear"}
+    for name, (df, xs) in cases.items():
+        rows = lm.logit_summary(df, "y", xs).collect()
+        assert [r["term"] for r in rows] == [*xs, "const"]
+        assert {r["state"] for r in rows} == {states.get(name, name)}
+        assert all(r["coefficient"] is None and r["p"] is None for r in rows)
+        assert lm.odds_ratios(df, "y", xs).where("odds_ratio IS NOT NULL").isEmpty()
+    with pytest.raises(ValueError, match="between 0 and 1"):
+        lm.fit_logit(apart.withColumn("y", F.col("x")), "y", ["z"])
+
+
 def test_penalised_logistic_has_zero_gradient(data):
     model = learners.LogisticBaseline(["a", "b"]).fit(data).model
     z = (X - X.mean(0)) / X.std(0)

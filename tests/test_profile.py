@@ -89,6 +89,22 @@ def test_density_integrates_to_one(spark):
         assert sum(r["density"] for r in rows) * step == pytest.approx(1.0, abs=0.01)
 
 
+def test_density_window_and_cells_keep_their_error_bounds(spark):
+    rng = np.random.default_rng(4)
+    x = np.round(np.concatenate([rng.normal(0, 1, 500), rng.normal(60, 0.5, 300), [800.0]]), 3)
+    df = spark.createDataFrame([(float(v), None) for v in x] + [(None, None)], "x double, e double")
+    h = x.std(ddof=1) * len(x) ** -0.2
+    grid = np.linspace(x.min() - 4 * h, x.max() + 4 * h, 300)
+    plain = np.exp(-0.5 * ((grid[:, None] - x) / h) ** 2).sum(1) / (len(x) * h * np.sqrt(2 * np.pi))
+    assert (plain < 1e-12).any()  # points that no value reaches are listed too
+    for cells in (None, 50, 400):
+        rows = profile.kde_curve(df, ["x", "e"], 300, cut=4.0, cells=cells).orderBy("point").collect()
+        assert [r["point"] for r in rows] == list(range(300))
+        width = (x.max() - x.min()) / (cells - 1) if cells else 0.0
+        bound = width**2 / (8 * np.sqrt(2 * np.pi) * h**3) + 1e-16 / h + 5e-9
+        assert max(abs(r["density"] - p) for r, p in zip(rows, plain)) <= bound
+
+
 def test_published_table_relations():
     """Rows of published result tables must be consistent with the rules used here."""
     q1, q3 = 6.0, 22.75
