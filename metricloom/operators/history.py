@@ -49,8 +49,14 @@ def _entropy(lines: Column, files: Column) -> Column:
     sums, so it needs no second pass over the files. Files without lines add nothing to
     S but count in the normaliser log2(files).
     """
-    total = F.sum(lines)
-    weighted = F.sum(F.when(lines > 0, lines * F.log2(lines)))
+    return _entropy_of(F.sum(lines), F.sum(_weighted(lines)), files)
+
+
+def _weighted(lines: Column) -> Column:
+    return F.when(lines > 0, lines * F.log2(lines))
+
+
+def _entropy_of(total: Column, weighted: Column, files: Column) -> Column:
     shannon = F.log2(F.nullif(total, F.lit(0.0))) - safe_ratio(weighted, total)
     bits = F.log2(F.nullif(files, F.lit(1)).cast("double"))
     return F.coalesce(F.greatest(safe_ratio(shannon, bits), F.lit(0.0)), F.lit(0.0))
@@ -59,7 +65,6 @@ def _entropy(lines: Column, files: Column) -> Column:
 def _spread_aggregates() -> dict[str, Column]:
     files = F.count(F.lit(1))
     return {
-        "NS": F.countDistinct(subsystem(F.col("path"))),
         "ND": F.countDistinct(directory(F.col("path"))),
         "NF": files,
         "Entropy": _entropy((F.col("added") + F.col("deleted")).cast("double"), files),
@@ -82,9 +87,29 @@ def _per_commit(changes: DataFrame, aggregates: dict[str, Column], by=COMMIT) ->
 
 
 def diffusion(changes: DataFrame) -> DataFrame:
-    """Subsystems, directories, files and entropy per change."""
-    return _per_commit(changes, _spread_aggregates()).withColumn(
-        "Entropy", half_even(F.col("Entropy"), 6)
+    """Subsystems, directories, files and entropy per change.
+
+    Rolled up from files to directories, subsystems and changes, so that two distinct
+    counts do not multiply the rows of the log. Each directory lies in one subsystem,
+    but for the root: its files are subsystems of their own and share the empty directory.
+    """
+    lines = (F.col("added") + F.col("deleted")).cast("double")
+    path, folder = F.col("path"), F.col("folder")
+    sums = [F.sum(c).alias(c) for c in ("NF", "total", "weighted")]
+    folders = commit_filter(changes).groupBy(
+        *COMMIT, subsystem(path).alias("area"), directory(path).alias("folder")
+    ).agg(
+        F.count(F.lit(1)).alias("NF"), F.sum(lines).alias("total"), F.sum(_weighted(lines)).alias("weighted")
+    )
+    areas = folders.groupBy(*COMMIT, "area").agg(
+        F.count_if(folder != "").alias("inner"), F.max((folder == "").cast("int")).alias("root"), *sums
+    )
+    files = F.sum("NF")
+    entropy = _entropy_of(F.sum("total"), F.sum("weighted"), files)
+    return areas.groupBy(*COMMIT).agg(
+        F.count("area").alias("NS"),
+        (F.sum("inner") + F.coalesce(F.max("root"), F.lit(0))).alias("ND"),
+        files.alias("NF"), half_even(entropy, 6).alias("Entropy"),
     )
 
 
@@ -203,8 +228,7 @@ def change_features(
     subsystems falls out of the author-area rows, so the log is read three times in all.
     """
     blocks = _blocks(changes, rows_per_task)
-    own_spread = {k: v for k, v in _spread_aggregates().items() if k != "NS"}
-    own = _per_commit(changes, {**own_spread, **_size_aggregates()}, by=IDENTITY)
+    own = _per_commit(changes, {**_spread_aggregates(), **_size_aggregates()}, by=IDENTITY)
     past = _history_from(_file_history(_touches(changes), blocks))
     joined = _add_experience(own, changes, as_of, blocks).join(past, COMMIT)
     joined = joined.withColumn("FIX", is_corrective(F.col("msg")).cast("int"))

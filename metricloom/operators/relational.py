@@ -7,11 +7,16 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from metricloom.operators.profile import union_all
+from metricloom.session import written_once
 
 
 def annotate_join(long: DataFrame, summary: DataFrame, key: str = "variable") -> DataFrame:
-    """Attach a per-variable summary (one row per column of the profile) to long rows."""
-    return long.join(F.broadcast(summary), key, "left")
+    """Attach a per-variable summary (one row per column of the profile) to long rows.
+
+    The summary is written first, so its size is known: a small one is broadcast by the
+    optimizer, one beyond its threshold is joined by shuffling.
+    """
+    return long.join(written_once(summary, "summary"), key, "left")
 
 
 def aligned_join(left: DataFrame, right: DataFrame, row_id: Sequence[str]) -> DataFrame:

@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from metricloom.operators.ordered import ROWS_PER_TASK, Cut, find_cut, is_before
+from metricloom.session import written_once
 
 HASH_DIGITS = 15
 SLICES = 65_536
@@ -70,7 +71,8 @@ def hash_split(
 ) -> DataFrame:
     """Mark exactly ``ceil(share * n)`` rows of each stratum as test (``is_test``).
 
-    Strata are class labels, so few; their boundaries are broadcast.
+    The boundaries, one row per stratum, are written first: the optimizer broadcasts them
+    if that size allows and shuffles otherwise.
     """
     strata = list(strata)
     sliced = _sliced(df, key, seed)
@@ -87,7 +89,7 @@ def hash_split(
         same = F.lit(True)
         for s in strata:
             same = same & F.col(s).eqNullSafe(F.col(f"__s_{s}"))
-        marked = sliced.join(F.broadcast(cut), same, "left")
+        marked = sliced.join(written_once(cut, "split-cut"), same, "left")
     else:
         edge = cut.select(F.struct("__cut", "__left").alias("e")).scalar()
         marked = sliced.withColumns({"__cut": edge["__cut"], "__left": edge["__left"]})
@@ -121,7 +123,7 @@ def stratified_folds(
 ) -> DataFrame:
     """Deal the shuffled rows of each label round over the folds (``fold`` = 0, 1, ...)."""
     sliced = _sliced(df, key, seed)
-    starts = F.broadcast(_slice_starts(sliced, [label]).select(label, "__slice", "__start"))
+    starts = written_once(_slice_starts(sliced, [label]).select(label, "__slice", "__start"), "split-starts")
     place = F.row_number().over(Window.partitionBy(label, "__slice").orderBy("__h", key))
     return (
         sliced.withColumn("__place", place)

@@ -130,6 +130,15 @@ def test_single_dimension_operators_agree_with_the_full_table(spark):
         )
 
 
+def test_diffusion_counts_root_files_and_does_not_expand_the_log(spark):
+    files = ["a.py", "b.py", "x/c.py", "x/y/d.py", "x/y/e.py", "z/f.py"]
+    frame = _frame(spark, [("r", "h", 1, "a", 0, "m", False, [(f, 2, 0, 1) for f in files])])
+    table = history.diffusion(frame)
+    row = table.first()
+    assert (row["NS"], row["ND"], row["NF"], row["Entropy"]) == (4, 4, 6, 1.0)
+    assert "Expand" not in table._jdf.queryExecution().executedPlan().toString()
+
+
 def test_order_of_rows_does_not_matter(spark):
     frame = _frame(spark)
     a = change_features(frame, AS_OF).collect()
