@@ -21,10 +21,12 @@ ASSIGN = re.compile(
 #: A run below the least length fails as a whole, so the length can stand in the pattern.
 ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 HEX = re.compile(r"[0-9a-f]{24,}")
-#: Wider credential context whose values only count when they are costly to guess.
+#: Wider credential context whose values only count when they are costly to guess. The short
+#: words also end others (spin, compass), so they begin a word or a capitalised part of one.
 CONTEXT = re.compile(
-    r"(?:passphrase|password|passwd|pass|pwd|secret|token|credentials?|auth|bearer"
-    r"|(?:api|private|client|access)_?key|pin)"
+    r"(?:passphrase|password|passwd|pwd|secret|token|credentials?|bearer"
+    r"|(?:api|private|client|access)_?key"
+    r"|(?-i:(?<![A-Za-z])|(?<=[a-z])(?=[AOP][a-z]))(?:pass|pin|o?auth))"
     r"[\"']?(?:\x20*[:=]\x20*|\x20+is\x20+)[\"']?(?=[^\s\"'<>]{6})",
     re.IGNORECASE | re.ASCII,
 )
@@ -54,7 +56,6 @@ _DATE = re.compile(
     r"|(?:0[1-9]|[12]\d|3[01])[-/.]?(?:0[1-9]|1[0-2])[-/.]?(?:19|20)\d\d|(?:19|20)\d\d"
 )
 _SEGMENT = 0.3  # power of ten that each further segment adds: the guesser must find the cuts
-_TAIL = 64
 
 
 def _char_cost(c: str) -> float:
@@ -82,6 +83,7 @@ def guess_power(value: str) -> float:
         best[j] = min(best[j], best[i] + cost)
 
     repeat = walk = climb = 0
+    starts = [[], [], []]  # of each kind of run: where its segments may yet begin
     for i in range(n):  # runs ending at i
         joined = low[i - 1 : i + 1]
         repeat = repeat + 1 if i and low[i] == low[i - 1] else 1
@@ -89,12 +91,19 @@ def guess_power(value: str) -> float:
         step = ord(low[i]) - ord(low[i - 1]) if i else 0
         climb = climb + 1 if abs(step) == 1 and joined.isalnum() else 1
         offer(i, i + 1, _char_cost(value[i]))
-        for run, least in ((repeat, 3), (walk, 3), (climb, 3)):
-            if run >= least:
-                for length in {run, *range(least, min(run, _TAIL) + 1)}:
-                    start = i + 1 - length
-                    cost = _char_cost(value[start]) + math.log10(length) + 0.3
-                    offer(start, i + 1, cost + _SEGMENT * (start > 0))
+        for kind, run in enumerate((repeat, walk, climb)):
+            if run == 1:
+                starts[kind] = []
+            if run >= 3:
+                # A start that an earlier one matches stays behind it: log10 grows ever slower.
+                start, kept, least = i - 2, [], math.inf
+                own = best[start] + _char_cost(value[start]) + 0.3 + _SEGMENT * (start > 0)
+                for at, cost in (*starts[kind], (start, own)):
+                    if cost + math.log10(i + 1 - at) < least:
+                        least = cost + math.log10(i + 1 - at)
+                        kept.append((at, cost))
+                starts[kind] = kept
+                best[i + 1] = min(best[i + 1], least)
         for length in range(3, min(i + 1, _LONGEST) + 1):
             start = i + 1 - length
             for form, more in ((low, 0.0), (plain, 0.6)):

@@ -1,5 +1,6 @@
 """Line dedup, near-dedup, spans and quality rules against plain versions, with odd rows."""
 
+import math
 import random
 
 import numpy as np
@@ -268,3 +269,57 @@ def test_empty_tables(spark):
     assert personal_data.find_personal_data(none).count() == 0
     assert secret_scan.scan_secrets(none, ["doc_id"]).count() == 0
     assert quality.score_quality(none, None).count() == 0
+
+
+def _plain_guess_power(value: str) -> float:
+    """All segmentations, by trying every segment between every two positions."""
+    low, best = value.lower(), [0.0] + [float("inf")] * len(value)
+    plain = low.translate(secret_scan._LEET)
+
+    def alike(part: str) -> bool:
+        steps = list(zip(part, part[1:]))
+        return any(
+            all(test(a, b) for a, b in steps)
+            for test in (
+                lambda a, b: a == b,
+                lambda a, b: (a, b) in secret_scan._NEXT,
+                lambda a, b: abs(ord(a) - ord(b)) == 1 and (a + b).isalnum(),
+            )
+        )
+
+    for end in range(1, len(value) + 1):
+        for start in range(end):
+            part, size = value[start:end], end - start
+            costs = [secret_scan._char_cost(part)] if size == 1 else []
+            if size >= 3 and alike(low[start:end]):
+                costs.append(secret_scan._char_cost(part[0]) + math.log10(size) + 0.3)
+            for form, more in ((low, 0.0), (plain, 0.6)):
+                if form[start:end] in secret_scan.WORDS:
+                    rank = secret_scan.WORDS.index(form[start:end]) + 1
+                    costs.append(math.log10(rank + 1) + more + 0.5 * (part != part.lower()))
+            if size in (4, 8, 10) and secret_scan._DATE.fullmatch(part):
+                costs.append(2.1 if size == 4 else 4.5)
+            further = secret_scan._SEGMENT * (start > 0 and (size > 1 or costs[0] != secret_scan._char_cost(part)))
+            for cost in costs:
+                best[end] = min(best[end], best[start] + cost + further)
+    return best[-1]
+
+
+def test_guess_power_is_the_cheapest_segmentation():
+    rng = random.Random(5)
+    pieces = ["a" * 150, "password", "P4ssw0rd", "qwerty", "poiuytrewq", "abcdef", "9876543210", "2019-03-04",
+              "1999", "x", "!", "aA", "ab" * 40, "dfdfdf" * 20, "1212" * 30, "zzz", "é", "kKk"]
+    values = ["", "a", "a" * 500, "ab" * 300, *("".join(rng.choices(pieces, k=rng.randint(1, 4))) for _ in range(60))]
+    values += ["".join(rng.choices("ab1", k=rng.randint(1, 90))) for _ in range(60)]
+    for value in values:
+        assert secret_scan.guess_power(value) == pytest.approx(_plain_guess_power(value), abs=1e-9), value
+
+
+def test_short_context_words_begin_a_word():
+    def added(text):
+        return secret_scan.find_secrets(text)[1]
+
+    for text in ("spin: Xk29vQz7LmP0", "bypass is Xk29vQz7LmP0", "compass=Xk29vQz7LmP0"):
+        assert not added(text)
+    for text in ("pin: Xk29vQz7LmP0", "user_pin: Xk29vQz7LmP0", "userPin: Xk29vQz7LmP0", "oauth: Xk29vQz7LmP0", "PASS=Xk29vQz7LmP0"):
+        assert len(added(text)) == 1
