@@ -113,6 +113,27 @@ def test_shapiro_reads_all_rows(spark):
     assert normality.shapiro_wilk(far, ["x"]).first()["w"] < w - 0.01
 
 
+def test_sums_over_stretches_of_ranks_equal_the_single_ranks(spark):
+    """Ties of 1 to 30,000 values, also across the ends, against scores added up one by one."""
+    counts = [1, 3, 40, 900, 300, 17, 16, 5_000, 1, 30_000, 2_000, 700, 500, 2, 1]
+    samples, rows = [counts, counts[:4], [20_000], [1, 2_500], [1_500, 1_600]], []
+    for k, some in enumerate(samples):
+        starts = np.cumsum([0, *some]).tolist()
+        rows += [(str(k), float(v), n, starts[v], starts[-1]) for v, n in enumerate(some)]
+    ranked = spark.createDataFrame(rows, "variable string, value double, n long, start long, size long")
+    got = normality._score_sums(normality._stretches(ranked)).groupBy("variable", "value", "n", "start", "size").agg(
+        F.sum("scores").alias("a"), F.sum("squares").alias("b"), F.sum(F.col("until") - F.col("since")).alias("ranks"),
+        F.count(F.lit(1)).alias("parts"),
+    ).collect()
+    assert len(got) == len(rows) and all(r["n"] == r["ranks"] for r in got)
+    for r in got:
+        score = dist.normal_ppf_array((np.arange(1, r["size"] + 1) - 0.375) / (r["size"] + 0.25))
+        mine = score[r["start"] : r["start"] + r["n"]]
+        assert r["a"] == pytest.approx(mine.sum(), rel=1e-11, abs=1e-9)
+        assert r["b"] == pytest.approx((mine * mine).sum(), rel=1e-11, abs=1e-9)
+    assert max(r["parts"] for r in got) <= 2 * normality._EDGE + 1
+
+
 def test_log_transform_helps_skewed_data(spark):
     rng = np.random.default_rng(4)
     df = spark.createDataFrame(
