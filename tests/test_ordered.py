@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from metricloom.operators.ordered import find_blocks, find_cut, is_before, running_before, value_at
+from metricloom.operators.ordered import find_blocks, find_cut, heavy_buckets, is_before, running_before, value_at
 
 
 def _rows(n=900, seed=3):
@@ -105,3 +105,19 @@ def test_cut_on_tied_dates(spark, rows_per_task):
     got = {r["id"] for r in df.where(is_before(cut, "day", "id")).collect()}
     assert got == {r[0] for r in first}
     assert value_at(df, "day", 10_000) is None
+
+
+def test_only_groups_too_large_for_a_task_are_cut(spark):
+    rows = [("hot", i) for i in range(400)] + [(f"k{i}", (i * 7919) % 400) for i in range(300) for _ in range(3)]
+    df = spark.createDataFrame(rows, "key string, at long").repartition(3)
+    assert len(heavy_buckets(df, ["key"], 100)) == 1 and heavy_buckets(df.where("key != 'hot'"), ["key"], 100) == []
+    blocks = find_blocks(df, "at", rows_per_task=100)
+    assert blocks.bounds
+    one = {"c": F.lit(1).cast("long")}
+    small = running_before(
+        df.where("key != 'hot'"), ["key"], "at", one, blocks=blocks, rows_per_task=100, counted=df.where("key != 'hot'")
+    )
+    assert "__carried" not in small._jdf.queryExecution().toString()
+    mixed = running_before(df, ["key"], "at", one, blocks=blocks, rows_per_task=100, counted=df)
+    assert mixed.columns == ["key", "at", "c"] and "__carried" in mixed._jdf.queryExecution().toString()
+    assert sorted(map(tuple, mixed.collect())) == sorted((k, at, at if k == "hot" else 0) for k, at in rows)
