@@ -80,3 +80,13 @@ def test_no_row_window_in_one_task(orders):
         orders, ["o_orderstatus"], "o_orderkey", {"c": F.lit(1).cast("long")}, rows_per_task=100
     ))
     assert "SinglePartition" not in keyed and "Broadcast" not in keyed
+
+
+def test_a_change_log_is_dealt_by_its_rows(spark, monkeypatch):
+    """Grouped by change, no task holds more file rows than the bound, however small they are in bytes."""
+    rows = spark.read.parquet(f"{SMALL}/lineitem.parquet").count()
+    monkeypatch.setattr(roles, "FILES_PER_TASK", 200)
+    found = history.diffusion(roles.change_log(spark, SMALL, by_change=True))
+    assert found.rdd.getNumPartitions() >= rows / 200
+    plain = history.diffusion(roles.change_log(spark, SMALL))
+    assert sorted(found.collect()) == sorted(plain.collect())
