@@ -197,3 +197,15 @@ def test_ledger_shows_real_faults(spark):
     spark.createDataFrame([("no parquet",)], "x string").write.text(f"{root}/rows")
     with pytest.raises(Exception):
         ledger.rows().count()
+
+
+def test_features_that_are_numbers_are_not_read_as_text(spark):
+    df = spark.createDataFrame(
+        [(1.5e-7, 2**53 + 1, "1d"), (float("nan"), None, " 2 "), (float("-inf"), -3, None)], "a double, b long, c string"
+    )
+    got = cleaning.ensure_features(df, ["a", "b", "c", "absent"])
+    assert got.collect() == [
+        (1.5e-7, float(2**53 + 1), 0.0, 0.0), (0.0, 0.0, 2.0, 0.0), (float("-inf"), -3.0, 0.0, 0.0),
+    ]
+    plan = cleaning.ensure_features(df, ["a", "b"])._jdf.queryExecution().optimizedPlan().toString()
+    assert "RLIKE" not in plan and "as string" not in plan
