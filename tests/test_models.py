@@ -3,6 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from metricloom.operators import learners, linear_models as lm
+from metricloom.plans import risk
 from metricloom.plans.risk import compare_models
 from metricloom.session import scratch_path
 
@@ -236,3 +237,26 @@ def test_registered_learners_use_the_defaults(monkeypatch):
     assert not any(registry.TREE_MODELS.values())
     for q in ("model_comparison", "risk_end_to_end", "risk_tuned", "risk_leakage"):
         assert "TREE_MODELS" in inspect.getsource(registry.QUERIES[q])
+
+
+def test_models_of_a_split_are_fitted_side_by_side(spark, monkeypatch):
+    import threading
+
+    together = threading.Barrier(2)
+
+    def waiting(fit):
+        def run(*args, **kwargs):
+            together.wait(timeout=120)  # breaks if one fit only begins after the other
+            return fit(*args, **kwargs)
+
+        return run
+
+    for kind in (learners.LogisticBaseline, learners.TreeClassifier):
+        monkeypatch.setattr(kind, "fit", waiting(kind.fit))
+    rows = spark.range(400).select(
+        "id", (F.col("id") % 17).cast("double").alias("x"), ((F.col("id") % 17) + (F.col("id") % 3) > 9).cast("int").alias("label")
+    )
+    train, test = rows.where("id % 4 > 0"), rows.where("id % 4 = 0")
+    found = risk.fit_and_compare(train, test, ["x"], {"forest": {"trees": 3}})
+    assert sorted(r["model"] for r in found.metrics.collect()) == ["forest", "logistic"]
+    assert [r["feature"] for r in found.importances.collect()] == ["x"]
