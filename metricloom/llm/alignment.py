@@ -11,33 +11,19 @@ from __future__ import annotations
 
 import json
 import os
-import re
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import public_tokenizers
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from metricloom.llm.byte_level import Encode, byte_characters as _byte_characters, is_plain, quick, token_bytes
 from metricloom.llm.common import fresh, light, small_batches, stored
 
 #: Bytes of text whose tokens are merged at once; a longer document is merged on its own.
 SLICE = 1 << 20
 
-Encode = Callable[[list[str]], list[list[int]]]
-
-#: Characters that both libraries' pattern classes agree on beyond doubt.
-_LATIN = re.compile("[\x00-ɏ]*").fullmatch
-
-
-def _byte_characters() -> dict[str, int]:
-    """The printable characters that stand for bytes in byte-level vocabularies."""
-    kept = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    table = {chr(b): b for b in kept}
-    return table | {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in set(kept))}
-
-
 class Side:
     """One tokenizer: how it encodes texts, and the bytes of each of its ids.
 
@@ -77,50 +63,13 @@ def _json_side(path: str) -> tuple[Encode, list[bytes]]:
     tokenizer.encode_special_tokens = True
     tokenizer.no_truncation()
     tokenizer.no_padding()
-    alphabet = _byte_characters()
-    vocabulary = tokenizer.get_vocab(with_added_tokens=False)
-    table = [b""] * (max(tokenizer.get_vocab(with_added_tokens=True).values()) + 1)
-    for token, i in vocabulary.items():
-        table[i] = bytes(alphabet[c] for c in token)
-    ranks = _ranks(spec, table)
+    table = token_bytes(tokenizer)
 
     def library(texts: list[str]) -> list[list[int]]:
         return [x.ids for x in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    if ranks is None:
-        return lambda texts: library([" " + x for x in texts]), table
-    import tiktoken
-
-    # The same vocabulary and merges, four times as fast; its pattern classes come from other
-    # tables, so texts beyond Latin letters go to the file's own library.
-    quick = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-
-    def encode(texts: list[str]) -> list[list[int]]:
-        out: list = [None] * len(texts)
-        rest = [i for i, x in enumerate(texts) if not (x.isascii() or _LATIN(x))]
-        for i, ids in zip(rest, library([" " + texts[i] for i in rest]), strict=True):
-            out[i] = ids
-        return [quick.encode_ordinary(" " + x) if ids is None else ids for x, ids in zip(texts, out, strict=True)]
-
-    return encode, table
-
-
-def _ranks(spec: dict, table: list[bytes]) -> dict[bytes, int] | None:
-    """Bytes -> id if ids follow the order of the merges and nothing else shapes the tokens."""
-    model, before = spec["model"], spec.get("pre_tokenizer") or {}
-    plain = (
-        model["type"] == "BPE" and before.get("type") == "ByteLevel" and before.get("use_regex")
-        and not before.get("add_prefix_space") and not spec.get("normalizer")
-        and not any(model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "ignore_merges"))
-    )
-    if not plain:
-        return None
-    vocabulary = model["vocab"]
-    for k, merge in enumerate(model["merges"]):
-        token = "".join(merge if isinstance(merge, list) else merge.split(" "))
-        if vocabulary.get(token) != 256 + k:
-            return None
-    return {table[i]: i for i in vocabulary.values()}
+    encode = quick(spec, table, library) if is_plain(spec) else library
+    return lambda texts: encode([" " + x for x in texts]), table
 
 
 class Tokens:

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from metricloom.llm.byte_level import is_plain, quick, token_bytes
 from metricloom.llm.common import small_batches, stored, text_of
 from metricloom.session import path_exists, scratch_path
 
@@ -41,9 +43,19 @@ def _encoder(path: str):
         tokenizer.no_truncation()
         tokenizer.no_padding()
 
+        def library(texts: list[str]) -> list[list[int]]:
+            return [x.ids for x in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+        with open(path, encoding="utf-8") as file:
+            spec = json.load(file)
+        encode = library
+        if is_plain(spec):
+            # Strings of added tokens inside texts are theirs: only the file's library knows the rules.
+            special = [x["content"] for x in spec.get("added_tokens") or []]
+            encode = quick(spec, token_bytes(tokenizer), library, special)
+
         def count(texts: list[str]) -> list[int]:
-            batch = tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-            return [len(x) for x in batch]
+            return [len(ids) for ids in encode(texts)]
 
     else:
         import sentencepiece

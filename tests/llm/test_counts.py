@@ -9,7 +9,7 @@ import public_tokenizers
 import sentencepiece
 from tokenizers import Tokenizer
 
-from metricloom.llm import chat, mixing, neighbours, pieces, token_counts
+from metricloom.llm import byte_level, chat, mixing, neighbours, pieces, token_counts
 from metricloom.session import scratch_path
 from tests.llm.test_texts import ODD, frame, rows
 
@@ -35,6 +35,33 @@ def test_token_counts_and_cache(spark):
     assert token_counts.count_tokens(frame(spark, []), BYTES).count() == 0
 
 
+def test_only_odd_texts_are_counted_by_the_files_library(monkeypatch):
+    import json
+
+    library = Tokenizer.from_file(BYTES)
+    seen = []
+
+    def slow(texts):
+        seen.extend(texts)
+        return [library.encode(x, add_special_tokens=False).ids for x in texts]
+
+    odd = ["a <|endoftext|> b", "слово", "日本 a", "a" + " " * 200_000 + "b", "\n \t" * 60_000]
+    plain = ["", " ", "a  b\n\n c", "Größe, it's 12 %", "a" * 30_000, " x" * 30_000, "<|endoftext|", "Ɏ\x00\x85 \xa0 "]
+    with open(BYTES, encoding="utf-8") as file:
+        spec = json.load(file)
+    assert byte_level.is_plain(spec)
+    encode = byte_level.quick(spec, byte_level.token_bytes(library), slow, ["<|endoftext|>"])
+    got = encode([*odd, *plain])
+    assert seen == odd
+    assert got == slow([*odd, *plain])
+    used = []
+    monkeypatch.setattr(token_counts, "quick", lambda *a: used.append(a) or byte_level.quick(*a))
+    assert token_counts._encoder(BYTES)([*odd, *plain]) == [len(x) for x in got]
+    assert used
+    spec["model"]["merges"] = spec["model"]["merges"][::-1]
+    assert not byte_level.is_plain(spec)
+
+
 def test_pieces_equal_the_library(spark):
     rng = random.Random(1)
     library = sentencepiece.SentencePieceProcessor(model_file=PIECES)
