@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -22,6 +23,8 @@ _CHAR_ORDERS = (3, 4)
 _STEPS = 150
 _RATE = 0.5
 _SHRINK = 1e-6
+_CHUNK = 1 << 18  # entries of the fitted texts held at once
+_ENTRY = np.dtype([("row", np.int32), ("bucket", np.int32), ("share", np.float32)])
 
 SIGNALS = [
     "n_words bigint", "word_chars bigint", "n_symbols bigint", "n_dup_lines bigint",
@@ -108,39 +111,86 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -50, 50)))
 
 
-def fit(texts: list[str], labels: np.ndarray, held_out: np.ndarray) -> Model:
-    """Logistic regression by adaptive gradient steps, calibrated on the held-out rows.
+class Spool:
+    """(row, bucket, share) of the grams of texts, in a file and read back in chunks.
 
-    The calibration is a logistic line through the held-out scores, with targets drawn
-    in from 0 and 1 by the class counts.
+    Chunks hold whole texts and about ``_CHUNK`` entries each, so what is held at once does
+    not grow with the texts.
     """
-    reader = Reader()
-    index, value, row = [], [], []
-    for i, text in enumerate(texts):
-        points, _, _, words = reader.read(text)
-        for grams in reader.grams(points, words):
+
+    def __init__(self) -> None:
+        self.file, self.sizes, self.texts = tempfile.TemporaryFile(), [], 0
+        self._held: list[np.ndarray] = []
+
+    def add(self, kinds: list[np.ndarray]) -> None:
+        for grams in kinds:
             if grams.size:
                 unique, seen = np.unique(grams, return_counts=True)
-                index.append(unique.astype(np.int32))
-                value.append((seen / grams.size).astype(np.float32))
-                row.append(np.full(unique.size, i, np.int32))
-    none = [np.zeros(0, np.int32)]
-    index, row = np.concatenate(index or none), np.concatenate(row or none)
-    value = np.concatenate(value or [np.zeros(0, np.float32)])
-    n, y = len(texts), labels.astype(float)
+                entries = np.empty(unique.size, _ENTRY)
+                entries["row"], entries["bucket"], entries["share"] = self.texts, unique, seen / grams.size
+                self._held.append(entries)
+        self.texts += 1
+        if sum(x.size for x in self._held) >= _CHUNK:
+            self._flush()
+
+    def _flush(self) -> None:
+        if self._held:
+            entries = np.concatenate(self._held)
+            self.sizes.append(entries.size)
+            for name in _ENTRY.names:
+                self.file.write(np.ascontiguousarray(entries[name]).data)
+            self._held = []
+
+    def chunks(self) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        self._flush()
+        self.file.seek(0)
+        for size in self.sizes:
+            kinds = (_ENTRY[name] for name in _ENTRY.names)
+            yield tuple(np.frombuffer(self.file.read(size * k.itemsize), k) for k in kinds)
+
+    def scores(self, weights: np.ndarray, bias: float) -> np.ndarray:
+        out = np.zeros(self.texts)
+        for row, bucket, share in self.chunks():
+            out[row[0] : row[-1] + 1] += np.bincount(row - row[0], weights[bucket] * share)
+        return out + bias
+
+
+def fit(rows: Iterable[tuple[str, float]]) -> Model | None:
+    """Logistic regression on (text, label) by adaptive gradient steps, calibrated on every fifth row.
+
+    The calibration is a logistic line through the held-out scores, with targets drawn
+    in from 0 and 1 by the class counts. ``None`` if there are fewer than two classes.
+    """
+    reader, spool, labels = Reader(), Spool(), []
+    for text, label in rows:
+        points, _, _, words = reader.read(text)
+        spool.add(reader.grams(points, words))
+        labels.append(label)
+    y = np.array(labels, float)
+    n = y.size
+    if not n or y.min() == y.max():
+        return None  # nothing to tell apart
+    held_out = np.arange(n) % 5 == 0
     train = ~held_out
     share = max(1, train.sum())
     weights, bias = np.zeros(BUCKETS), 0.0
     past, past_bias = np.full(BUCKETS, 1e-12), 1e-12
     for _ in range(_STEPS):
-        score = np.bincount(row, weights[index] * value, n) + bias
-        error = np.where(train, _sigmoid(score) - y, 0) / share
-        slope = np.bincount(index, error[row] * value, BUCKETS) + _SHRINK * weights
+        # A text's error needs its own chunk alone: one reading serves score and slope.
+        slope = np.zeros(BUCKETS)
+        error = np.where(train, _sigmoid(np.full(n, bias)) - y, 0) / share
+        for row, bucket, value in spool.chunks():
+            first, last = row[0], row[-1] + 1
+            score = np.bincount(row - first, weights[bucket] * value) + bias
+            error[first:last] = np.where(train[first:last], _sigmoid(score) - y[first:last], 0) / share
+            slope += np.bincount(bucket, error[row] * value, BUCKETS)
+        slope += _SHRINK * weights
+        total = error.sum()
         past += slope**2
-        past_bias += error.sum() ** 2
+        past_bias += total**2
         weights -= _RATE * slope / np.sqrt(past)
-        bias -= _RATE * error.sum() / np.sqrt(past_bias)
-    score = np.bincount(row, weights[index] * value, n) + bias
+        bias -= _RATE * total / np.sqrt(past_bias)
+    score = spool.scores(weights, bias)
     use = held_out if 0 < y[held_out].sum() < held_out.sum() else np.ones(n, bool)
     good, bad = y[use].sum(), use.sum() - y[use].sum()
     target = np.where(y[use] > 0, (good + 1) / (good + 2), 1 / (bad + 2))
@@ -162,13 +212,9 @@ def fit(texts: list[str], labels: np.ndarray, held_out: np.ndarray) -> Model:
 
 
 def _train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    rows = [x for batch in batches for x in batch.to_pylist()]
-    rows.sort(key=lambda x: (x["order"], x["body"]))
-    labels = np.array([x["label"] for x in rows], float)
-    if not rows or labels.min() == labels.max():
-        return  # nothing to tell apart
-    held_out = np.arange(len(rows)) % 5 == 0
-    model = fit([x["body"] for x in rows], labels, held_out)
+    model = fit((x["body"], x["label"]) for batch in batches for x in batch.to_pylist())
+    if model is None:
+        return
     yield pa.RecordBatch.from_pydict(
         {
             "weights": [model.weights.tobytes()],
@@ -186,6 +232,7 @@ def train_quality_model(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_
     being good. Rows without id, text or label are left out. ``None`` if the labels name
     fewer than two classes.
     """
+    small_batches(docs)
     chosen = (
         labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull())
         .groupBy(F.col("doc_id").alias("__id"))
@@ -202,7 +249,9 @@ def train_quality_model(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_
         F.min("body").alias("body")
     )
     kind = "weights binary, bias double, slope double, offset double"
-    row = sample.select("order", "label", "body").coalesce(1).mapInArrow(_train, kind).first()
+    # Sorted by Spark, which spills: the fitting task holds a batch of texts at a time.
+    one = sample.select("order", "label", "body").coalesce(1).sortWithinPartitions("order", "body")
+    row = one.mapInArrow(_train, kind).first()
     if row is None:
         return None
     return Model(

@@ -256,6 +256,24 @@ def test_quality_model_on_held_out_rows(spark):
     assert quality.train_quality_model(docs, labels.where("quality = 1")) is None
 
 
+def test_fit_holds_a_bounded_part_of_its_texts(monkeypatch):
+    import tracemalloc
+
+    rng = random.Random(3)
+    texts = [(" ".join(f"w{rng.randrange(50_000)}" for _ in range(400)), i % 3 % 2) for i in range(240)]
+    whole = quality.fit(texts)
+    monkeypatch.setattr(quality, "_CHUNK", 20_000)
+    monkeypatch.setattr(quality, "_STEPS", 150)
+    tracemalloc.start()
+    parts = quality.fit(iter(texts))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 24e6  # all grams at once: 40 MB and more
+    assert np.allclose(parts.weights, whole.weights) and np.isclose(parts.slope, whole.slope)
+    assert np.isclose(parts.bias, whole.bias) and np.isclose(parts.offset, whole.offset)
+    assert quality.fit(x for x in texts if x[1]) is None and quality.fit([]) is None
+
+
 def test_quality_keeps_clashing_columns(spark):
     docs = frame(spark, rows(n=5), "q_kept string")
     assert quality.keep_good(docs, spark.createDataFrame([], "doc_id long, quality int")).columns == docs.columns
