@@ -133,3 +133,15 @@ def test_temporal_split_keeps_rows_without_a_date(spark):
     train, test = splits.temporal_split(df, "day", "id")
     assert train.count() + test.count() == 40 and train.count() == 30
     assert test.where("day is null").count() == 0
+
+
+def test_stored_split_marks_the_same_rows_and_hashes_once(spark):
+    """With stored rows no later pass computes the hash; repeated and missing keys are marked alike."""
+    keys = [None if i % 90 == 0 else i // 2 for i in range(1_001)]
+    df = spark.createDataFrame([(k, float(i)) for i, k in enumerate(keys)], "id long, x double")
+    plain, stored = splits.random_split(df, "id"), splits.random_split(df, "id", stored=True)
+    assert "md5" in plain._jdf.queryExecution().optimizedPlan().toString()
+    assert "md5" not in stored._jdf.queryExecution().optimizedPlan().toString()
+    assert stored.columns == plain.columns and stored.where("is_test").count() == 251
+    marks = [sorted((r["id"] is None, r["id"] or 0, r["is_test"]) for r in x.collect()) for x in (plain, stored)]
+    assert marks[0] == marks[1]
