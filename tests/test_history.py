@@ -187,3 +187,30 @@ def test_all_files_of_a_fix_count_unless_told_otherwise(spark):
     for most, count in ((None, 12), (8, 8)):
         found = labels.fix_candidates(frame, lines, max_files=most).collect()
         assert sorted(r["path"] for r in found) == [f"d/{i:02d}.py" for i in range(count)]
+
+
+def _shuffle_files(spark):
+    manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    return sum(".data" in str(f) for f in manager.getAllFiles().mkString(" ").split())
+
+
+def test_what_was_shuffled_for_a_stored_table_leaves_the_disk(spark):
+    """The files of a shuffle go with the write, and tables that nobody reads any more with the next one."""
+    from metricloom.session import path_exists, written_once
+
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, files = spark.conf.get(setting, "false"), _shuffle_files(spark)
+    table = spark.range(5_000).withColumn("k", F.col("id") % 7).repartition(3, "k")
+    first = written_once(table, "first")
+    assert _shuffle_files(spark) <= files
+    second = written_once(first.groupBy("k").count(), "second", instead_of=[first])
+    assert _shuffle_files(spark) <= files and spark.conf.get(setting, "false") == before
+    assert not path_exists(spark, first.__dict__["_written_to"]) and second.count() == 7
+
+
+def test_the_pasts_of_a_change_are_stored_one_after_the_other(spark):
+    """The plan that is left only joins them: no window, and no second shuffle of file rows."""
+    table = change_features(_frame(spark), AS_OF)
+    plan = table._jdf.queryExecution().toString()
+    assert "Window" not in plan and "Generate" not in plan and plan.count("Exchange") < 20
+    assert len(table.collect()) == len({c[1] for c in CHANGES if not c[6] and c[7]})
