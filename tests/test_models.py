@@ -260,3 +260,34 @@ def test_models_of_a_split_are_fitted_side_by_side(spark, monkeypatch):
     found = risk.fit_and_compare(train, test, ["x"], {"forest": {"trees": 3}})
     assert sorted(r["model"] for r in found.metrics.collect()) == ["forest", "logistic"]
     assert [r["feature"] for r in found.importances.collect()] == ["x"]
+
+
+def _searchable(spark, n):
+    x = F.xxhash64("id") % 1000 / 100.0
+    return spark.range(n).select(
+        "id", x.alias("a"), (F.col("id") % 9).cast("double").alias("b"),
+        ((x + F.col("id") % 9 + F.xxhash64("id", F.lit(1)) % 5) > 4).cast("int").alias("label"),
+    )
+
+
+def test_a_search_fits_on_all_rows(spark, monkeypatch):
+    from metricloom.operators import learners, trees
+
+    seen, plain = [], trees.fold_scores
+    monkeypatch.setattr(trees, "fold_scores", lambda table, *rest: seen.append(table.count()) or plain(table, *rest))
+    space = {"rounds": [2], "depth": [2], "rate": [0.1, 0.3]}
+    learners.random_search(_searchable(spark, 5_600), "boosted", ["a", "b"], "id", folds=2, space=space)
+    assert seen == [5_600]
+
+
+@pytest.mark.parametrize(("kind", "space"), [
+    ("boosted", {"rounds": [2], "depth": [2], "rate": [0.1, 0.3], "rows": [1.0], "columns": [1.0]}), ("forest", {"trees": [3], "depth": [3, 4], "columns": ["all"]}),
+])
+def test_fits_of_a_search_whose_rows_exceed_a_task(spark, monkeypatch, kind, space):
+    from metricloom.operators import learners, trees
+
+    data = _searchable(spark, 1_500)
+    want = {r["settings"]: r["roc_auc"] for r in learners.random_search(data, kind, ["a", "b"], "id", folds=2, space=space)[2].collect()}
+    monkeypatch.setattr(trees, "TASK_ROWS", 400)
+    got = {r["settings"]: r["roc_auc"] for r in learners.random_search(data, kind, ["a", "b"], "id", folds=2, space=space)[2].collect()}
+    assert got == pytest.approx(want, abs=1e-4 if kind == "boosted" else 0.03)
